@@ -12,7 +12,7 @@ from tideline import config as c
 from tideline.models import fourier, pooled, seasonal_ar, stacking
 from tideline.models.closed_form import predict_constant
 from tideline.operators.horizon import appended_future, frozen_future, future_dates, last_days
-from tideline.operators.scoring import evaluate, expected_pairs, select_best
+from tideline.operators.scoring import evaluate, expected_pairs, select_best, stackable_states
 from tideline.operators.split import TEST, TRAIN, split_sizes
 from tideline.plans import tuning
 from tideline.plans.prepare import prepare
@@ -34,21 +34,34 @@ class Settings:
     models: tuple[str, ...] = c.BASE_MODELS
 
 
+@dataclass(frozen=True)
+class Fits:
+    """Fitted base models by name: a coefficient table, or a pooled model with its scale table."""
+
+    tables: dict[str, DataFrame] = field(default_factory=dict)
+    pooled: dict[str, tuple] = field(default_factory=dict)
+    lookback: int = c.LOOKBACK
+
+
 @dataclass(frozen=True)
 class Comparison:
-    """Tables of one run: scores and winners per state, and what forecasting needs later."""
+    """One run: fits, predictions of the held-out rows, scores and winners per state."""
 
+    prepared: DataFrame
+    settings: Settings
+    base_fits: Fits
+    train_fits: Fits
+    weights: DataFrame
+    predictions: DataFrame
     scores: DataFrame
     best: DataFrame
-    weights: DataFrame
     sizes: DataFrame
-    predictions: DataFrame
 
 
 def tuned(settings: Settings, train: DataFrame) -> Settings:
     """Settings of the pooled models after their grids; two single rows reach the driver.
 
-    The seasonal and trend models are tuned per state inside ``base_predictions``.
+    The seasonal and trend models are tuned per state inside ``fit_bases``.
     """
     changes: dict = {}
     if c.TREES in settings.models:
@@ -77,33 +90,53 @@ def trend_fit(history: DataFrame, settings: Settings) -> DataFrame:
     return fourier.fit_fourier_grid(history).join(chosen, [KEY, "mode", "yearly"])
 
 
-def base_predictions(history: DataFrame, targets: DataFrame, settings: Settings,
-                     tree_rows: DataFrame | None = None) -> DataFrame:
-    """Predictions of every base model for ``targets(state, ds)``.
-
-    ``tree_rows`` are the feature rows the trees score; by default the targets themselves.
-    """
-    days = targets.select(KEY, "ds")
-    parts = []
+def fit_bases(history: DataFrame, settings: Settings) -> Fits:
+    """Fit the base models of ``settings`` on all series of ``history`` at once."""
+    tables, fitted = {}, {}
     if c.TREES in settings.models:
         scale = materialize(pooled.amount_scale(history))
-        model = pooled.fit_trees(pooled.tree_inputs(history, scale), **settings.trees)
-        rows = targets if tree_rows is None else tree_rows
-        parts.append(pooled.predict_trees(model, scale, rows))
+        inputs = pooled.tree_inputs(history, scale)
+        fitted[c.TREES] = (pooled.fit_trees(inputs, **settings.trees), scale)
     if c.TREND in settings.models:
-        fit = trend_fit(history, settings)
-        parts.append(fourier.predict_fourier(fit, history, days))
+        tables[c.TREND] = materialize(trend_fit(history, settings))
     if c.ARIMA in settings.models:
-        fit = seasonal_fit(history, settings)
-        parts.append(seasonal_ar.predict_seasonal_ar(fit, history, days))
+        tables[c.ARIMA] = materialize(seasonal_fit(history, settings))
     if c.LOOKBACK_MODEL in settings.models:
-        length = settings.lookback
         scale = materialize(pooled.lookback_scale(history))
-        model = pooled.fit_lookback(pooled.sequence_inputs(history, scale, length))
-        parts.append(pooled.predict_lookback(model, scale, history, days, length))
+        inputs = pooled.sequence_inputs(history, scale, settings.lookback)
+        fitted[c.LOOKBACK_MODEL] = (pooled.fit_lookback(inputs), scale)
+    return Fits(tables, fitted, settings.lookback)
+
+
+def predict_bases(fits: Fits, history: DataFrame, targets: DataFrame,
+                  tree_rows: DataFrame | None = None) -> DataFrame:
+    """Predictions of every fitted base model for ``targets(state, ds)``.
+
+    Forecasts start after the last row of ``history``. ``tree_rows`` are the feature rows the
+    trees score; by default the targets themselves.
+    """
+    days = targets.select(KEY, "ds")
+    parts = []
+    if c.TREES in fits.pooled:
+        model, scale = fits.pooled[c.TREES]
+        rows = targets if tree_rows is None else tree_rows
+        parts.append(pooled.predict_trees(model, scale, rows))
+    if c.TREND in fits.tables:
+        parts.append(fourier.predict_fourier(fits.tables[c.TREND], history, days))
+    if c.ARIMA in fits.tables:
+        parts.append(seasonal_ar.predict_seasonal_ar(fits.tables[c.ARIMA], history, days))
+    if c.LOOKBACK_MODEL in fits.pooled:
+        model, scale = fits.pooled[c.LOOKBACK_MODEL]
+        parts.append(pooled.predict_lookback(model, scale, history, days, fits.lookback))
     return reduce(DataFrame.unionByName, parts)
 
 
+def rows_of(prepared: DataFrame, label: str) -> DataFrame:
+    """Rows of one side of the split (train, test) or one part of it (base, meta)."""
+    column = "split" if label in (TRAIN, TEST) else "part"
+    return prepared.filter(F.col(column) == label)
+
+
 def compare_models(sales: DataFrame, settings: Settings | None = None) -> Comparison:
     """Score all models on the last fifth of every series and pick a winner per state.
 
@@ -112,44 +145,61 @@ def compare_models(sales: DataFrame, settings: Settings | None = None) -> Compar
     """
     settings = settings or Settings()
     prepared = materialize(prepare(sales))
-    train = prepared.filter(F.col("split") == TRAIN)
-    test = prepared.filter(F.col("split") == TEST)
+    train, test = rows_of(prepared, TRAIN), rows_of(prepared, TEST)
+    base, meta = rows_of(prepared, "base"), rows_of(prepared, "meta")
     if settings.tune:
         settings = tuned(settings, train)
-    meta = prepared.filter(F.col("part") == "meta")
-    base = prepared.filter(F.col("part") == "base")
-    on_meta = materialize(base_predictions(base, meta, settings))
-    on_test = materialize(base_predictions(train, test, settings))
-    weights = materialize(stacking.fit_stack(on_meta, meta))
-    stacked = stacking.predict_stack(weights, on_test).join(
-        weights.select(KEY), KEY, "left_semi"
-    )
-    predictions = on_test.unionByName(stacked)
+    base_fits, train_fits = fit_bases(base, settings), fit_bases(train, settings)
+    weights = materialize(refit_stack(base_fits, base, meta))
+    predictions = materialize(stacked_predictions(train_fits, weights, train, test))
     models = [m for m in c.MODEL_ORDER if m in (*settings.models, c.STACKED)]
     scores = materialize(evaluate(predictions, test, expected_pairs(prepared, models)))
-    return Comparison(scores, select_best(scores), weights, split_sizes(prepared), predictions)
+    best = select_best(scores)
+    return Comparison(
+        prepared, settings, base_fits, train_fits, weights, predictions, scores, best,
+        split_sizes(prepared),
+    )
+
+
+def refit_stack(fits: Fits, base: DataFrame, meta: DataFrame) -> DataFrame:
+    """Ensemble weights from fitted base models; states with fewer than two are skipped."""
+    on_meta = materialize(predict_bases(fits, base, meta))
+    usable = on_meta.join(stackable_states(on_meta), KEY, "left_semi")
+    return stacking.fit_stack(usable, meta)
+
 
+def stacked_predictions(fits: Fits, weights: DataFrame, history: DataFrame,
+                        targets: DataFrame) -> DataFrame:
+    """Base predictions plus those of the ensemble, the latter where it could be fitted."""
+    on_targets = materialize(predict_bases(fits, history, targets))
+    stacked = stacking.predict_stack(weights, on_targets)
+    return on_targets.unionByName(stacked.join(weights.select(KEY), KEY, "left_semi"))
 
-def forecast_best(sales: DataFrame, best: DataFrame, weights: DataFrame,
-                  settings: Settings | None = None, days: int = c.HORIZON_DAYS) -> DataFrame:
+
+def forecast_best(run: Comparison, days: int = c.HORIZON_DAYS) -> DataFrame:
     """The next ``days`` days of every state from its winner, refitted on all rows.
 
     Trees score frozen features where they win alone, and appended ones inside an ensemble.
+    Only the base models some state needs are refitted.
     """
-    settings = settings or Settings()
-    features = materialize(prepare(sales).join(best.select(KEY, "best_model"), KEY))
-    dense = features.select(KEY, "ds", "total", "category", "best_model")
-    targets = future_dates(last_days(dense), days).select(KEY, "ds")
+    dense = run.prepared.select(KEY, "ds", "total", "category")
+    ends = last_days(dense)
+    targets = future_dates(ends, days).select(KEY, "ds")
+    winners = {row.best_model for row in run.best.select("best_model").distinct().collect()}
+    needed = [m for m in run.settings.models if m in winners or c.STACKED in winners]
+    settings = replace(run.settings, models=tuple(needed))
 
     def won_by(df: DataFrame, model: str) -> DataFrame:
-        return df.join(best.filter(F.col("best_model") == model).select(KEY), KEY, "left_semi")
+        states = run.best.filter(F.col("best_model") == model).select(KEY)
+        return df.join(states, KEY, "left_semi")
 
     tree_rows = won_by(frozen_future(dense, days).drop("step"), c.TREES).unionByName(
         won_by(appended_future(dense, days), c.STACKED)
     )
-    base = materialize(base_predictions(features, targets, settings, tree_rows))
-    stacked = stacking.predict_stack(weights, won_by(base, c.STACKED))
-    return pick_winner(base.unionByName(stacked), best).join(last_days(dense), KEY)
+    fits = fit_bases(run.prepared, settings)
+    base = materialize(predict_bases(fits, run.prepared, targets, tree_rows))
+    stacked = stacking.predict_stack(run.weights, won_by(base, c.STACKED))
+    return pick_winner(base.unionByName(stacked), run.best).join(ends, KEY)
 
 
 def pick_winner(predictions: DataFrame, best: DataFrame) -> DataFrame:
@@ -158,11 +208,6 @@ def pick_winner(predictions: DataFrame, best: DataFrame) -> DataFrame:
     return predictions.join(chosen, [KEY, "model"]).withColumnRenamed("model", "model_used")
 
 
-def refit_stack(on_meta: DataFrame, meta: DataFrame) -> DataFrame:
-    """New ensemble weights from saved base predictions; states with one base are skipped."""
-    return stacking.fit_stack(on_meta, meta)
-
-
 def failed_predictions(targets: DataFrame, model: str) -> DataFrame:
     """What a model that could not be fitted predicts: 0 everywhere."""
     return predict_constant(targets, model, 0.0)

@@ -1,53 +1,93 @@
-"""Resumable training runs and re-scoring of what they saved."""
+"""Resumable training runs, and what can be done with the models they saved."""
 
 from __future__ import annotations
 
+from pyspark.ml.regression import GBTRegressionModel, LinearRegressionModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.config import HORIZON_DAYS
+from tideline import config as c
 from tideline.operators.scoring import evaluate, leaderboard
-from tideline.plans.compare import Settings, compare_models, forecast_best
-from tideline.session import materialize
-from tideline.sources.documents import (
-    forecast_documents,
-    result_documents,
-    write_documents,
+from tideline.plans.compare import (
+    Fits,
+    Settings,
+    compare_models,
+    forecast_best,
+    refit_stack,
+    stacked_predictions,
 )
-from tideline.sources.registry import Progress, remaining_sales
+from tideline.session import materialize
+from tideline.sources.documents import forecast_documents, result_documents, write_documents
+from tideline.sources.registry import ModelRegistry, Progress, remaining_sales
 
 KEY = "state"
+POOLED_KINDS = {c.TREES: GBTRegressionModel, c.LOOKBACK_MODEL: LinearRegressionModel}
+
+
+def save_fits(registry: ModelRegistry, fits: Fits) -> None:
+    for model, table in fits.tables.items():
+        registry.save_coefficients(model, table)
+    for model, (fitted, scale) in fits.pooled.items():
+        registry.save_pooled(model, fitted, scale)
+
+
+def load_fits(registry: ModelRegistry, lookback: int = c.LOOKBACK) -> Fits:
+    """All base models found in a registry."""
+    saved = registry.models()
+    pooled = {
+        model: registry.load_pooled(model, kind)
+        for model, kind in POOLED_KINDS.items()
+        if model in saved
+    }
+    tables = {
+        model: registry.load_coefficients(model)
+        for model in c.BASE_MODELS
+        if model in saved and model not in POOLED_KINDS
+    }
+    return Fits(tables, pooled, lookback)
 
 
 def train(spark: SparkSession, sales: DataFrame, folder: str, settings: Settings | None = None,
-          days: int = HORIZON_DAYS) -> DataFrame:
-    """Compare, choose and forecast for every state not yet recorded as processed.
+          days: int = c.HORIZON_DAYS) -> DataFrame:
+    """Compare, choose, save and forecast for every state not yet recorded as processed.
 
-    Returns the scores of this run. All remaining states go through one plan; they are recorded
-    after their documents are written, so an interrupted run is simply run again. States too
-    short to be trained are recorded as ``skipped``.
+    Returns the forecasts of this run. All remaining states go through one plan. They are
+    recorded last, and a batch is named after the number of states done before it, so a run that
+    was interrupted writes over its own leftovers. States too short to be trained are recorded
+    as ``skipped``.
     """
     progress = Progress(spark, folder)
     done = progress.completed()
+    batch = f"batch={done.count():06d}"
     todo = materialize(remaining_sales(sales, done))
     run = compare_models(todo, settings)
-    forecasts = materialize(forecast_best(todo, run.best, run.weights, settings, days))
-    batch = f"batch={spark.sparkContext.applicationId}-{done.count()}"
-    write_documents(
-        result_documents(run.scores, run.best, run.sizes), f"{folder}/results/{batch}"
-    )
+    forecasts = materialize(forecast_best(run, days))
+    registry = ModelRegistry(spark, f"{folder}/models/{batch}")
+    save_fits(registry, run.train_fits)
+    registry.save_coefficients(c.STACKED, run.weights)
+    save_fits(ModelRegistry(spark, f"{folder}/base_models/{batch}"), run.base_fits)
+    results = result_documents(run.scores, run.best, run.sizes)
+    write_documents(results, f"{folder}/results/{batch}")
     write_documents(forecast_documents(forecasts), f"{folder}/forecasts/{batch}")
-    run.predictions.write.mode("overwrite").parquet(f"{folder}/predictions/{batch}")
-    run.weights.write.mode("overwrite").parquet(f"{folder}/weights/{batch}")
     progress.record(run.scores, "ok")
     skipped = todo.select(KEY).distinct().join(run.scores.select(KEY), KEY, "left_anti")
     progress.record(skipped, "skipped")
-    return run.scores
+    return forecasts
+
+
+def rescore(registry: ModelRegistry, train_rows: DataFrame, test_rows: DataFrame,
+            by: str = "mape", lookback: int = c.LOOKBACK) -> DataFrame:
+    """Leaderboard of all saved models, the ensemble included, on the held-out rows."""
+    fits = load_fits(registry, lookback)
+    weights = registry.load_coefficients(c.STACKED)
+    predictions = stacked_predictions(fits, weights, train_rows, test_rows)
+    return leaderboard(evaluate(predictions, test_rows), by)
 
 
-def rescore(predictions: DataFrame, test: DataFrame, by: str = "mape") -> DataFrame:
-    """Leaderboard of saved predictions of any set of models."""
-    return leaderboard(evaluate(predictions, test), by)
+def refit_ensemble(base_registry: ModelRegistry, base_rows: DataFrame, meta_rows: DataFrame,
+                   lookback: int = c.LOOKBACK) -> DataFrame:
+    """New ensemble weights on top of saved base models."""
+    return refit_stack(load_fits(base_registry, lookback), base_rows, meta_rows)
 
 
 def overview(progress: DataFrame) -> DataFrame:

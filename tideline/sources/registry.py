@@ -47,6 +47,10 @@ class ModelRegistry:
     def entries(self) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/entries")
 
+    def models(self) -> set[str]:
+        """Names of the saved models; a handful, whatever the number of states."""
+        return {row.model for row in self.entries().select("model").distinct().collect()}
+
     def _coefficients(self, model: str) -> str:
         return f"{self.folder}/coefficients/{model}"
 
