@@ -548,8 +548,8 @@ def oracle() -> dict[str, str]:
     q["stack_predict"] = query(
         *PARTS, two("base", "meta", "on_meta"), PAIR, two("train", "test", "on_test"),
         f"""SELECT t.state, 'StackedEnsemble' AS model, t.ds,
-        {snap('''greatest(max(w0) + max(wp) * max(CASE WHEN model = 'Prophet' THEN yhat END)
-        + max(wa) * max(CASE WHEN model = 'ARIMA' THEN yhat END), 0.0)''', 1)} AS yhat
+        round(ln(1 + greatest(max(w0) + max(wp) * max(CASE WHEN model = 'Prophet' THEN yhat END)
+        + max(wa) * max(CASE WHEN model = 'ARIMA' THEN yhat END), 0.0)), 6) AS log_yhat
         FROM on_test t JOIN stack s ON t.state = s.state GROUP BY t.state, t.ds""",
     )
     q["avg_ensemble"] = query(

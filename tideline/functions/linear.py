@@ -15,11 +15,15 @@ import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # The functions travel inside the UDFs, so executors need not have this package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 SOLVE_FLOOR = 1e-9
+# As objects, because type names can only be parsed once a session exists.
+DOUBLE = T.DoubleType()
+DOUBLES = T.ArrayType(DOUBLE)
 
 
 def gram_columns(columns: Sequence[Column]) -> list[tuple[Column, Column]]:
@@ -61,7 +65,7 @@ def solve_gram(k: int, penalty: Sequence[float]) -> Callable[[str], Column]:
     """Pandas UDF: ridge coefficients from the cross products of k regressors and the target."""
     weights = np.asarray(penalty, dtype=float)
 
-    @F.pandas_udf("array<double>")
+    @F.pandas_udf(DOUBLES)
     def solve(grams: pd.Series) -> pd.Series:
         return pd.Series(list(solve_subset(unpack(grams, k + 1), range(k), weights)))
 

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tideline.config import SEASONALITY_MODES, TREND, YEARLY_OPTIONS
-from tideline.functions.linear import solve_subset, unpack
+from tideline.functions.linear import DOUBLE, DOUBLES, solve_subset, unpack
 from tideline.functions.scalars import clip_negative
 from tideline.models.closed_form import as_predictions, first_available, fit_last_value
 
@@ -126,7 +126,7 @@ def solver(yearly: bool, trend: bool):
     """Pandas UDF: weights of all design columns, 0 for those left out."""
     keep = kept_columns(yearly, trend)
 
-    @F.pandas_udf("array<double>")
+    @F.pandas_udf(DOUBLES)
     def solve(grams: pd.Series) -> pd.Series:
         weights = np.zeros((len(grams), N_COLUMNS))
         weights[:, keep] = solve_subset(unpack(grams, N_COLUMNS + 1), keep, PENALTY[keep])
@@ -135,13 +135,13 @@ def solver(yearly: bool, trend: bool):
     return solve
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DOUBLE)
 def trend_part(t: pd.Series, weights: pd.Series) -> pd.Series:
     columns = design(t.to_numpy(), np.zeros(len(t)))[:, :N_TREND]
     return pd.Series(np.einsum("nk,nk->n", columns, np.stack(weights)[:, :N_TREND]))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DOUBLE)
 def season_part(day: pd.Series, weights: pd.Series) -> pd.Series:
     columns = design(np.zeros(len(day)), day.to_numpy())[:, N_TREND:]
     return pd.Series(np.einsum("nk,nk->n", columns, np.stack(weights)[:, N_TREND:]))

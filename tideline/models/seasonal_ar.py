@@ -19,6 +19,7 @@ import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from tideline.config import (
@@ -29,7 +30,7 @@ from tideline.config import (
     ARIMA_Q_GRID,
     SEASON,
 )
-from tideline.functions.linear import gram_sums, solve_subset, unpack
+from tideline.functions.linear import DOUBLE, DOUBLES, gram_sums, solve_subset, unpack
 from tideline.functions.scalars import clip_negative, finite
 from tideline.models.closed_form import ar1_forecast, as_predictions, first_available, fit_ar1
 from tideline.operators.features import series_window
@@ -46,9 +47,12 @@ TAIL_ROWS = max(SHORT_LAGS) + SEASON + 1
 # The double difference would carry the last week-on-week change on for ever; it fades instead
 # (damped trend, Gardner and McKenzie, 1985).
 DAMPING = 0.9
+LARGEST_ROOT = 0.98
 # A forecast this many times beyond the largest known amount counts as diverged.
 DIVERGED = 10.0
 
+SOLUTION = T.StructType([T.StructField("coefficients", DOUBLES), T.StructField("aic", DOUBLE)])
+
 
 def order_columns(p: int, q: int) -> list[int]:
     """Positions of the regressors that order (p, q) with one seasonal term uses."""
@@ -94,7 +98,7 @@ def residuals(diffed: DataFrame) -> DataFrame:
     )
 
 
-@F.pandas_udf("array<double>")
+@F.pandas_udf(DOUBLES)
 def solve_toeplitz(acov: pd.Series) -> pd.Series:
     """Autoregressive weights from autocovariances at lags 0, 1, ...; 0 for a flat series."""
     known = [np.nan_to_num(np.asarray(a, dtype=float)) for a in acov]
@@ -164,7 +168,7 @@ def fit_grid(history: DataFrame, orders: Sequence[tuple[int, int, int]]) -> Data
     return fits
 
 
-@F.pandas_udf("coefficients array<double>, aic double")
+@F.pandas_udf(SOLUTION)
 def solve_order(gram: pd.Series, n: pd.Series, p: pd.Series, q: pd.Series) -> pd.DataFrame:
     """Solve each state's system for its order; unused regressors get weight 0."""
     full = unpack(gram, N_REGRESSORS + 1)
@@ -181,7 +185,25 @@ def solve_order(gram: pd.Series, n: pd.Series, p: pd.Series, q: pd.Series) -> pd
         sse = np.maximum(systems[:, -1, -1] - 2 * cross + inner, 1e-300)
         count = n.to_numpy(dtype=float)[rows]
         aic[rows] = count * np.log(sse / count) + 2 * len(keep)
-    return pd.DataFrame({"coefficients": list(coefficients), "aic": aic})
+    return pd.DataFrame({"coefficients": list(stationary(coefficients)), "aic": aic})
+
+
+def stationary(coefficients: np.ndarray) -> np.ndarray:
+    """Pull explosive autoregressive parts inside the unit circle.
+
+    Unrestricted least squares may leave a root outside it, and a long forecast would grow
+    without bound. Scaling the weight at lag k by r**k moves every root by the factor r.
+    """
+    lags = np.asarray(SHORT_LAGS)
+    reach = lags.max()
+    companion = np.zeros((len(coefficients), reach, reach))
+    companion[:, np.arange(1, reach), np.arange(reach - 1)] = 1
+    companion[:, 0, lags - 1] = coefficients[:, : len(lags)]
+    radius = np.abs(np.linalg.eigvals(companion)).max(axis=1)
+    shrink = np.minimum(1, LARGEST_ROOT / np.maximum(radius, LARGEST_ROOT))
+    bounded = coefficients.copy()
+    bounded[:, : len(lags)] *= shrink[:, None] ** lags
+    return bounded
 
 
 def fit_seasonal_ar(history: DataFrame, order: tuple[int, int, int] = ARIMA_ORDER) -> DataFrame:
@@ -199,7 +221,7 @@ def select_order(fits: DataFrame) -> DataFrame:
     return fits.groupBy(KEY).agg(best.alias("best")).select(KEY, "best.*")
 
 
-@F.pandas_udf("array<double>")
+@F.pandas_udf(DOUBLES)
 def continue_series(coefficients: pd.Series, tail_y: pd.Series, tail_w: pd.Series,
                     tail_e: pd.Series, unit: pd.Series, d: pd.Series,
                     steps: pd.Series) -> pd.Series:

@@ -15,14 +15,12 @@ from tideline.functions.scalars import finite
 from tideline.operators.scoring import METRICS
 
 KEY = "state"
-METRIC_TYPE = "struct<mae: double, rmse: double, mape: double>"
-RESULT_TYPE = (
-    f"struct<best_model: string, metrics: map<string, {METRIC_TYPE}>,"
-    " train_size: bigint, test_size: bigint>"
+METRIC_TYPE = "struct<mae double, rmse double, mape double>"
+RESULT_FIELDS = (
+    f"best_model string, metrics map<string, {METRIC_TYPE}>, train_size bigint, test_size bigint"
 )
-FORECAST_TYPE = (
-    "struct<dates: array<string>, predictions: array<double>,"
-    " model_used: string, last_training_date: string>"
+FORECAST_FIELDS = (
+    "dates array<string>, predictions array<double>, model_used string, last_training_date string"
 )
 
 
@@ -75,23 +73,22 @@ def write_documents(documents: DataFrame, path: str) -> None:
     documents.write.mode("overwrite").json(path)
 
 
-def read_documents(spark: SparkSession, path: str, kind: str = RESULT_TYPE) -> DataFrame:
-    """Documents written by ``write_documents``: state plus the fields of ``kind``."""
-    fields = kind.removeprefix("struct<").removesuffix(">")
-    return spark.read.schema(f"{KEY}: string, {fields}").json(path)
+def read_documents(spark: SparkSession, path: str, fields: str = RESULT_FIELDS) -> DataFrame:
+    """Documents written by ``write_documents``, read with a fixed schema."""
+    return spark.read.schema(f"{KEY} string, {fields}").json(path)
 
 
-def read_nested_document(spark: SparkSession, path: str, kind: str = RESULT_TYPE) -> DataFrame:
+def read_nested_document(spark: SparkSession, path: str, fields: str = RESULT_FIELDS) -> DataFrame:
     """A document ``{state: {...}, ...}`` in one file, as one row per state.
 
     The file is one JSON value and cannot be split; it is as small as a report.
     """
     text = spark.read.text(path, wholetext=True)
-    return parse_nested(text, F.col("value"), kind)
+    return parse_nested(text, F.col("value"), fields)
 
 
-def parse_nested(df: DataFrame, text: Column, kind: str = RESULT_TYPE) -> DataFrame:
-    parsed = F.from_json(text, f"map<string, {kind}>")
+def parse_nested(df: DataFrame, text: Column, fields: str = RESULT_FIELDS) -> DataFrame:
+    parsed = F.from_json(text, f"map<string, struct<{fields}>>")
     return df.select(F.explode(parsed).alias(KEY, "document")).select(KEY, "document.*")
 
 
