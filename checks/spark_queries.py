@@ -382,21 +382,20 @@ def seasonal_diff(spark, sf):
 
 def last_value_metrics(spark, sf):
     """Per state: how well the last training amount predicts the held-out days."""
-    rows = sp.split_series(dense(spark, sf))
-    train = rows.filter(F.col("split") == sp.TRAIN)
-    test = rows.filter(F.col("split") == sp.TEST)
-    predictions = cf.predict_last_value(cf.fit_last_value(train), test.select(KEY, "ds"))
-    return rounded_scores(so.evaluate(predictions, test))
+    rows = cf.last_value_in_place(sp.split_series(dense(spark, sf)))
+    return last_value_scores(rows, F.col("total"))
 
 
 def mape_zero_mask(spark, sf):
     """Errors against actuals that are 0 on every 13th, and always 0 in one state."""
-    rows = sp.split_series(dense(spark, sf))
-    train, test = rows.filter("split = 'train'"), rows.filter("split = 'test'")
+    rows = cf.last_value_in_place(sp.split_series(dense(spark, sf)))
     zero = (F.dayofmonth("ds") == 13) | (F.col(KEY) == "NATION_4")
-    actual = test.withColumn("total", F.when(zero, 0.0).otherwise(F.col("total")))
-    predictions = cf.predict_last_value(cf.fit_last_value(train), test.select(KEY, "ds"))
-    return rounded_scores(so.evaluate(predictions, actual))
+    return last_value_scores(rows, F.when(zero, 0.0).otherwise(F.col("total")))
+
+
+def last_value_scores(rows: DataFrame, actual: Column) -> DataFrame:
+    scores = rows.groupBy(KEY).agg(*so.metric_columns(actual, F.col("yhat")))
+    return rounded_scores(scores).withColumn("model", F.lit("LastValue"))
 
 
 def evaluate_models(spark, sf):
@@ -729,23 +728,24 @@ def prepared(spark, sf) -> tuple[DataFrame, DataFrame]:
 
 
 def arima_forecast(spark, sf):
-    train, test = prepared(spark, sf)
-    fit = seasonal_ar.fit_seasonal_ar(train)
-    return seasonal_ar.predict_seasonal_ar(fit, train, test.select(KEY, "ds"))
+    p = parts(spark, sf)
+    fit = seasonal_ar.fit_seasonal_ar(p["train"])
+    return seasonal_ar.predict_seasonal_ar(fit, p["train"], p["test"].select(KEY, "ds"))
 
 
 def arima_tuned(spark, sf):
-    best = tuning.tune_seasonal_ar(prepared(spark, sf)[0])
+    best = tuning.tune_seasonal_ar(parts(spark, sf)["train"])
     return best.select(KEY, "p", "d", "q", "aic")
 
 
 def fourier_forecast(spark, sf):
-    train, test = prepared(spark, sf)
-    return fourier.predict_fourier(fourier.fit_fourier(train), train, test.select(KEY, "ds"))
+    p = parts(spark, sf)
+    fit = fourier.fit_fourier(p["train"])
+    return fourier.predict_fourier(fit, p["train"], p["test"].select(KEY, "ds"))
 
 
 def fourier_tuned(spark, sf):
-    return tuning.tune_trend(prepared(spark, sf)[0])
+    return tuning.tune_trend(parts(spark, sf)["train"])
 
 
 def lookback_forecast(spark, sf):
@@ -755,6 +755,13 @@ def lookback_forecast(spark, sf):
     return pooled.predict_lookback(model, scale, train, test)
 
 
+def lookback_amounts(spark, sf):
+    p = parts(spark, sf)
+    scale = materialize(pooled.amount_scale(p["train"]))
+    model = pooled.fit_lookback(pooled.amount_sequences(p["train"], scale, c.LOOKBACK))
+    return pooled.predict_amounts(model, scale, p["train"], p["test"])
+
+
 def lookback_tuned(spark, sf):
     scores = tuning.score_lookback(prepared(spark, sf)[0])
     return so.best_configuration(scores, "rmse", ["length"])

@@ -140,6 +140,22 @@ def test_lookback_forecast_settles_after_its_window(prepared):
     assert len({round(r.yhat, 6) for r in rows[22:]}) == 1
 
 
+def test_amount_recursion_equals_a_loop(prepared):
+    train, test = sides(prepared)
+    scale = materialize(pooled.amount_scale(train))
+    model = pooled.fit_lookback(pooled.amount_sequences(train, scale, 7))
+    predictions = pooled.predict_amounts(model, scale, train, test)
+    check_forecast(predictions, test)
+    found = [r.yhat for r in predictions.filter("state = 'B'").orderBy("ds").collect()]
+    y = [r.total for r in train.filter("state = 'B'").orderBy("ds").collect()]
+    low, width = min(y), max(y) - min(y)
+    path = [(v - low) / width for v in y]
+    for _ in found:
+        path.append(float(np.dot(model.coefficients.toArray(), path[-7:])) + model.intercept)
+    expected = [max(v * width + low, 0) for v in path[len(y):]]
+    np.testing.assert_allclose(found, expected, rtol=1e-9)
+
+
 def test_metrics_with_zero_actuals(spark, sales_of):
     actual = sales_of([("A", 0, 0.0), ("A", 1, 0.0), ("B", 0, 0.0), ("B", 1, 4.0)])
     predictions = actual.select(KEY, F.lit("ARIMA").alias("model"), "ds", F.lit(3.0).alias("yhat"))

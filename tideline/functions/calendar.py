@@ -89,9 +89,9 @@ def with_calendar(df: DataFrame, date: str = "ds") -> DataFrame:
 
 def iso_timestamp(ds: Column) -> Column:
     """Midnight of ``ds`` as ISO text with a T, as used in responses."""
-    return F.date_format(ds, "yyyy-MM-dd'T'HH:mm:ss")
+    return F.concat(ds.cast("string"), F.lit("T00:00:00"))
 
 
 def spaced_timestamp(ds: Column) -> Column:
     """Midnight of ``ds`` as text with a blank, as used in forecast documents."""
-    return F.date_format(ds, "yyyy-MM-dd HH:mm:ss")
+    return F.concat(ds.cast("string"), F.lit(" 00:00:00"))

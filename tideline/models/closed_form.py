@@ -13,6 +13,7 @@ from pyspark.sql.window import Window
 from tideline.config import ARIMA, TREND
 from tideline.functions.scalars import clip_negative, finite
 from tideline.operators.features import series_window
+from tideline.operators.split import TEST, TRAIN
 
 KEY = "state"
 
@@ -36,6 +37,17 @@ def predict_last_value(fit: DataFrame, targets: DataFrame, model: str = "LastVal
     return as_predictions(targets.join(fit, KEY), model, F.col("last_total"))
 
 
+def last_value_in_place(split: DataFrame) -> DataFrame:
+    """The held-out rows of a labelled table with the last training amount as ``yhat``.
+
+    Held-out rows follow the training rows of their series, so the forecast is a training amount
+    carried forward: no join, and the rows stay where the split put them.
+    """
+    known = F.when(F.col("split") == TRAIN, F.col("total"))
+    yhat = clip_negative(F.last(known, ignorenulls=True).over(series_window()))
+    return split.withColumn("yhat", yhat).filter(F.col("split") == TEST)
+
+
 def predict_constant(targets: DataFrame, model: str, value: float = 0.0) -> DataFrame:
     """The same value everywhere, 0 for a model that failed."""
     return as_predictions(targets, model, F.lit(value))

@@ -13,7 +13,7 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -138,13 +138,13 @@ def solver(yearly: bool, trend: bool):
 @F.pandas_udf(DOUBLE)
 def trend_part(t: pd.Series, weights: pd.Series) -> pd.Series:
     columns = design(t.to_numpy(), np.zeros(len(t)))[:, :N_TREND]
-    return pd.Series(np.einsum("nk,nk->n", columns, np.stack(weights)[:, :N_TREND]))
+    return pd.Series(np.einsum("nk,nk->n", columns, np.stack(weights)))
 
 
 @F.pandas_udf(DOUBLE)
 def season_part(day: pd.Series, weights: pd.Series) -> pd.Series:
     columns = design(np.zeros(len(day)), day.to_numpy())[:, N_TREND:]
-    return pd.Series(np.einsum("nk,nk->n", columns, np.stack(weights)[:, N_TREND:]))
+    return pd.Series(np.einsum("nk,nk->n", columns, np.stack(weights)))
 
 
 def fit_fourier(history: DataFrame, modes: Sequence[str] = ("multiplicative",),
@@ -162,24 +162,36 @@ def fit_fourier(history: DataFrame, modes: Sequence[str] = ("multiplicative",),
     sums = cross_products(rows)
     fits = None
     for yearly in yearly_options:
-        additive = sums.select(KEY, solver(yearly, trend=True)("gram").alias("trend"))
+        solved = sums.select(KEY, solver(yearly, trend=True)("gram").alias("weights"))
+        additive = solved.select(KEY, *weight_parts())
         for mode in modes:
             if mode == "additive":
-                fit = additive.withColumn("season", F.col("trend"))
+                fit = additive
             else:
-                base = rows.join(additive, KEY).withColumn("base", trend_part("t", "trend"))
+                trend = additive.select(KEY, "trend")
+                base = rows.join(trend, KEY).withColumn("base", trend_part("t", "trend"))
                 ratios = base.filter(F.col("base") > 0).withColumn(
                     "ratio", F.col("y") / F.col("base") - 1
                 )
                 seasonal = cross_products(ratios, "ratio").select(
-                    KEY, solver(yearly, trend=False)("gram").alias("season")
+                    KEY, solver(yearly, trend=False)("gram").alias("weights")
+                )
+                fit = additive.drop("season").join(
+                    seasonal.select(KEY, weight_parts()[1]), KEY
                 )
-                fit = additive.join(seasonal, KEY)
             fit = fit.withColumns({"mode": F.lit(mode), "yearly": F.lit(yearly)})
             fits = fit if fits is None else fits.unionByName(fit)
     return fits.join(bounds, KEY)
 
 
+def weight_parts() -> list[Column]:
+    """Weights of the trend and of the seasonal columns, as two arrays."""
+    return [
+        F.slice("weights", 1, N_TREND).alias("trend"),
+        F.slice("weights", N_TREND + 1, N_YEARLY + N_WEEKLY).alias("season"),
+    ]
+
+
 def fit_fourier_grid(history: DataFrame) -> DataFrame:
     return fit_fourier(history, SEASONALITY_MODES, YEARLY_OPTIONS)
 

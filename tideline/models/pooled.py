@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tideline import config as c
-from tideline.functions.scalars import clip_negative
+from tideline.functions.scalars import clip_negative, pad_left
 from tideline.models.closed_form import as_predictions
 from tideline.operators.features import complete_rows, fill_features
 from tideline.operators.scale import min_max_scale, scaler_stats, unscaled
@@ -168,3 +168,46 @@ def predict_lookback(model: LinearRegressionModel, scale: DataFrame, history: Da
     ahead = F.least(F.datediff("ds", "last_ds"), F.lit(length + 1))
     joined = targets.select(KEY, "ds").join(paths, KEY)
     return as_predictions(joined, name, F.get("path.yhat", ahead - 1))
+
+
+# -- look-back regression on the amounts alone ---------------------------------------------------
+
+
+def amount_sequences(history: DataFrame, scale: DataFrame, length: int) -> DataFrame:
+    """The ``length`` scaled amounts before each row, and the row's own as target."""
+    rows = min_max_scale(history.select(KEY, "ds", "total"), scale, ["total"])
+    return lookback_sequences(rows, F.col("total"), length).select(
+        KEY, "ds", F.col("total").alias("target"), array_to_vector("sequence").alias("inputs")
+    )
+
+
+def predict_amounts(model: LinearRegressionModel, scale: DataFrame, history: DataFrame,
+                    targets: DataFrame, name: str = c.LOOKBACK_MODEL) -> DataFrame:
+    """Multi-step forecast in which every prediction becomes an input of the next step.
+
+    The recursion runs on one array per series, from its last amounts; a series shorter than the
+    look-back is extended on the left with its first amount.
+    """
+    weights = [float(w) for w in model.coefficients]
+    length = len(weights)
+    rows = min_max_scale(history.select(KEY, "ds", "total"), scale, ["total"])
+    tails = last_sequence(rows, F.col("total"), length).withColumn(
+        "tail", pad_left(F.col("sequence"), length)
+    )
+    steps = targets.join(tails.select(KEY, "last_ds"), KEY).groupBy(KEY).agg(
+        F.max(F.datediff("ds", "last_ds")).alias("steps")
+    )
+
+    def extend(path: Column, _: Column) -> Column:
+        products = F.zip_with(
+            F.slice(path, -length, length), F.array(*[F.lit(w) for w in weights]), lambda x, w: x * w
+        )
+        following = F.aggregate(products, F.lit(float(model.intercept)), lambda a, x: a + x)
+        return F.concat(path, F.array(following))
+
+    paths = tails.join(steps, KEY).select(
+        KEY, "last_ds", F.aggregate(F.sequence(F.lit(1), F.col("steps")), "tail", extend).alias("path")
+    )
+    joined = targets.select(KEY, "ds").join(paths, KEY).join(scale, KEY)
+    scaled_yhat = F.get("path", length - 1 + F.datediff("ds", "last_ds"))
+    return as_predictions(joined, name, clip_negative(unscaled(scaled_yhat, "total")))

@@ -12,11 +12,14 @@ KEY = "state"
 def roll_up(sales: DataFrame) -> DataFrame:
     """One row per state and day: amounts summed, category the smallest.
 
-    The partial aggregate runs before the shuffle, so even a series that holds most of the raw
-    rows leaves at most one row per day and task. Everything after this step is bounded by the
-    calendar, not by the input volume. A day whose amounts are all NULL stays NULL.
+    Raw rows are reduced by a hash aggregate before anything is shuffled, so even a series that
+    holds most of them leaves one row per day, category and task. The smallest category is
+    picked among those few rows: as an aggregate over raw rows, a text minimum would make Spark
+    sort them. Everything after this step is bounded by the calendar, not by the input volume.
+    A day whose amounts are all NULL stays NULL.
     """
-    return sales.groupBy(KEY, "ds").agg(
+    by_category = sales.groupBy(KEY, "ds", "category").agg(F.sum("total").alias("total"))
+    return by_category.groupBy(KEY, "ds").agg(
         F.sum("total").alias("total"), F.min("category").alias("category")
     )
 
@@ -83,12 +86,15 @@ def densify_keeping_rows(sales: DataFrame) -> DataFrame:
 
     The gap filling works on one row per day that carries the day's first and last known amount
     (in category, amount order), so it is bounded by the calendar like ``densify``. The original
-    rows are then read once more; only those without an amount look one up.
+    rows are then read once more; only incomplete ones are joined to what fills them.
     """
-    known_order = F.when(F.col("total").isNotNull(), F.struct("category", "total"))
-    ends = sales.groupBy(KEY, "ds").agg(
-        F.min_by("total", known_order).alias("first_total"),
-        F.max_by("total", known_order).alias("last_total"),
+    by_category = sales.groupBy(KEY, "ds", "category").agg(
+        F.min("total").alias("least"), F.max("total").alias("most")
+    )
+    known = F.when(F.col("least").isNotNull(), F.struct("category"))
+    ends = by_category.groupBy(KEY, "ds").agg(
+        F.min_by("least", known).alias("first_total"),
+        F.max_by("most", known).alias("last_total"),
         F.max("category").alias("category"),
     )
     days = _filled_days(ends, first="first_total", last="last_total")
@@ -98,13 +104,15 @@ def densify_keeping_rows(sales: DataFrame) -> DataFrame:
     fills = days.filter(F.col("ds") == F.col("row_ds")).select(
         KEY, "ds", "fill", F.col("category").alias("fill_category")
     )
-    rows = sales.join(fills, [KEY, "ds"]).select(
+    is_complete = F.col("total").isNotNull() & F.col("category").isNotNull()
+    filled = sales.filter(~is_complete).join(fills, [KEY, "ds"]).select(
         KEY,
         "ds",
         F.coalesce("total", "fill").alias("total"),
         F.coalesce("category", "fill_category").alias("category"),
     )
-    return rows.unionByName(gaps)
+    complete = sales.filter(is_complete).select(KEY, "ds", "total", "category")
+    return complete.unionByName(filled).unionByName(gaps)
 
 
 def spine_join(daily: DataFrame) -> DataFrame:

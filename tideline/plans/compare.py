@@ -32,6 +32,7 @@ class Settings:
     trees: dict = field(default_factory=lambda: {"trees": c.TREE_COUNT})
     tune: bool = False
     models: tuple[str, ...] = c.BASE_MODELS
+    select_by: str = "rmse"
 
 
 @dataclass(frozen=True)
@@ -154,7 +155,7 @@ def compare_models(sales: DataFrame, settings: Settings | None = None) -> Compar
     predictions = materialize(stacked_predictions(train_fits, weights, train, test))
     models = [m for m in c.MODEL_ORDER if m in (*settings.models, c.STACKED)]
     scores = materialize(evaluate(predictions, test, expected_pairs(prepared, models)))
-    best = select_best(scores)
+    best = select_best(scores, settings.select_by)
     return Comparison(
         prepared, settings, base_fits, train_fits, weights, predictions, scores, best,
         split_sizes(prepared),

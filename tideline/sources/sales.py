@@ -83,16 +83,18 @@ def star_sales(spark: SparkSession, folder: str) -> DataFrame:
     summed as decimals, which makes the result independent of the order of the rows.
     """
 
-    def table(name: str) -> DataFrame:
-        return spark.read.parquet(f"{folder}/{name}.parquet")
+    def table(name: str, columns: str) -> DataFrame:
+        return spark.read.schema(columns).parquet(f"{folder}/{name}.parquet")
 
-    places = (
-        table("nation")
-        .join(table("region"), F.col("n_regionkey") == F.col("r_regionkey"))
-        .select("n_nationkey", F.col("n_name").alias("state"), F.col("r_name").alias("category"))
+    nations = table("nation", "n_nationkey int, n_name string, n_regionkey int")
+    regions = table("region", "r_regionkey int, r_name string")
+    places = nations.join(regions, F.col("n_regionkey") == F.col("r_regionkey")).select(
+        "n_nationkey", F.col("n_name").alias("state"), F.col("r_name").alias("category")
+    )
+    customers = table("customer", "c_custkey bigint, c_nationkey int")
+    orders = table(
+        "orders", "o_custkey bigint, o_totalprice double, o_orderdate timestamp_ntz"
     )
-    customers = table("customer").select("c_custkey", "c_nationkey")
-    orders = table("orders").select("o_custkey", "o_orderdate", "o_totalprice")
     return (
         orders.join(customers, F.col("o_custkey") == F.col("c_custkey"))
         .groupBy("c_nationkey", F.to_date("o_orderdate").alias("ds"))
