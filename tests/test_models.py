@@ -274,6 +274,8 @@ def test_training_run_resumes(spark, tmp_path, seasonal):
     progress = reg.Progress(spark, folder)
     status = {r.state: r.status for r in progress.completed().collect()}
     assert status == {"A": "ok", "tiny": "skipped"}
+    counts = {r.status: r.n_states for r in training.overview(progress.completed()).collect()}
+    assert counts == {"ok": 1, "skipped": 1}
     second = training.train(spark, sales, folder, settings)
     assert {r.state for r in second.collect()} == {"B"}
     results = doc.read_documents(spark, f"{folder}/results")

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from tideline import config as c
 from tideline.functions.scalars import clip_negative, pad_left
 from tideline.models.closed_form import as_predictions
-from tideline.operators.features import complete_rows, fill_features
+from tideline.operators.features import complete_rows, ensure_features, fill_features
 from tideline.operators.scale import min_max_scale, scaler_stats, unscaled
 from tideline.operators.sequences import held_sequence, last_sequence, lookback_sequences
 from tideline.operators.split import with_enough_rows
@@ -91,8 +91,11 @@ def fit_trees(inputs: DataFrame, trees: int = c.TREE_COUNT, depth: int = c.TREE_
 
 def predict_trees(model: GBTRegressionModel, scale: DataFrame, features: DataFrame,
                   name: str = c.TREES) -> DataFrame:
-    """One prediction per feature row; gaps in the features are carried forward, then 0."""
-    rows = assembled(in_units(fill_features(features), scale))
+    """One prediction per row; gaps in the features are carried forward, then 0.
+
+    Rows that lack a feature column altogether get all of them computed first.
+    """
+    rows = assembled(in_units(fill_features(ensure_features(features)), scale))
     return as_predictions(model.transform(rows), name, back_to_amount())
 
 

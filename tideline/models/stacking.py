@@ -32,7 +32,8 @@ def fit_stack(predictions: DataFrame, actuals: DataFrame,
 
     Needs the centred cross products of the meta columns only, so rows are reduced to one small
     matrix per state before anything is solved. A state uses the base models that predicted it,
-    on the days all of them cover; states with fewer than two of them, or fewer than ten rows, get no ensemble.
+    on the days all of them cover; states with fewer than two of them, or fewer than ten rows,
+    get no ensemble.
     """
     state = Window.partitionBy(KEY)
     matrix = meta_matrix(predictions, models).join(
@@ -49,9 +50,9 @@ def fit_stack(predictions: DataFrame, actuals: DataFrame,
         F.count("*").alias("n"),
         F.array(*[F.max(_flag(name)).cast("int") for name in models]).alias("present"),
         F.array(*[F.avg(c) for c in columns]).alias("means"),
-        F.array(*[F.covar_samp(a, b) * (F.count("*") - 1) for a, b in gram_columns(columns)]).alias(
-            "gram"
-        ),
+        F.array(
+            *[F.covar_samp(a, b) * (F.count("*") - 1) for a, b in gram_columns(columns)]
+        ).alias("gram"),
     )
     ready = sums.filter(
         (F.col("n") >= MIN_META_ROWS)

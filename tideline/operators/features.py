@@ -16,7 +16,7 @@ KEY = "state"
 LONGEST_LOOK_BACK = max(*LAGS, *ROLLING_WINDOWS)
 
 
-def series_window(order: str = "ds") -> WindowSpec:
+def series_window(order: str | Column = "ds") -> WindowSpec:
     return Window.partitionBy(KEY).orderBy(order)
 
 
