@@ -278,6 +278,7 @@ def test_training_run_resumes(spark, tmp_path, seasonal):
     assert counts == {"ok": 1, "skipped": 1}
     second = training.train(spark, sales, folder, settings)
     assert {r.state for r in second.collect()} == {"B"}
+    assert training.train(spark, sales, folder, settings).isEmpty()
     results = doc.read_documents(spark, f"{folder}/results")
     assert {r.state for r in results.collect()} == {"A", "B"}
     saved = reg.ModelRegistry(spark, f"{folder}/models/batch=000002")

@@ -95,30 +95,43 @@ def scaled_history(history: DataFrame) -> DataFrame:
 def cross_products(rows: DataFrame, target: str = "y") -> DataFrame:
     """Cross products of design and target per state, as one array.
 
-    Each task emits one matrix per batch and state, whatever the number of rows in between;
-    Spark adds the matrices up entry by entry.
+    Tasks read rows in runs of one state and emit one matrix per run, whatever its length. The
+    rows come clustered by state from the window that scaled them, so there is one run per state
+    and the matrices, not the rows, are what is shuffled and added up.
     """
 
     def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         upper = np.triu_indices(N_COLUMNS + 1)
+        state, gram = None, None
         for batch in batches:
+            done = []
             full = np.column_stack(
                 [design(batch["t"].to_numpy(), batch["day"].to_numpy()), batch[target].to_numpy()]
             )
-            found = batch.groupby(KEY, sort=False).indices.items()
-            grams = [(state, (full[at].T @ full[at])[upper]) for state, at in found]
-            yield pd.DataFrame(grams, columns=[KEY, "gram"])
+            keys = batch[KEY].to_numpy()
+            ends = [*(np.flatnonzero(keys[1:] != keys[:-1]) + 1), len(keys)]
+            for start, end in zip([0, *ends], ends):
+                run = full[start:end].T @ full[start:end]
+                if keys[start] == state:
+                    gram += run
+                    continue
+                if gram is not None:
+                    done.append((state, gram[upper]))
+                state, gram = keys[start], run
+            yield pd.DataFrame(done, columns=[KEY, "gram"])
+        if gram is not None:
+            yield pd.DataFrame([(state, gram[upper])], columns=[KEY, "gram"])
 
     parts = rows.select(KEY, "t", "day", target).mapInPandas(
         partial, f"{KEY} string, gram array<double>"
     )
-    return (
-        parts.select(KEY, F.posexplode("gram").alias("pos", "value"))
-        .groupBy(KEY, "pos")
-        .agg(F.sum("value").alias("value"))
-        .groupBy(KEY)
-        .agg(F.sort_array(F.collect_list(F.struct("pos", "value"))).alias("entries"))
-        .select(KEY, F.col("entries.value").alias("gram"))
+    zeros = F.array_repeat(F.lit(0.0), (N_COLUMNS + 1) * (N_COLUMNS + 2) // 2)
+    summed = F.aggregate(
+        "grams", zeros, lambda acc, gram: F.zip_with(acc, gram, lambda a, b: a + b)
+    )
+    runs = parts.groupBy(KEY).agg(F.collect_list("gram").alias("grams"))
+    return runs.select(
+        KEY, F.when(F.size("grams") == 1, F.element_at("grams", 1)).otherwise(summed).alias("gram")
     )
 
 

@@ -139,13 +139,16 @@ def rows_of(prepared: DataFrame, label: str) -> DataFrame:
 
 
 def compare_models(sales: DataFrame, settings: Settings | None = None) -> Comparison:
-    """Score all models on the last fifth of every series and pick a winner per state.
+    """Score all models on the last fifth of every series and pick a winner per state."""
+    return compare_prepared(materialize(prepare(sales)), settings or Settings())
+
+
+def compare_prepared(prepared: DataFrame, settings: Settings) -> Comparison:
+    """The comparison on an already prepared and kept table with at least one series.
 
     The stacking weights come from base models that have not seen the rows they are fitted on:
     those are trained on the first part of the training rows and predict the rest of it.
     """
-    settings = settings or Settings()
-    prepared = materialize(prepare(sales))
     train, test = rows_of(prepared, TRAIN), rows_of(prepared, TEST)
     base, meta = rows_of(prepared, "base"), rows_of(prepared, "meta")
     if settings.tune:

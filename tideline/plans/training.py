@@ -11,16 +11,18 @@ from tideline.operators.scoring import evaluate, leaderboard
 from tideline.plans.compare import (
     Fits,
     Settings,
-    compare_models,
+    compare_prepared,
     forecast_best,
     refit_stack,
     stacked_predictions,
 )
+from tideline.plans.prepare import prepare
 from tideline.session import materialize
 from tideline.sources.documents import forecast_documents, result_documents, write_documents
 from tideline.sources.registry import ModelRegistry, Progress, remaining_sales
 
 KEY = "state"
+FORECAST_SCHEMA = "state string, model_used string, ds date, yhat double, last_ds date"
 POOLED_KINDS = {c.TREES: GBTRegressionModel, c.LOOKBACK_MODEL: LinearRegressionModel}
 
 
@@ -54,13 +56,17 @@ def train(spark: SparkSession, sales: DataFrame, folder: str, settings: Settings
     Returns the forecasts of this run. All remaining states go through one plan. They are
     recorded last, and a batch is named after the number of states done before it, so a run that
     was interrupted writes over its own leftovers. States too short to be trained are recorded
-    as ``skipped``.
+    as ``skipped``; when nothing is left to train, no forecast comes back.
     """
     progress = Progress(spark, folder)
     done = progress.completed()
     batch = f"batch={done.count():06d}"
     todo = materialize(remaining_sales(sales, done))
-    run = compare_models(todo, settings)
+    prepared = materialize(prepare(todo))
+    if prepared.isEmpty():
+        progress.record(todo.select(KEY).distinct().withColumn("status", F.lit("skipped")))
+        return spark.createDataFrame([], FORECAST_SCHEMA)
+    run = compare_prepared(prepared, settings or Settings())
     forecasts = materialize(forecast_best(run, days))
     registry = ModelRegistry(spark, f"{folder}/models/{batch}")
     save_fits(registry, run.train_fits)
@@ -69,9 +75,9 @@ def train(spark: SparkSession, sales: DataFrame, folder: str, settings: Settings
     results = result_documents(run.scores, run.best, run.sizes)
     write_documents(results, f"{folder}/results/{batch}")
     write_documents(forecast_documents(forecasts), f"{folder}/forecasts/{batch}")
-    progress.record(run.scores, "ok")
-    skipped = todo.select(KEY).distinct().join(run.scores.select(KEY), KEY, "left_anti")
-    progress.record(skipped, "skipped")
+    trained = run.scores.select(KEY).distinct().withColumn("status", F.lit("ok"))
+    states = todo.select(KEY).distinct().join(trained, KEY, "left")
+    progress.record(states.select(KEY, F.coalesce("status", F.lit("skipped")).alias("status")))
     return forecasts
 
 

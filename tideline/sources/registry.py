@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.ml.util import MLReadable, MLWritable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -76,15 +77,18 @@ class Progress:
         self.spark = spark
         self.path = f"{folder}/progress"
 
-    def record(self, states: DataFrame, status: str) -> None:
-        states.select(KEY).distinct().withColumn("status", F.lit(status)).write.mode(
-            "append"
-        ).parquet(self.path)
+    def record(self, states: DataFrame) -> None:
+        """Append ``states(state, status)``: one commit for a whole batch."""
+        states.write.mode("append").parquet(self.path)
 
     def completed(self) -> DataFrame:
         """States processed so far; none before the first record."""
-        self.spark.createDataFrame([], PROGRESS_SCHEMA).write.mode("append").parquet(self.path)
-        return self.spark.read.schema(PROGRESS_SCHEMA).parquet(self.path)
+        try:
+            return self.spark.read.schema(PROGRESS_SCHEMA).parquet(self.path)
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return self.spark.createDataFrame([], PROGRESS_SCHEMA)
 
 
 def remaining_states(sales: DataFrame, completed: DataFrame) -> DataFrame:
