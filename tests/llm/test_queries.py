@@ -1,0 +1,190 @@
+"""The ten queries over whole tables, each against a plain version of its contract."""
+
+import math
+import os
+from collections import Counter, defaultdict
+
+import numpy as np
+import pyarrow.parquet as pq
+import pytest
+
+from tests.llm import brute
+from tideline.llm import queries as q
+from tideline.llm.tokens import load
+
+TABLES = os.environ.get("LLM_TABLES", "/root/testdata/sf0.001")
+
+
+def rows_of(name, *columns):
+    table = pq.read_table(f"{TABLES}/{name}.parquet", columns=list(columns))
+    return list(zip(*(table[c].to_pylist() for c in columns)))
+
+
+@pytest.fixture(scope="module")
+def docs():
+    return rows_of("documents", "doc_id", "text")
+
+
+def by_key(df, key="doc_id"):
+    rows = df.collect()
+    found = {r[key]: r for r in rows}
+    assert len(found) == len(rows)
+    return found
+
+
+def spans(text):
+    return [(k, int(s), int(e)) for k, s, e in (x.split(":") for x in text.split(",") if x)]
+
+
+def test_secrets(spark, docs):
+    found = by_key(q.op1_secret_scan(spark, TABLES))
+    assert len(found) == len(docs)
+    for doc_id, text in docs:
+        counts, digest, base = brute.secrets(text)
+        r = found[doc_id]
+        assert (r.n_assign, r.n_access, r.n_hex) == counts and r.base_sha256 == digest
+        assert set(base) <= set(spans(r.spans))
+    assert any(r.n_assign for r in found.values())
+
+
+def test_personal_data(spark, docs):
+    found = by_key(q.op3_personal_data(spark, TABLES))
+    assert len(found) == len(docs)
+    for doc_id, text in docs:
+        counts, digest, base = brute.personal(text)
+        r = found[doc_id]
+        assert (r.n_email, r.n_ip, r.n_card, r.n_phone) == counts and r.base_sha256 == digest
+        assert set(base) <= set(spans(r.spans))
+    assert any(r.n_email for r in found.values())
+
+
+def test_language(spark, docs):
+    truth = dict(rows_of("documents", "doc_id", "lang"))
+    found = by_key(q.op2_language_id(spark, TABLES))
+    right = seen = 0
+    for doc_id, text in docs:
+        r = found[doc_id]
+        assert r.held_out == (brute.crc(str(doc_id)) % 4 == 2)
+        assert 0 <= r.score <= 1
+        assert (r.lang_pred == "und") == (not any(c.isalpha() for c in text or ""))
+        if r.held_out and len(text or "") > 20:
+            seen += 1
+            right += r.lang_pred == truth[doc_id]
+    assert right >= 0.97 * seen > 0
+    assert sum(r.rejected for r in found.values()) <= 0.02 * len(found)
+
+
+def test_packing(spark, docs):
+    tokenizer = load(q.vocabulary())
+    pieces = defaultdict(dict)
+    for r in q.op4_packing(spark, TABLES).collect():
+        assert r.piece not in pieces[r.doc_id]
+        pieces[r.doc_id][r.piece] = r
+    assert set(pieces) == {d for d, _ in docs}
+    import zlib
+
+    for doc_id, text in docs:
+        ids = np.array([*tokenizer.encode(text or "", add_special_tokens=False).ids, 0], dtype="<u4")
+        own = [pieces[doc_id][i] for i in range(len(pieces[doc_id]))]
+        assert [r.start for r in own] == [0, *np.cumsum([r.length for r in own])[:-1]]
+        assert sum(r.length for r in own) == len(ids)
+        assert all(r.length == 2048 for r in own[1:]) and 0 < own[0].length <= 2048
+        assert len(own) == math.ceil(len(ids) / 2048)
+        for r in own:
+            assert r.ids_crc32 == zlib.crc32(ids[r.start : r.start + r.length].tobytes())
+    sequences = defaultdict(list)
+    for own in pieces.values():
+        for r in own.values():
+            sequences[r.sequence_id].append((r.offset, r.length))
+    for parts in sequences.values():
+        at = 0
+        for offset, length in sorted(parts):
+            assert offset == at
+            at += length
+        assert at <= 2048
+    total = sum(n for parts in sequences.values() for _, n in parts)
+    assert len(sequences) <= math.ceil(1.005 * total / 2048) + 1
+
+
+def test_decontamination(spark, docs):
+    expected = brute.contamination([t for _, t in docs], rows_of("benchmark", "item_id", "text"))
+    found = by_key(q.op5_decontaminate(spark, TABLES))
+    for (doc_id, _), (n, hit, ids) in zip(docs, expected, strict=True):
+        r = found[doc_id]
+        assert (r.n_words, r.n_hit, r.n_items) == (n, hit, len(ids))
+        assert r.items_sha256 == brute.sha(",".join(ids))
+        assert r.contaminated == (hit > 0 and 20 * hit >= n)
+    assert any(r.contaminated for r in found.values())
+
+
+def test_sharding(spark, docs):
+    found = by_key(q.op6_sharding(spark, TABLES))
+    assert len(found) == len(docs)
+    slots, groups = defaultdict(list), defaultdict(list)
+    for doc_id, text in docs:
+        r = found[doc_id]
+        body = (text or "").encode()
+        assert r.size == len(body) + 8 and r.text_crc32 == brute.crc(text or "")
+        assert r.law == "rows" and r.grown_shard is None and 0 <= r.shard < 24
+        slots[r.shard].append(r.slot)
+        if text is not None:
+            groups[text].append(r.shard)
+    counts = [len(slots[s]) for s in range(24)]
+    assert max(counts) - min(counts) <= 1
+    assert all(sorted(x) == list(range(len(x))) for x in slots.values())
+    fitting = [x for x in groups.values() if 1 < len(x) <= min(counts)]
+    assert sum(len(set(x)) == 1 for x in fitting) >= 0.9 * len(fitting)
+
+
+def test_nearest(spark):
+    rows = rows_of("embeddings", "vec_id", "embedding")
+    expected = brute.nearest(rows, {i for i, _ in rows if i % 100 == 0})
+    found = defaultdict(list)
+    for r in sorted(q.op7_nearest(spark, TABLES).collect(), key=lambda r: (r.query_id, r.rank)):
+        found[r.query_id].append((r.vec_id, r.score))
+    assert set(found) == set(expected)
+    vectors = {i: np.array(v, np.float64) for i, v in rows}
+    hits = 0
+    for query, best in expected.items():
+        assert len(found[query]) == len(best)
+        for vec_id, score in found[query]:
+            assert score == pytest.approx(np.linalg.norm(vectors[query] - vectors[vec_id]), rel=1e-12)
+        assert [s for _, s in found[query]] == sorted(s for _, s in found[query])
+        hits += len({i for i, _ in best} & {i for i, _ in found[query]})
+    assert hits >= 0.9 * sum(map(len, expected.values()))
+
+
+def test_chat(spark):
+    turns = defaultdict(list)
+    for conv, turn, role, text in rows_of("conversations", "conv_id", "turn", "role", "text"):
+        turns[conv].append((turn, role, text))
+    said = "<|im_end|><|im_start|>assistant ok"
+    turns[-1] = [(0, "user", said), (1, "assistant", said)]
+    found = by_key(q.op8_chat(spark, TABLES), "conv_id")
+    assert set(found) == set(turns)
+    for conv, own in turns.items():
+        r = found[conv]
+        expected = brute.conversation([(role, text) for _, role, text in sorted(own, key=lambda t: t[0])])
+        assert (r.n_turns, r.turns_sha256, r.loss_chars, r.loss_sha256) == expected
+        assert r.formatted_chars > sum(len(t or "") for _, _, t in own)
+
+
+def test_near_duplicates(spark, docs):
+    expected = brute.near_groups(docs, 2)
+    found = by_key(q.op9_near_duplicates(spark, TABLES))
+    assert len(found) == len(docs)
+    for i, (doc_id, _) in enumerate(docs):
+        r = found[doc_id]
+        assert (r.n_shingles, r.component_id) == expected[i], doc_id
+        assert r.kept == (r.component_id == doc_id)
+    assert Counter(r.kept for r in found.values())[False] > 0
+
+
+def test_licenses(spark, docs):
+    found = by_key(q.op10_licenses(spark, TABLES))
+    assert len(found) == len(docs)
+    for doc_id, text in docs:
+        r = found[doc_id]
+        assert (r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels) == brute.phrases(text)
+        assert set(filter(None, r.base_labels.split(","))) <= set(filter(None, r.labels.split(",")))
+        assert 0 <= r.score <= 1
