@@ -10,13 +10,12 @@ The items are read in blocks of bounded size, one automaton at a time: a benchma
 costs bounded memory in driver and tasks, and no row is shuffled.
 
 Defined results: null text has no words; an item without words matches nothing; a short item (fewer
-words than a window) is one window; repeated items and rows count as they are, item ids once;
+words than a window) is one window; an item without id hits but is not listed; repeated items and rows count as they are, item ids once;
 ``max_coverage`` 0.05 is inclusive; an empty benchmark hits nothing; texts are streamed whole.
 """
 
 from __future__ import annotations
 
-import hashlib
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -24,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tideline.llm.text import ALNUM_BYTES, Words, word_chunks
+from tideline.llm.text import ALNUM_BYTES, Words, free_name, word_chunks
 from tideline.session import materialize
 
 WINDOW = 13
@@ -165,7 +164,7 @@ class Matcher:
                 row = int(words.row[begin])
                 first = begin - int(words.bounds[row])
                 out[row][0].extend((s + first, e + first) for s, e in ranges)
-                out[row][1].update(self.ids[i] for i in items)
+                out[row][1].update(self.ids[i] for i in items if self.ids[i] is not None)
         return [(union(ranges), items) for ranges, items in out]
 
 
@@ -284,15 +283,3 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, text: str = "text",
     into = free_name(docs, "hits")
     found = find_passages(docs, benchmark, text, into=into)
     return found.filter(~is_contaminated(into, max_coverage)).drop(into)
-
-
-def free_name(df: DataFrame, name: str) -> str:
-    """A column name that ``df`` does not use yet."""
-    taken = {c.lower() for c in df.columns}
-    while name in taken:
-        name = f"_{name}"
-    return name
-
-
-def items_digest(items: list[str]) -> str:
-    return hashlib.sha256(",".join(items).encode()).hexdigest()

@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tideline.llm.spans import Span, joined, masked, sha256_hex
+from tideline.llm.text import free_name
 
 # The base kinds, in their order.
 ASSIGN = re.compile(
@@ -202,6 +203,15 @@ def scan(text: Column) -> Column:
     return F.arrow_udf(_scan, _RESULT)(text)
 
 
-def redact(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` with every secret of ``text`` replaced by a mark; other texts stay as they are."""
-    return docs.withColumn(text, F.arrow_udf(_redact, "string")(F.col(text)))
+def redact(docs: DataFrame, text: str = "text", length: str | None = None) -> DataFrame:
+    """``docs`` with every secret of ``text`` replaced by a mark; other texts stay as they are.
+
+    The column ``length``, if named, is set to the new number of characters of changed texts.
+    """
+    clean = free_name(docs, "clean_text")
+    out = docs.withColumn(clean, F.arrow_udf(_redact, "string")(F.col(text)))
+    if length is not None:
+        same = F.col(clean).eqNullSafe(F.col(text))
+        changed = F.length(clean).cast(docs.schema[length].dataType)
+        out = out.withColumn(length, F.when(same, F.col(length)).otherwise(changed))
+    return out.withColumn(text, F.col(clean)).drop(clean)

@@ -18,8 +18,6 @@ written table); an empty table gives an empty result.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -27,7 +25,9 @@ from pyspark.sql.window import Window
 from tideline.session import materialize
 
 SHARDS = 24
-ROUNDS = 6
+ROUNDS = 12
+# Rounds end when no more than this share of the linked documents still moves.
+MOVED_SHARE = 0.002
 # Rows that one window partition holds on average.
 BUCKET_ROWS = 20_000
 
@@ -63,31 +63,98 @@ def _numbers(values: list[int]) -> Column:
     return F.array(*[F.lit(v).cast("bigint") for v in values])
 
 
+def _by_share(number: Column, shares: list[int]) -> Column:
+    """The shard whose share of ``0 .. sum(shares) - 1`` holds ``number``."""
+    out = F.lit(len(shares) - 1)
+    for s in reversed(range(len(shares))):
+        out = F.when(number < sum(shares[: s + 1]), F.lit(s)).otherwise(out)
+    return out
+
+
+def _large_size(quota: list[int]) -> int:
+    return max(2, max(quota) // 4)
+
+
+def _place_large(linked: DataFrame, quota: list[int]) -> tuple[DataFrame, list[int]]:
+    """Cells of the groups of at least a quarter of a shard, and what is left of the quotas.
+
+    There are at most four such groups per shard, so they are placed one by one, the largest
+    first, into the emptiest shards; one that is larger than a shard is split over several.
+    """
+    large = linked.filter(F.col("whole") >= _large_size(quota)).orderBy(F.desc("whole"), "g").collect()
+    room, cells = list(quota), []
+    for group in large:
+        left = group.whole
+        while left:
+            shard = max(range(len(room)), key=lambda s: (room[s], -s))
+            n = min(left, room[shard])
+            cells.append((bytes(group.g), shard, n))
+            room[shard] -= n
+            left -= n
+    rows = F.array(*[
+        F.struct(F.lit(g).alias("g"), F.lit(s).alias("shard"), F.lit(n).cast("bigint").alias("n"))
+        for g, s, n in cells
+    ])
+    if not cells:
+        rows = F.array().cast("array<struct<g:binary,shard:int,n:bigint>>")
+    return linked.sparkSession.range(1).select(F.inline(rows)), room
+
+
+def exchange(wanted: dict[tuple[int, int], int], room: list[int]) -> dict[tuple[int, int], int]:
+    """How many of the wanted moves between shards can be made: swaps, then moves into free room.
+
+    A move into a shard uses up its room and makes room where it came from.
+    """
+    made = {(s, t): min(n, wanted.get((t, s), 0)) for (s, t), n in wanted.items()}
+    room = list(room)
+    progress = True
+    while progress:
+        progress = False
+        for (s, t), n in sorted(wanted.items(), key=lambda x: (-x[1], x[0])):
+            more = min(n - made[s, t], room[t])
+            if more > 0:
+                made[s, t] += more
+                room[t] -= more
+                room[s] += more
+                progress = True
+    return made
+
+
 def propagate(cells: DataFrame, quota: list[int], n_buckets: int, rounds: int = ROUNDS) -> DataFrame:
-    """Move members between ``cells(g, shard, n)`` until groups are together, within ``quota``."""
+    """Move members between ``cells(g, shard, n)`` until groups are together, within ``quota``.
+
+    What reaches the driver per round is one load per shard and one flow per pair of shards.
+    """
     shards = len(quota)
+    quota_of = F.element_at(_numbers(quota), F.col("shard") + 1)
     for _ in range(rounds):
         load = {r.shard: r.n for r in cells.groupBy("shard").agg(F.sum("n").alias("n")).collect()}
         room = [quota[s] - load.get(s, 0) for s in range(shards)]
-        room_of = F.element_at(_numbers(room), F.col("shard") + 1)
-        whole = cells.groupBy("g").agg(F.sum("n").alias("whole"))
+        room_of = F.element_at(_numbers([max(r, 0) for r in room]), F.col("shard") + 1)
+        # A shard that holds nothing but one group is settled; the rest of the group goes on.
+        open_ = cells.filter(F.col("n") < quota_of)
+        whole = open_.groupBy("g").agg(F.sum("n").alias("whole"))
         # How much of its group a shard can hold; the best one attracts the group.
-        together = F.least(F.col("whole"), F.col("n") + F.greatest(room_of, F.lit(0)))
+        together = F.least(F.col("whole"), F.col("n") + room_of)
         rank = F.struct(together.alias("together"), "n", F.xxhash64("g", "shard").alias("tie"), "shard")
-        target = cells.join(whole, "g").groupBy("g").agg(F.max(rank).alias("best")).select(
+        target = open_.join(whole, "g").groupBy("g").agg(F.max(rank).alias("best")).select(
             "g", F.col("best.shard").alias("target")
         )
-        moving = cells.join(target, "g").filter("shard <> target")
+        moving = materialize(open_.join(target, "g").filter("shard <> target"))
+        flows = moving.groupBy("shard", "target").agg(F.sum("n").alias("n")).collect()
+        made = exchange({(r.shard, r.target): r.n for r in flows}, room)
+        if sum(made.values()) <= MOVED_SHARE * sum(load.values()):
+            break
         ordered = running_total(
-            moving, ["target"], F.pmod(F.xxhash64("g"), F.lit(n_buckets)), ["g", "shard"], F.col("n"), "earlier"
+            moving, ["shard", "target"], F.pmod(F.xxhash64("g"), F.lit(n_buckets)), ["g"], F.col("n"),
+            "earlier",
         )
-        free = F.greatest(F.element_at(_numbers(room), F.col("target") + 1) - F.col("earlier"), F.lit(0))
+        limits = _numbers([made.get((s, t), 0) for s in range(shards) for t in range(shards)])
+        limit = F.element_at(limits, F.col("shard") * shards + F.col("target") + 1)
+        moved = F.least(F.col("n"), F.greatest(limit - F.col("earlier"), F.lit(0)))
         accepted = materialize(
-            ordered.withColumn("moved", F.least(F.col("n"), free)).filter("moved > 0")
-            .select("g", "shard", "target", "moved")
+            ordered.withColumn("moved", moved).filter("moved > 0").select("g", "shard", "target", "moved")
         )
-        if accepted.isEmpty():
-            break
         changes = cells.unionByName(
             accepted.select("g", "shard", (-F.col("moved")).alias("n"))
         ).unionByName(accepted.select("g", F.col("target").alias("shard"), F.col("moved").alias("n")))
@@ -153,18 +220,18 @@ def shard_documents(docs: DataFrame, key: str = "doc_id", text: str = "text",
     bucket = F.pmod(F.xxhash64("row"), F.lit(n_buckets))
 
     # Groups of at least two are linked; their members per bucket and per first shard.
-    in_bucket = rows.groupBy("g", bucket.alias("bucket")).agg(
-        F.count("*").alias("n")
+    in_bucket = materialize(
+        rows.groupBy("g", bucket.alias("bucket")).agg(F.count("*").alias("n"))
     )
-    in_bucket = materialize(in_bucket)
-    linked = in_bucket.groupBy("g").agg(F.sum("n").alias("whole")).filter("whole > 1")
+    linked = materialize(in_bucket.groupBy("g").agg(F.sum("n").alias("whole")).filter("whole > 1"))
     in_bucket = materialize(in_bucket.join(linked.select("g"), "g"))
-    first_shard = F.pmod(F.xxhash64("row", F.lit(1)), F.lit(shards)).cast("int")
-    member = rows.withColumn("bucket", bucket).withColumn("shard", first_shard)
-    cells = materialize(
-        member.groupBy("g", "shard").agg(F.count("*").alias("n")).join(linked.select("g"), "g")
-    )
-    cells, room = _within(propagate(cells, quota, n_buckets), quota, n_buckets)
+    large, rest_quota = _place_large(linked, quota)
+    small = linked.filter(F.col("whole") < _large_size(quota)).select("g")
+    ticket = F.pmod(F.xxhash64("row", F.lit(1)), F.lit(max(1, sum(rest_quota))))
+    cells = rows.select("g", _by_share(ticket, rest_quota).alias("shard")).join(small, "g")
+    cells = materialize(cells.groupBy("g", "shard").agg(F.count("*").alias("n")))
+    cells, room = _within(propagate(cells, rest_quota, n_buckets), rest_quota, n_buckets)
+    cells = cells.select("g", "shard", "n").unionByName(large)
 
     # A group's rows take its cells in order of the shards: by bucket, then inside the bucket.
     taken = cells.groupBy("g").agg(F.array_sort(F.collect_list(F.struct("shard", "n"))).alias("cells"))
@@ -190,15 +257,11 @@ def shard_documents(docs: DataFrame, key: str = "doc_id", text: str = "text",
     )["shard"]
     together = marked.filter("linked").withColumn("position", position).withColumn("shard", shard)
     # Documents without links fill what is left of every quota.
-    ends = [sum(room[: i + 1]) for i in range(shards)]
     free = running_total(
         marked.filter("not linked").withColumn("all", F.lit(0)), ["all"], F.col("bucket"),
         ["id", "row"], F.lit(1).cast("bigint"), "position",
     )
-    filled = reduce(
-        lambda acc, s: F.when(F.col("position") < ends[s], F.lit(s)).otherwise(acc),
-        reversed(range(shards)), F.lit(shards - 1),
-    )
+    filled = _by_share(F.col("position"), room)
     columns = ["row", "id", "size", "text_crc32", "bucket", "shard"]
     placed = materialize(
         together.select(columns).unionByName(free.withColumn("shard", filled).select(columns))

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import DataFrame
 
 # Bytes of text hashed at once; the working memory is about 60 times that. One longer text
 # is a chunk of its own.
@@ -108,11 +109,9 @@ def _words(data: np.ndarray, text_start: np.ndarray, first_row: int, word_bytes:
     return Words(first_row, n_rows, data, row, start, end, hashes, bounds, text_start)
 
 
-def hash_words(words: list[bytes]) -> np.ndarray:
-    """The hash that ``word_chunks`` gives to each of these lower-cased words."""
-    out = np.zeros(len(words), dtype=np.uint64)
-    for i, word in enumerate(words):
-        up, _ = _Powers.get(len(word) + 1)
-        codes = np.frombuffer(word, np.uint8).astype(np.uint64) + np.uint64(1)
-        out[i] = (codes * up[: len(word)]).sum(dtype=np.uint64)
-    return mix(out)
+def free_name(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not use yet."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
