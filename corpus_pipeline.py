@@ -38,7 +38,7 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, every secret replaced by a mark."""
-    return secret_scan.redact(docs)
+    return secret_scan.redact(docs, length="n_chars" if "n_chars" in docs.columns else None)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
