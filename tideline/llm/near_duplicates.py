@@ -5,13 +5,14 @@
 2. A class is sketched by SetSketch registers: per register the smallest of the members' uniform
    hashes, read as exponential variate and stored as truncated logarithm to base 1.001. Registers
    of a union are the maxima of the parts' registers.
-3. Register values are banded; classes with an equal band meet in a bucket. A bucket yields a star:
-   its smallest class with each other member, never all pairs.
-4. A pair's similarity is estimated by the joint likelihood of its register comparisons, given both
-   set sizes. Pairs for which 0.8 is far too unlikely go; the others are verified on full sets.
-5. Links are contracted to components. Buckets in which several components remain get further
-   stars, between the smallest members of each, and at last the pairs still untested that the stars left; so a
-   link that matters for a component is not lost to the choice of a star's centre.
+3. Register values are banded; classes with an equal band meet in a bucket. A bucket yields a star
+   from one of its members to all others, never all pairs; four choices of centre take turns.
+4. Edges of stars that two buckets agree on, and the others whose similarity is not far too
+   unlikely by the joint likelihood of their register comparisons, connect classes to families.
+5. Links are verified on full sets inside a family: a search from class to class over an inverted
+   index of the classes not yet reached, so a family of near copies costs little more than its
+   size. A family too large for one task is dealt into blocks; what a block's largest component
+   leaves over is compared with all other blocks. Only spanning links leave a task.
 
 A pair of similarity 0.8 shares none of the 40 bands of 6 registers with probability 5e-6.
 
@@ -28,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tideline.llm.text import NON_BLANK_BYTES, Words, mix, word_chunks
+from tideline.llm.text import NON_BLANK_BYTES, Words, free_name, mix, word_chunks
 from tideline.session import materialize
 
 SHINGLE = 5
@@ -40,6 +41,10 @@ LARGEST_REGISTER = 65534
 # A pair is dropped unverified if its likelihood at every similarity from 0.8 on is smaller than
 # its best by this factor's logarithm.
 LOG_LIKELIHOOD_GAP = 14.0
+# Centres that take turns among the buckets of a group.
+CENTERS = 4
+# Shingles of the classes that one task compares with each other.
+BLOCK_SHINGLES = 1_500_000
 
 _random = np.random.default_rng(20240229)
 _FACTORS = _random.integers(1 << 31, 1 << 32, REGISTERS, dtype=np.uint32) | np.uint32(1)
@@ -123,7 +128,6 @@ def log_likelihood_gap(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndar
 
 
 _DESCRIBED = "struct<n_shingles:bigint,set_a:bigint,set_b:bigint,sketch:binary>"
-_LISTED = "struct<set_a:bigint,set_b:bigint,shingles:array<bigint>>"
 
 
 def _digest(shingles: np.ndarray) -> tuple[int, int]:
@@ -150,25 +154,6 @@ def describe(text: Column, size: int) -> Column:
     return described(text)
 
 
-def list_shingles(text: Column, size: int) -> Column:
-    """Identity of the set and the set itself, for every text."""
-
-    @F.arrow_udf(_LISTED)
-    def listed(texts: pa.Array) -> pa.Array:
-        sets = [s for w in word_chunks(texts, NON_BLANK_BYTES) for s in shingle_sets(w, size)]
-        sums = [_digest(s) for s in sets]
-        offsets = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
-        values = np.concatenate(sets).view(np.int64) if sets else np.zeros(0, np.int64)
-        columns = [
-            pa.array([x for x, _ in sums], pa.int64()),
-            pa.array([x for _, x in sums], pa.int64()),
-            pa.ListArray.from_arrays(pa.array(offsets), pa.array(values)),
-        ]
-        return pa.StructArray.from_arrays(columns, ("set_a", "set_b", "shingles"))
-
-    return listed(text)
-
-
 def _bands(sketches: pa.Array) -> pa.Array:
     keys = [band_keys(np.frombuffer(s, np.uint16)) for s in sketches.to_pylist()]
     values = np.concatenate(keys) if keys else np.zeros(0, np.int64)
@@ -221,96 +206,232 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
-def _oriented(x: str, y: str) -> tuple[Column, Column]:
-    return F.least(x, y).alias("a"), F.greatest(x, y).alias("b")
+class _Index:
+    """Inverted index from shingles to the sets that hold them."""
+
+    def __init__(self, sets: list[np.ndarray], numbers: np.ndarray):
+        self.numbers = numbers
+        sizes = np.fromiter((len(sets[i]) for i in numbers), np.int64, len(numbers))
+        flat = np.concatenate([sets[i] for i in numbers])
+        order = np.argsort(flat, kind="stable")
+        self.owner = np.repeat(np.arange(len(numbers)), sizes)[order]
+        self.shingles = flat[order]
+        self.sizes = sizes
+
+    def linked(self, own: np.ndarray, percent: int) -> np.ndarray:
+        """Numbers of the indexed sets that are similar enough to ``own``."""
+        begin = np.searchsorted(self.shingles, own, side="left")
+        count = np.searchsorted(self.shingles, own, side="right") - begin
+        stop = np.cumsum(count)
+        at = np.repeat(begin - (stop - count), count) + np.arange(stop[-1] if len(stop) else 0)
+        common = np.bincount(self.owner[at], minlength=len(self.numbers))
+        hit = common * 100 >= (len(own) + self.sizes - common) * percent
+        return self.numbers[hit & (common > 0)]
+
+
+def spanning_links(sets: list[np.ndarray], percent: int) -> list[tuple[int, int]]:
+    """One link for every set but one of each component, as (from, to) numbers."""
+    links = []
+    left = np.ones(len(sets), dtype=bool)
+    index = _Index(sets, np.arange(len(sets)))
+    for first in range(len(sets)):
+        if not left[first]:
+            continue
+        left[first] = False
+        waiting = [first]
+        while waiting:
+            current = waiting.pop()
+            n_left = int(left.sum())
+            if not n_left:
+                return links
+            if 2 * n_left < len(index.numbers):
+                index = _Index(sets, np.flatnonzero(left))
+            found = index.linked(sets[current], percent)
+            found = found[left[found]]
+            left[found] = False
+            links += [(current, x) for x in found.tolist()]
+            waiting += found.tolist()
+    return links
+
+
+def _grouped(batches, keys: int, size: int):
+    """Consecutive rows with equal first ``keys`` columns: key, columns, and shingle sets.
+
+    The last column is the text, the two before it identify the class's own set: rows whose text
+    has another one (an id on several texts), and repeated rows of a class, are left out.
+    """
+    key, rows, sets, seen = None, [], [], set()
+    for batch in batches:
+        columns = [c.to_pylist() for c in batch.columns[:-1]]
+        found = [s for w in word_chunks(batch.column(batch.num_columns - 1), NON_BLANK_BYTES)
+                 for s in shingle_sets(w, size)]
+        for *row, own in zip(*columns, found):
+            if tuple(row[:keys]) != key:
+                if rows:
+                    yield key, rows, sets
+                key, rows, sets, seen = tuple(row[:keys]), [], [], set()
+            member = tuple(row[keys:-2])
+            if member not in seen and _digest(own) == (row[-2], row[-1]):
+                seen.add(member)
+                rows.append(row)
+                sets.append(own)
+    if rows:
+        yield key, rows, sets
+
+
+def _links_batch(links: list[tuple[int, int]]) -> pa.RecordBatch:
+    columns = [pa.array([x[i] for x in links], pa.int64()) for i in (0, 1)]
+    return pa.RecordBatch.from_arrays(columns, ["a", "b"])
+
+
+def _link_blocks(size: int, percent: int):
+    """Function over rows sorted by (family, block): spanning links of every block."""
+
+    def linked(batches):
+        links = []
+        for _, rows, sets in _grouped(batches, 2, size):
+            links += [(rows[i][2], rows[j][2]) for i, j in spanning_links(sets, percent)]
+            if len(links) > 10_000:
+                yield _links_batch(links)
+                links = []
+        yield _links_batch(links)
+
+    return linked
+
+
+def _link_across(size: int, percent: int):
+    """Function over rows sorted by (family, block, question): links of the asking to the others.
+
+    Of all links between two components one is enough.
+    """
+
+    def linked(batches):
+        for _, rows, sets in _grouped(batches, 3, size):
+            asking = [i for i, row in enumerate(rows) if row[5]]
+            others = np.array([i for i, row in enumerate(rows) if not row[5]], dtype=np.int64)
+            if not len(others):
+                continue
+            index, links = _Index(sets, others), {}
+            for i in asking:
+                for j in index.linked(sets[i], percent).tolist():
+                    if rows[i][4] != rows[j][4]:
+                        links[rows[i][4], rows[j][4]] = (rows[i][3], rows[j][3])
+            yield _links_batch(list(links.values()))
+
+    return linked
 
 
 class _Search:
-    """State of one search: class sketches, buckets, sets of bucket members, tests done, links."""
+    """The links between the classes of one table."""
 
-    def __init__(self, docs: DataFrame, classes: DataFrame, size: int, percent: int):
+    def __init__(self, docs: DataFrame, classes: DataFrame, size: int, percent: int,
+                 block_shingles: int):
         """``docs(id, text)``; ``classes(node, low, n_shingles, set_a, set_b, sketch)``."""
-        self.percent = percent
-        self.sketched = classes.select("node", "n_shingles", "sketch")
-        spread = classes.select("node", F.explode(F.arrow_udf(_bands, "array<bigint>")("sketch")).alias("key"))
-        keys = spread.groupBy("key").agg(F.count("*").alias("n"), F.min("node").alias("center"))
-        self.buckets = materialize(
-            spread.join(keys.filter("n > 1").drop("n"), "key").select("key", "node", "center")
-        )
-        members = self.buckets.select("node").distinct()
-        wanted = classes.join(members, "node").select(
-            "node", "low", F.col("set_a").alias("own_a"), F.col("set_b").alias("own_b")
-        )
-        listed = docs.join(wanted, F.col("id").eqNullSafe(F.col("low"))).select(
-            "id", "node", "own_a", "own_b", list_shingles(F.col("text"), size).alias("set")
+        self.docs, self.classes = docs, classes
+        self.size, self.percent, self.block_shingles = size, percent, block_shingles
+
+    def star_edges(self) -> DataFrame:
+        """``a``, ``b`` and the number of buckets whose star has this edge."""
+        spread = self.classes.select(
+            "node", F.explode(F.arrow_udf(_bands, "array<bigint>")("sketch")).alias("key")
         )
-        # Several texts may have one id, and rows may repeat: one text with the class's set stays.
-        own = (F.col("set.set_a") == F.col("own_a")) & (F.col("set.set_b") == F.col("own_b"))
-        self.sets = materialize(
-            listed.filter(own).select("id", "node", "set.shingles")
-            .dropDuplicates(["id", "node"]).select("node", "shingles")
+        turn = F.xxhash64("node", F.pmod("key", F.lit(CENTERS)))
+        buckets = spread.groupBy("key").agg(
+            F.count("*").alias("n"), F.min_by("node", turn).alias("center")
         )
-        self.tested: DataFrame | None = None
-        self.links: DataFrame | None = None
-
-    def test(self, pairs: DataFrame) -> None:
-        """Verify the distinct ``pairs(a, b)``, a < b, that were not tested yet."""
-        pairs = pairs.distinct()
-        if self.tested is not None:
-            pairs = pairs.join(self.tested, ["a", "b"], "left_anti")
-        pairs = materialize(pairs)
-        self.tested = pairs if self.tested is None else self.tested.unionByName(pairs)
-
-        def sketch_of(x: str) -> DataFrame:
-            return self.sketched.toDF(x, f"n{x}", f"s{x}")
-
+        star = spread.join(buckets.filter("n > 1").drop("n"), "key").filter("node <> center")
+        a, b = F.least("node", "center").alias("a"), F.greatest("node", "center").alias("b")
+        return star.groupBy(a, b).agg(F.count("*").alias("shared"))
+
+    def families(self) -> DataFrame:
+        """Node and family of the classes that may have links."""
+        edges = materialize(self.star_edges())
+        sketch_of = self.classes.select("node", "n_shingles", "sketch")
         small, large = F.least("na", "nb"), F.greatest("na", "nb")
         likely = (
-            pairs.join(sketch_of("a"), "a").join(sketch_of("b"), "b")
+            edges.filter("shared = 1")
+            .join(sketch_of.toDF("a", "na", "sa"), "a").join(sketch_of.toDF("b", "nb", "sb"), "b")
             .filter(small * 100 >= large * self.percent)
             .filter(_plausible(self.percent / 100)("sa", "sb", "na", "nb"))
-            .select("a", "b", "na", "nb")
-        )
-        common = F.size(F.array_intersect("sa", "sb"))
-        linked = common * 100 >= (F.col("na") + F.col("nb") - common) * self.percent
-        links = materialize(
-            likely.join(self.sets.toDF("a", "sa"), "a").join(self.sets.toDF("b", "sb"), "b")
-            .filter(linked).select("a", "b")
         )
-        self.links = links if self.links is None else self.links.unionByName(links)
+        kept = edges.filter("shared > 1").select("a", "b").unionByName(likely.select("a", "b"))
+        return components(kept).withColumnRenamed("component", "family")
 
-    def unsettled(self, labels: DataFrame) -> DataFrame:
-        """Members of buckets in which more than one component is left, with their component."""
-        members = self.buckets.join(labels, "node", "left").select(
-            "key", "node", F.coalesce("component", "node").alias("component")
+    def texts(self, members: DataFrame, columns: list[str]) -> DataFrame:
+        """``members`` with the text of their class, after the given columns."""
+        wanted = members.select(
+            *columns, "low", F.col("set_a").alias("own_a"), F.col("set_b").alias("own_b")
         )
-        ends = members.groupBy("key").agg(
-            F.min("component").alias("low"), F.max("component").alias("high")
-        )
-        return materialize(members.join(ends.filter("low < high"), "key"))
+        found = self.docs.join(wanted, F.col("id").eqNullSafe(F.col("low")))
+        return found.select(*columns, "own_a", "own_b", "text")
 
     def run(self) -> DataFrame:
         """Component of every class that has links."""
-        self.test(self.buckets.filter("node <> center").select(*_oriented("center", "node")))
-        labels = components(self.links)
-        left = self.unsettled(labels)
-        if left.isEmpty():
-            return labels
-        # A star around a member of another component than the smallest one's.
-        high = left.filter("component = high").groupBy("key").agg(F.min("node").alias("center"))
-        others = left.filter("component < high").join(high, "key")
-        self.test(others.select(*_oriented("center", "node")))
-        labels = components(self.links)
-        left = self.unsettled(labels).select("key", "node", "component")
-        # Pairs across components of a bucket that no star has tested.
-        across = left.join(left.toDF("key", "other", "other_component"), "key")
-        across = across.filter("component < other_component")
-        self.test(across.select(*_oriented("node", "other")))
-        return components(self.links)
+        families = materialize(self.families())
+        members = families.join(self.classes.drop("sketch"), "node")
+        sizes = members.groupBy("family").agg(
+            F.ceil(F.sum("n_shingles") / self.block_shingles).alias("n_blocks")
+        )
+        block = F.pmod(F.xxhash64("node"), F.col("n_blocks")).alias("block")
+        members = materialize(members.join(sizes, "family").select("*", block))
+        key = ["family", "block"]
+        rows = self.texts(members, [*key, "node"]).repartition(*key).sortWithinPartitions(*key)
+        links = materialize(rows.mapInArrow(_link_blocks(self.size, self.percent), "a bigint, b bigint"))
+        split = members.filter("n_blocks > 1")
+        if not split.isEmpty():
+            links = links.unionByName(self.across_blocks(split, links))
+        return components(links)
+
+    def across_blocks(self, members: DataFrame, links: DataFrame) -> DataFrame:
+        """Links between the blocks of families that have several."""
+        links = links.unionByName(self.between_largest(members, links))
+        members = materialize(self.labelled(members, links))
+        counts = members.groupBy("family", "component").agg(F.count("*").alias("n"))
+        largest = counts.groupBy("family").agg(
+            F.max_by("component", F.struct("n", "component")).alias("largest")
+        )
+        left = members.join(largest, "family").filter("component <> largest").drop("largest")
+        asking = left.groupBy("family").agg(
+            F.ceil(F.sum("n_shingles") / self.block_shingles).alias("questions")
+        )
+        every = lambda n: F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(n) - 1))
+        question = F.pmod(F.xxhash64("node", F.lit(1)), F.col("questions"))
+        asked = left.join(asking, "family").withColumn("question", question).withColumn(
+            "block", every("n_blocks")
+        ).withColumn("asks", F.lit(True))
+        others = members.join(asking, "family").withColumn("question", every("questions")).withColumn(
+            "asks", F.lit(False)
+        )
+        columns = ["family", "block", "question", "node", "component", "asks"]
+        both = asked.select(*columns, "low", "set_a", "set_b").unionByName(
+            others.select(*columns, "low", "set_a", "set_b")
+        )
+        key = columns[:3]
+        rows = self.texts(both, columns).repartition(*key).sortWithinPartitions(*key, "asks")
+        return links.unionByName(
+            materialize(rows.mapInArrow(_link_across(self.size, self.percent), "a bigint, b bigint"))
+        )
+
+    def labelled(self, members: DataFrame, links: DataFrame) -> DataFrame:
+        found = members.drop("component").join(components(links), "node", "left")
+        return found.withColumn("component", F.coalesce("component", "node"))
+
+    def between_largest(self, members: DataFrame, links: DataFrame) -> DataFrame:
+        """Links among one member of the largest component of every block of a family."""
+        counts = self.labelled(members, links).groupBy("family", "block", "component").agg(
+            F.count("*").alias("n"), F.min("node").alias("node")
+        )
+        chosen = counts.groupBy("family", "block").agg(
+            F.max_by("node", F.struct("n", "component")).alias("node")
+        ).select("node")
+        picked = members.join(chosen, "node").withColumn("block", F.lit(0).cast("bigint"))
+        key = ["family", "block"]
+        rows = self.texts(picked, [*key, "node"]).repartition(*key).sortWithinPartitions(*key)
+        return materialize(rows.mapInArrow(_link_blocks(self.size, self.percent), "a bigint, b bigint"))
 
 
 def find_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = SHINGLE,
-                percent: int = MIN_PERCENT) -> DataFrame:
+                percent: int = MIN_PERCENT, block_shingles: int = BLOCK_SHINGLES) -> DataFrame:
     """Per document: ``key``, ``n_shingles``, ``component_id`` (smallest id of its group), ``kept``."""
     docs = docs.select(F.col(key).alias("id"), F.col(text).alias("text"))
     rows = materialize(docs.select("id", describe(F.col("text"), size).alias("set")).select("id", "set.*"))
@@ -321,7 +442,7 @@ def find_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", size:
         .agg(F.min("id").alias("low"), F.first("sketch").alias("sketch"))
         .withColumn("node", F.xxhash64(*identity))
     )
-    labels = _Search(docs, classes, size, percent).run()
+    labels = _Search(docs, classes, size, percent, block_shingles).run()
     grouped = classes.join(labels, "node", "left").select(
         *identity, "low", F.coalesce("component", "node").alias("component")
     )
@@ -339,13 +460,14 @@ def find_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", size:
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = SHINGLE,
              percent: int = MIN_PERCENT) -> DataFrame:
     """``docs`` with one document of each group: the one with the smallest id, once."""
-    groups = materialize(find_groups(docs, key, text, size, percent).select(key, "n_shingles", "kept"))
-    ids = groups.groupBy(F.col(key).alias("own_id")).agg(
+    own = free_name(docs, "own_id")
+    groups = materialize(find_groups(docs, key, text, size, percent).select(key, "kept"))
+    ids = groups.groupBy(F.col(key).alias(own)).agg(
         F.bool_or("kept").alias("kept"), F.count("*").alias("n")
     )
-    same = docs[key].eqNullSafe(F.col("own_id"))
-    gone = ids.filter(~F.col("kept")).select("own_id")
-    repeated = ids.filter(F.col("kept") & (F.col("n") > 1)).select("own_id")
+    same = F.col(key).eqNullSafe(F.col(own))
+    gone = ids.filter(~F.col("kept")).select(own)
+    repeated = ids.filter(F.col("kept") & (F.col("n") > 1)).select(own)
     out = docs.join(gone, same, "left_anti")
     if repeated.isEmpty():
         return out
