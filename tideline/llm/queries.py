@@ -103,4 +103,59 @@ QUERIES = {
     )
 }
 
-ORACLE: dict[str, str] = {}
+LOWERED = (
+    "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+)
+
+DECONTAMINATE_SQL = rf"""
+WITH docs AS (
+  SELECT doc_id, regexp_extract_all({LOWERED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
+items AS (
+  SELECT CAST(item_id AS VARCHAR) AS item, regexp_extract_all({LOWERED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws
+  FROM benchmark),
+sized AS (SELECT item, ws, least(13, len(ws)) AS m FROM items WHERE len(ws) > 0),
+windows AS (
+  SELECT DISTINCT item, m, array_to_string(ws[i : i + m - 1], ' ') AS gram
+  FROM (SELECT item, ws, m, unnest(range(1, len(ws) - m + 2)) AS i FROM sized)),
+grams AS (
+  SELECT doc_id, i, m, array_to_string(ws[i : i + m - 1], ' ') AS gram
+  FROM (SELECT doc_id, ws, m, unnest(range(1, len(ws) - m + 2)) AS i
+        FROM docs, (SELECT DISTINCT m FROM windows))),
+found AS (SELECT doc_id, i, g.m, item FROM grams g JOIN windows w ON g.m = w.m AND g.gram = w.gram),
+hit AS (
+  SELECT doc_id, count(DISTINCT place) AS n_hit
+  FROM (SELECT doc_id, unnest(range(i, i + m)) AS place FROM (SELECT DISTINCT doc_id, i, m FROM found))
+  GROUP BY doc_id),
+named AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS listed
+  FROM (SELECT DISTINCT doc_id, item FROM found) GROUP BY doc_id)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
+  coalesce(n_items, 0) AS n_items, sha256(coalesce(listed, '')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(ws) AS contaminated
+FROM docs LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)"""
+
+NEAR_DUPLICATES_SQL = rf"""
+WITH RECURSIVE docs AS (
+  SELECT doc_id, regexp_extract_all({LOWERED}, '[^\x20\x09-\x0D]+') AS ws FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(ws[i : i + 1], ' ') AS shingle
+  FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws), 2))) AS i FROM docs WHERE len(ws) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM shingles a JOIN shingles b
+    ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+  JOIN sizes x ON a.doc_id = x.doc_id JOIN sizes y ON b.doc_id = y.doc_id
+  GROUP BY a.doc_id, b.doc_id, x.n, y.n HAVING 100 * count(*) >= 80 * (x.n + y.n - count(*))),
+reach AS (
+  SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+lowest AS (SELECT a AS doc_id, min(b) AS low FROM reach GROUP BY a)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, least(d.doc_id, coalesce(low, d.doc_id)) AS component_id,
+  d.doc_id <= coalesce(low, d.doc_id) AS kept
+FROM docs d LEFT JOIN sizes s ON d.doc_id = s.doc_id LEFT JOIN lowest l ON d.doc_id = l.doc_id"""
+
+# The others' own finds (literals, languages, places, neighbours, windows, edits) are beyond SQL; they
+# are tested against plain versions of their contracts.
+ORACLE: dict[str, str] = {
+    "op5_decontaminate": DECONTAMINATE_SQL,
+    "op9_near_duplicates": NEAR_DUPLICATES_SQL,
+}
