@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tideline.llm.text import mix
+from tideline.llm.text import free_name, mix
 from tideline.session import materialize
 
 UNKNOWN = "und"
@@ -196,7 +196,7 @@ def kneser_ney(counted: DataFrame, min_share: float = MIN_SHARE) -> tuple[DataFr
         F.sum((F.col("n") == 1).cast("long")).alias("once"),
         F.sum((F.col("n") == 2).cast("long")).alias("twice"),
     )
-    discount = F.col("once") / (F.col("once") + 2 * F.col("twice"))
+    discount = F.try_divide(F.col("once"), F.col("once") + 2 * F.col("twice"))
     sizes = of_order.select(
         "lang", "k", "total", "distinct",
         F.least(F.greatest(F.coalesce(discount, F.lit(0.5)), F.lit(0.05)), F.lit(0.95)).alias("d"),
@@ -311,11 +311,11 @@ def build_model(stored: DataFrame, sizes: DataFrame) -> Model:
     alphabet = {r.lang: r.distinct for r in sizes.filter("k = 1").collect()}
     languages = sorted(alphabet)
     model = Model(languages, np.array([1.0 / (alphabet[x] + 1) for x in languages]))
+    if not languages:
+        return model
     number = {x: i for i, x in enumerate(languages)}
-    names = rows["lang"].combine_chunks().dictionary_encode() if rows.num_rows else None
-    lang = np.zeros(0, np.int64)
-    if names is not None:
-        lang = np.array([number[x] for x in names.dictionary.to_pylist()])[names.indices.to_numpy()]
+    names = rows["lang"].combine_chunks().dictionary_encode()
+    lang = np.array([number[x] for x in names.dictionary.to_pylist()])[names.indices.to_numpy()]
     k, p = rows["k"].to_numpy(), rows["p"].to_numpy()
     gram, context = (rows[c].to_numpy().view(np.uint64) for c in ("gram", "context"))
     for order in range(1, ORDER + 1):
@@ -435,8 +435,6 @@ def identify(docs: DataFrame, text: str = "text", into: str = "language",
 
 def keep_identified(docs: DataFrame, text: str = "text", model: Model | None = None) -> DataFrame:
     """``docs`` without the documents whose language is rejected."""
-    into = "language_"
-    while into in docs.columns:
-        into += "_"
+    into = free_name(docs, "language")
     found = identify(docs, text, into, model)
     return found.filter(~F.col(f"{into}.rejected")).drop(into)
