@@ -260,8 +260,9 @@ weights AS (
          (ay * pp - py * pa) / (pp * aa - pa * pa) AS wa, mp, ma, my FROM moments),
 stack AS (SELECT state, wp, wa, my - wp * mp - wa * ma AS w0 FROM weights)"""
 
-WINNERS = f"""{two('train', 'test', 'pred')}, {scores()}, {ranked('rmse')},
-{horizon()}, {two('dense', 'future', 'ahead')},
+def winners(days: int = 56) -> str:
+    return f"""{two('train', 'test', 'pred')}, {scores()}, {ranked('rmse')},
+{horizon(days=days)}, {two('dense', 'future', 'ahead')},
 ends AS (SELECT state, max(ds) AS last_ds FROM dense GROUP BY state),
 winners AS (
   SELECT a.state, a.model AS model_used, a.ds, a.yhat, e.last_ds
@@ -269,6 +270,8 @@ winners AS (
   JOIN ends e ON a.state = e.state)"""
 
 
+WINNERS = winners()
+
 # Rows of single orders, several per day.
 ORDER_ROWS = """rows AS (
   SELECT n_name AS state, CAST(o_orderdate AS DATE) AS ds,
@@ -476,6 +479,51 @@ def oracle() -> dict[str, str]:
         SELECT DISTINCT state, 'LSTM', CAST('inf' AS DOUBLE), CAST('inf' AS DOUBLE),
         CAST('inf' AS DOUBLE) FROM dense""",
     )
+    q["evaluate_with_bad_series"] = query(
+        *SCORED,
+        f"""SELECT state, model, {ROUNDED} FROM scores WHERE state <> 'NATION_3' UNION ALL
+        SELECT 'NATION_3', model, CAST('inf' AS DOUBLE), CAST('inf' AS DOUBLE),
+        CAST('inf' AS DOUBLE) FROM (VALUES ('ARIMA'), ('Prophet'), ('LastValue')) m(model)""",
+    )
+    seasonal = """marked AS (SELECT *, row_number() OVER s AS rn,
+          avg(abs(total)) OVER (PARTITION BY state) AS unit,
+          total - lag(total, 7) OVER s AS w0,
+          total - lag(total, 7) OVER s - lag(total, 1) OVER s + lag(total, 8) OVER s AS w1
+        FROM train WINDOW s AS (PARTITION BY state ORDER BY ds)),
+        diffed AS (SELECT state, ds, rn, 0 AS d, w0 / unit AS w FROM marked
+          UNION ALL SELECT state, ds, rn, 1, w1 / unit FROM marked)"""
+    q["seasonal_row_counts"] = query(
+        *PARTS, seasonal,
+        """SELECT state, count(w) AS n, min(ds) AS first_ds, CAST(d AS INTEGER) AS d FROM diffed
+        WHERE rn >= 32 GROUP BY state, d""",
+    )
+    q["seasonal_autocovariances"] = query(
+        *PARTS, seasonal,
+        """SELECT a.state, CAST(a.d AS INTEGER) AS d, CAST(lag AS INTEGER) AS lag,
+        round(sum(a.w * b.w) / any_value(total), 6) AS share
+        FROM diffed a, generate_series(1, 14) g(lag), diffed b,
+          (SELECT state, d, sum(w * w) AS total FROM diffed GROUP BY state, d) t
+        WHERE a.state = b.state AND a.d = b.d AND b.rn = a.rn - lag
+          AND t.state = a.state AND t.d = a.d GROUP BY a.state, a.d, lag""",
+    )
+    q["seasonal_fixed_order"] = query(
+        *PARTS, seasonal,
+        """lagged AS (SELECT state, rn, w, lag(w, 1) OVER s AS x, lag(w, 7) OVER s AS y,
+          lag(w, 8) OVER s AS z FROM diffed WHERE d = 0 WINDOW s AS (PARTITION BY state ORDER BY rn)),
+        sums AS (SELECT state, count(*) AS n, sum(x * x) + 1e-6 AS xx, sum(y * y) + 1e-6 AS yy,
+          sum(z * z) + 1e-6 AS zz, sum(x * y) AS xy, sum(x * z) AS xz, sum(y * z) AS yz,
+          sum(x * w) AS xw, sum(y * w) AS yw, sum(z * w) AS zw
+          FROM lagged WHERE rn >= 31 GROUP BY state),
+        solved AS (SELECT *, xx * (yy * zz - yz * yz) - xy * (xy * zz - yz * xz)
+          + xz * (xy * yz - yy * xz) AS det FROM sums)""",
+        """SELECT state, n,
+        round((xw * (yy * zz - yz * yz) - xy * (yw * zz - yz * zw) + xz * (yw * yz - yy * zw)) / det, 5)
+          AS lag_1,
+        round((xx * (yw * zz - yz * zw) - xw * (xy * zz - yz * xz) + xz * (xy * zw - yw * xz)) / det, 5)
+          AS lag_7,
+        round((xx * (yy * zw - yw * yz) - xy * (xy * zw - yw * xz) + xw * (xy * yz - yy * xz)) / det, 5)
+          AS lag_8 FROM solved""",
+    )
     for by in ("rmse", "mape"):
         q[f"best_by_{by}"] = query(
             *SCORED, ranked(by),
@@ -645,16 +693,20 @@ def oracle() -> dict[str, str]:
         CAST(358 AS BIGINT) AS test_size FROM sizes""",
     )
     q["batch_requests"] = query(
-        *PARTS, WINNERS,
-        """asked AS (SELECT n_name AS state, coalesce(nullif(n_nationkey % 9, 0), 8) AS weeks
+        *PARTS, winners(84),
+        """asked AS (SELECT n_name AS state, CASE WHEN n_nationkey % 6 = 1 THEN 12
+          WHEN n_nationkey % 11 = 3 THEN 20 WHEN n_nationkey % 12 = 5 THEN -1
+          WHEN n_nationkey % 9 = 0 THEN 8 ELSE n_nationkey % 9 END AS weeks
         FROM nation UNION ALL SELECT r_name, 2 FROM region),
-        modelled AS (SELECT * FROM winners WHERE model_used = 'Prophet')""",
-        f"""SELECT a.state, CAST(weeks AS INTEGER) AS forecast_horizon_weeks, model_used,
-        CASE WHEN a.state NOT IN (SELECT state FROM sales) THEN 'no_data'
-             WHEN a.state NOT IN (SELECT state FROM modelled) THEN 'no_model' ELSE 'ok' END
-        AS status, strftime(ds, '%Y-%m-%dT%H:%M:%S') AS date,
+        modelled AS (SELECT * FROM winners WHERE model_used = 'Prophet'),
+        judged AS (SELECT *, CASE WHEN weeks < 0 THEN 'bad_request'
+             WHEN state NOT IN (SELECT state FROM sales) THEN 'no_data'
+             WHEN state NOT IN (SELECT state FROM modelled) THEN 'no_model'
+             WHEN weeks > 12 THEN 'beyond_horizon' ELSE 'ok' END AS status FROM asked)""",
+        f"""SELECT a.state, CAST(weeks AS INTEGER) AS forecast_horizon_weeks, model_used, status,
+        strftime(ds, '%Y-%m-%dT%H:%M:%S') AS date,
         {snap('yhat', COARSE)} AS predicted_sales
-        FROM asked a LEFT JOIN modelled m ON a.state = m.state
+        FROM judged a LEFT JOIN modelled m ON a.state = m.state AND status = 'ok'
         AND datediff('day', m.last_ds, m.ds) <= 7 * weeks""",
     )
     done = "done AS (SELECT DISTINCT state FROM sales WHERE category IN ('ASIA', 'EUROPE'))"
@@ -668,13 +720,11 @@ def oracle() -> dict[str, str]:
     q["completed_states"] = query(
         SALES, "SELECT DISTINCT state FROM sales WHERE category IN ('ASIA', 'EUROPE', 'AFRICA')"
     )
-    # The text before the first underscore, the rule of the state list.
     q["available_states"] = query(
-        SALES,
-        """keys AS (SELECT replace(state, '_', ' ') || '_' || lower(model) AS key FROM (SELECT DISTINCT state
-        FROM sales), (VALUES ('XGBoost'), ('Prophet'), ('ARIMA'), ('LSTM')) m(model))""",
-        """SELECT DISTINCT split_part(key, '_', 1) AS state FROM keys
-        WHERE ends_with(key, '_xgboost')""",
+        SALES, "SELECT DISTINCT state FROM sales WHERE category <> 'ASIA'"
+    )
+    q["available_count"] = query(
+        SALES, "SELECT count(DISTINCT state) AS n_states FROM sales WHERE category <> 'ASIA'"
     )
     q["grid_points"] = query(
         SALES,

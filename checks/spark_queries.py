@@ -11,6 +11,7 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tideline import config as c
 from tideline.functions.calendar import calendar_columns, iso_timestamp, spaced_timestamp
@@ -570,11 +571,11 @@ def appended_rows(spark, sf):
     return hz.append_rows(history, hz.future_rows(history).drop("total"))
 
 
-def winners(spark, sf):
+def winners(spark, sf, days=c.HORIZON_DAYS):
     p = parts(spark, sf)
     best = so.select_best(so.evaluate(two_models(p["train"], p["test"]), p["test"]))
     ends = hz.last_days(p["all"])
-    targets = hz.future_dates(ends).select(KEY, "ds")
+    targets = hz.future_dates(ends, days).select(KEY, "ds")
     chosen = compare.pick_winner(two_models(p["all"], targets), best)
     return chosen.join(ends, KEY)
 
@@ -637,20 +638,21 @@ def size_backfill(spark, sf):
 
 
 def batch_requests(spark, sf):
-    """Requests for every nation and region, of 0 to 8 weeks or unspecified length.
+    """Requests for every nation and region: 1 to 8 weeks, 12, 20, -1, or unspecified.
 
-    Regions are no states of the data; states won by the seasonal model stand for those whose
-    model was never saved.
+    Forecasts reach 12 weeks, so longer requests are refused, not cut. Regions are no states of
+    the data; states won by the seasonal model stand for those whose model was never saved.
     """
-    asked = table(spark, sf, "nation").select(
-        F.col("n_name").alias(KEY),
-        F.when(F.col("n_nationkey") % 9 > 0, F.col("n_nationkey") % 9).alias("weeks"),
+    number = F.col("n_nationkey")
+    weeks = (
+        F.when(number % 6 == 1, 12).when(number % 11 == 3, 20).when(number % 12 == 5, -1)
+        .when(number % 9 > 0, number % 9)
     )
+    asked = table(spark, sf, "nation").select(F.col("n_name").alias(KEY), weeks.alias("weeks"))
     regions = table(spark, sf, "region").select(F.col("r_name").alias(KEY), F.lit(2).alias("weeks"))
-    forecasts = materialize(winners(spark, sf)).filter(F.col("model_used") == c.TREND)
-    answers = requests.answer_requests(
-        asked.unionByName(regions), forecasts, star_sales(spark, sf)
-    )
+    ahead = materialize(winners(spark, sf, 12 * c.DAYS_PER_WEEK))
+    forecasts = ahead.filter(F.col("model_used") == c.TREND)
+    answers = requests.answer_requests(asked.unionByName(regions), forecasts, ahead.select(KEY))
     return snapped(requests.response_rows(answers), ["predicted_sales"], COARSE)
 
 
@@ -676,14 +678,20 @@ def completed_states(spark, sf):
 
 
 def available_states(spark, sf):
-    """Registry keys of all base models of all states, reduced to states with trees.
+    """Registry entries of all base models, reduced to the states with trees."""
+    return reg.available_states(listed_models(spark, sf))
 
-    The key rule cuts at the first underscore, so the names are written with blanks here.
-    """
-    states = star_sales(spark, sf).select(F.translate(KEY, "_", " ").alias(KEY)).distinct()
-    pairs = so.expected_pairs(states, c.BASE_MODELS)
-    entries = pairs.select(model_key(F.col(KEY), F.col("model")).alias("key"))
-    return reg.available_states(entries)
+
+def available_count(spark, sf):
+    return reg.available_count(listed_models(spark, sf))
+
+
+def listed_models(spark, sf) -> DataFrame:
+    """Stand-in for a registry listing: trees exist for the states of four regions only."""
+    sales = star_sales(spark, sf).select(KEY, "category").distinct()
+    pairs = sales.withColumn("model", F.explode(F.array(*[F.lit(m) for m in c.BASE_MODELS])))
+    saved = pairs.filter((F.col("model") != c.TREES) | (F.col("category") != "ASIA"))
+    return saved.select(KEY, "model", model_key(F.col(KEY), F.col("model")).alias("key"))
 
 
 def grid_points(spark, sf):
@@ -719,6 +727,59 @@ def fitted_length(spark, sf):
     )
 
 
+BAD_STATE = "NATION_3"
+
+
+def evaluate_with_bad_series(spark, sf):
+    """Scores when one state's last training amount is infinite: only that state's are."""
+    p = parts(spark, sf)
+    last = F.max("ds").over(Window.partitionBy(KEY))
+    spoilt = (F.col(KEY) == BAD_STATE) & (F.col("ds") == last)
+    bad = F.when(spoilt, float("inf")).otherwise(F.col("total"))
+    train = p["train"].withColumn("total", bad)
+    days = p["test"].select(KEY, "ds")
+    last_values = cf.predict_last_value(cf.fit_last_value(train), days)
+    scores = so.evaluate(two_models(train, days).unionByName(last_values), p["test"])
+    return rounded_scores(scores)
+
+
+def seasonal_row_counts(spark, sf):
+    """Rows that enter the seasonal regression, per state and degree of differencing."""
+    train = parts(spark, sf)["train"]
+    counts = [
+        seasonal_ar.differences(train, d).filter(F.col("rn") >= seasonal_ar.first_row(1))
+        .groupBy(KEY).agg(F.count("w").alias("n"), F.min("ds").alias("first_ds"))
+        .withColumn("d", F.lit(d))
+        for d in (0, 1)
+    ]
+    return counts[0].unionByName(counts[1])
+
+
+def seasonal_autocovariances(spark, sf):
+    """Sums of the differenced series times its lags, relative to lag 0, per state and degree."""
+    train = parts(spark, sf)["train"]
+    found = None
+    for d in (0, 1):
+        sums = seasonal_ar.autocovariances(seasonal_ar.differences(train, d))
+        share = F.col("acov")[F.col("lag")] / F.col("acov")[0]
+        lags = sums.withColumn("lag", F.explode(F.sequence(F.lit(1), F.lit(seasonal_ar.LONG_LAGS))))
+        rows = lags.select(KEY, F.lit(d).alias("d"), "lag", F.round(share, 6).alias("share"))
+        found = rows if found is None else found.unionByName(rows)
+    return found
+
+
+def seasonal_fixed_order(spark, sf):
+    """Weights of lags 1, 7 and 8 of the seasonally differenced series, solved on their own."""
+    train = parts(spark, sf)["train"]
+    sums = seasonal_ar.cross_products(
+        seasonal_ar.residuals(seasonal_ar.differences(train, 0)), 0
+    )
+    keep = [seasonal_ar.SHORT_LAGS.index(lag) for lag in (1, 7, 8)]
+    solved = sums.withColumn("b", seasonal_ar.subset_solver(keep)("gram"))
+    weights = {f"lag_{lag}": F.round(F.col("b")[i], 5) for i, lag in enumerate((1, 7, 8))}
+    return solved.withColumns(weights).select(KEY, "n", *weights)
+
+
 # -- fitted models without an SQL equivalent -------------------------------------------------------
 
 
@@ -730,7 +791,7 @@ def prepared(spark, sf) -> tuple[DataFrame, DataFrame]:
 def arima_forecast(spark, sf):
     p = parts(spark, sf)
     fit = seasonal_ar.fit_seasonal_ar(p["train"])
-    return seasonal_ar.predict_seasonal_ar(fit, p["train"], p["test"].select(KEY, "ds"))
+    return seasonal_ar.predict_seasonal_ar(fit, p["test"].select(KEY, "ds"))
 
 
 def arima_tuned(spark, sf):
@@ -741,7 +802,7 @@ def arima_tuned(spark, sf):
 def fourier_forecast(spark, sf):
     p = parts(spark, sf)
     fit = fourier.fit_fourier(p["train"])
-    return fourier.predict_fourier(fit, p["train"], p["test"].select(KEY, "ds"))
+    return fourier.predict_fourier(fit, p["test"].select(KEY, "ds"))
 
 
 def fourier_tuned(spark, sf):
@@ -774,35 +835,19 @@ def gbt_forecast(spark, sf):
     return pooled.predict_trees(model, scale, test)
 
 
-# The full tree grid is 36 pooled fits of 100 or 200 trees; the registered queries that fit trees
-# more than once use short ensembles over all rows.
-SHORT_TREES = {"trees": 10}
-
-
 def gbt_tuned(spark, sf):
-    points = [
-        {"depth": depth, "step": step, "trees": 10, "row_share": c.TREE_ROW_SHARE}
-        for depth in (4, 6)
-        for step in (0.1, 0.15)
-    ]
-    scores = tuning.score_trees(prepared(spark, sf)[0], points)
+    scores = tuning.score_trees(prepared(spark, sf)[0])
     return so.best_configuration(scores, "rmse", tuning.TREE_PARAMETERS)
 
 
-def short_run(spark, sf) -> compare.Comparison:
-    return compare.compare_models(star_sales(spark, sf), compare.Settings(trees=SHORT_TREES))
-
-
 def compare_models(spark, sf):
-    run = short_run(spark, sf)
+    run = compare.compare_models(star_sales(spark, sf))
     return doc.result_documents(run.scores, run.best, run.sizes)
 
 
 def train_forecast(spark, sf):
     """A training run into an empty folder: models saved, winners forecast."""
-    folder = new_folder(spark)
-    settings = compare.Settings(trees=SHORT_TREES)
-    return training.train(spark, star_sales(spark, sf), folder, settings)
+    return training.train(spark, star_sales(spark, sf), new_folder(spark))
 
 
 def new_folder(spark: SparkSession) -> str:
@@ -810,9 +855,8 @@ def new_folder(spark: SparkSession) -> str:
 
 
 def saved_run(spark, sf, fits: str) -> tuple[reg.ModelRegistry, compare.Comparison]:
-    """A comparison of the two models with coefficient tables, its fits saved and reopened."""
-    settings = compare.Settings(models=(c.TREND, c.ARIMA))
-    run = compare.compare_models(star_sales(spark, sf), settings)
+    """A comparison of all base models, its fits saved and reopened."""
+    run = compare.compare_models(star_sales(spark, sf))
     registry = reg.ModelRegistry(spark, new_folder(spark))
     training.save_fits(registry, getattr(run, fits))
     registry.save_coefficients(c.STACKED, run.weights)

@@ -46,7 +46,7 @@ def test_trend_models_beat_the_last_value(prepared):
     last = rmse_by_state(cf.predict_last_value(cf.fit_last_value(train), days), test)
     for predictions in (
         cf.predict_trend_season(cf.fit_trend_season(train), days),
-        fourier.predict_fourier(fourier.fit_fourier(train, yearly_options=[False]), train, days),
+        fourier.predict_fourier(fourier.fit_fourier(train, yearly_options=[False]), days),
     ):
         check_forecast(predictions, test)
         scores = rmse_by_state(predictions, test)
@@ -56,8 +56,9 @@ def test_trend_models_beat_the_last_value(prepared):
 def test_seasonal_ar_follows_the_week(prepared):
     train, test = sides(prepared)
     days = test.select(KEY, "ds")
-    fit = seasonal_ar.fit_seasonal_ar(train)
-    predictions = seasonal_ar.predict_seasonal_ar(fit, train, days)
+    # A few hundred days leave the free fit explosive; bounded, it is better than its fallback.
+    fit = seasonal_ar.fit_seasonal_ar(train, largest_root=0.98, damping=0.9)
+    predictions = seasonal_ar.predict_seasonal_ar(fit, days)
     check_forecast(predictions, test)
     flat = rmse_by_state(cf.predict_ar1(cf.fit_ar1(train), days), test)
     scores = rmse_by_state(predictions, test)
@@ -68,8 +69,8 @@ def test_seasonal_ar_falls_back_on_short_series(sales_of):
     dense = daily_series(sales_of([("A", i, float(i % 3)) for i in range(12)]))
     targets = hz.future_dates(hz.last_days(dense), 5).select(KEY, "ds")
     fit = seasonal_ar.fit_seasonal_ar(dense)
-    assert fit.count() == 0
-    assert seasonal_ar.predict_seasonal_ar(fit, dense, targets).filter("yhat is not null").count() == 5
+    assert fit.filter("coefficients is not null").count() == 0
+    assert seasonal_ar.predict_seasonal_ar(fit, targets).filter("yhat is not null").count() == 5
 
 
 def test_order_grid_and_ties(prepared):
@@ -134,7 +135,7 @@ def test_lookback_forecast_settles_after_its_window(prepared):
     train, test = sides(prepared)
     scale = materialize(pooled.lookback_scale(train))
     model = pooled.fit_lookback(pooled.sequence_inputs(train, scale, 21))
-    predictions = pooled.predict_lookback(model, scale, train, test, 21)
+    predictions = pooled.predict_lookback(model, scale, train, test)
     check_forecast(predictions, test)
     rows = predictions.filter("state = 'A'").orderBy("ds").collect()
     assert len({round(r.yhat, 6) for r in rows[22:]}) == 1

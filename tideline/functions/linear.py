@@ -57,8 +57,25 @@ def solve_subset(full: np.ndarray, keep: Sequence[int], penalty: np.ndarray) ->
     diagonal += SOLVE_FLOOR * np.maximum(diagonal.max(axis=1, keepdims=True), SOLVE_FLOOR) * (
         diagonal <= 0
     )
-    right = full[:, keep, -1]
-    return np.linalg.solve(left, right[:, :, None])[:, :, 0]
+    return solve_each(left, full[:, keep, -1])
+
+
+def solve_each(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Solutions of a stack of systems; NaN where one is not finite or singular.
+
+    A bad series must not stop the others of its batch, so it is left out and keeps its NaN.
+    """
+    out = np.full(right.shape, np.nan)
+    good = np.isfinite(left).all(axis=(1, 2)) & np.isfinite(right).all(axis=1)
+    try:
+        out[good] = np.linalg.solve(left[good], right[good][:, :, None])[:, :, 0]
+    except np.linalg.LinAlgError:
+        for i in np.flatnonzero(good):
+            try:
+                out[i] = np.linalg.solve(left[i], right[i])
+            except np.linalg.LinAlgError:
+                continue
+    return out
 
 
 def solve_gram(k: int, penalty: Sequence[float]) -> Callable[[str], Column]:

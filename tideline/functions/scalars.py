@@ -32,8 +32,3 @@ def pad_left(values: Column, length: int) -> Column:
 def model_key(state: Column, model: Column) -> Column:
     """Registry name of a fitted model: state and lower-case model name, joined by ``_``."""
     return F.concat_ws("_", state, F.lower(model))
-
-
-def state_of_key(key: Column) -> Column:
-    """State part of a registry name: the text before the first ``_``."""
-    return F.split(key, "_", 2)[0]

@@ -34,7 +34,7 @@ def fit_last_value(history: DataFrame) -> DataFrame:
 
 
 def predict_last_value(fit: DataFrame, targets: DataFrame, model: str = "LastValue") -> DataFrame:
-    return as_predictions(targets.join(fit, KEY), model, F.col("last_total"))
+    return as_predictions(targets.join(fit, KEY), model, finite(F.col("last_total")))
 
 
 def last_value_in_place(split: DataFrame) -> DataFrame:

@@ -96,8 +96,8 @@ def cross_products(rows: DataFrame, target: str = "y") -> DataFrame:
     """Cross products of design and target per state, as one array.
 
     Tasks read rows in runs of one state and emit one matrix per run, whatever its length. The
-    rows come clustered by state from the window that scaled them, so there is one run per state
-    and the matrices, not the rows, are what is shuffled and added up.
+    matrices, not the rows, are shuffled, and added up entry by entry, however many runs a state
+    comes in.
     """
 
     def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -125,14 +125,10 @@ def cross_products(rows: DataFrame, target: str = "y") -> DataFrame:
     parts = rows.select(KEY, "t", "day", target).mapInPandas(
         partial, f"{KEY} string, gram array<double>"
     )
-    zeros = F.array_repeat(F.lit(0.0), (N_COLUMNS + 1) * (N_COLUMNS + 2) // 2)
-    summed = F.aggregate(
-        "grams", zeros, lambda acc, gram: F.zip_with(acc, gram, lambda a, b: a + b)
-    )
-    runs = parts.groupBy(KEY).agg(F.collect_list("gram").alias("grams"))
-    return runs.select(
-        KEY, F.when(F.size("grams") == 1, F.element_at("grams", 1)).otherwise(summed).alias("gram")
-    )
+    entries = parts.repartition(KEY).select(KEY, F.posexplode("gram").alias("i", "x"))
+    sums = entries.groupBy(KEY, "i").agg(F.sum("x").alias("x"))
+    whole = F.array_sort(F.collect_list(F.struct("i", "x")))
+    return sums.groupBy(KEY).agg(F.transform(whole, lambda e: e["x"]).alias("gram"))
 
 
 def solver(yearly: bool, trend: bool):
@@ -189,12 +185,14 @@ def fit_fourier(history: DataFrame, modes: Sequence[str] = ("multiplicative",),
                 seasonal = cross_products(ratios, "ratio").select(
                     KEY, solver(yearly, trend=False)("gram").alias("weights")
                 )
+                # Without a positive trend there is no ratio: a season of no numbers, no curve.
+                none = F.array_repeat(F.lit(float("nan")), N_YEARLY + N_WEEKLY)
                 fit = additive.drop("season").join(
-                    seasonal.select(KEY, weight_parts()[1]), KEY
-                )
+                    seasonal.select(KEY, weight_parts()[1]), KEY, "left"
+                ).withColumn("season", F.coalesce("season", none))
             fit = fit.withColumns({"mode": F.lit(mode), "yearly": F.lit(yearly)})
             fits = fit if fits is None else fits.unionByName(fit)
-    return fits.join(bounds, KEY)
+    return fits.join(bounds, KEY).join(fit_last_value(history).select(KEY, "last_total"), KEY)
 
 
 def weight_parts() -> list[Column]:
@@ -217,10 +215,7 @@ def forecast_rows(fit: DataFrame, targets: DataFrame) -> DataFrame:
     return rows.withColumn("yhat", clip_negative(value * F.col("unit")))
 
 
-def predict_fourier(fit: DataFrame, history: DataFrame, targets: DataFrame,
-                    model: str = TREND) -> DataFrame:
-    """Forecast of one configuration per state; a state without a fit repeats its last amount."""
-    last = fit_last_value(history)
-    full = forecast_rows(fit, targets).select(KEY, "ds", "yhat")
-    joined = targets.select(KEY, "ds").join(last, KEY).join(full, [KEY, "ds"], "left")
-    return as_predictions(joined, model, first_available(F.col("yhat"), F.col("last_total")))
+def predict_fourier(fit: DataFrame, targets: DataFrame, model: str = TREND) -> DataFrame:
+    """Forecast of one configuration per state; without a usable curve its last amount."""
+    rows = forecast_rows(fit, targets.select(KEY, "ds"))
+    return as_predictions(rows, model, first_available(F.col("yhat"), F.col("last_total")))

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tideline import config as c
-from tideline.functions.scalars import clip_negative, pad_left
+from tideline.functions.scalars import clip_negative, finite, pad_left
 from tideline.models.closed_form import as_predictions
 from tideline.operators.features import complete_rows, ensure_features, fill_features
 from tideline.operators.scale import min_max_scale, scaler_stats, unscaled
@@ -51,6 +51,13 @@ def in_units(features: DataFrame, scale: DataFrame) -> DataFrame:
     return joined
 
 
+def only_finite(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Rows whose columns are all numbers: an infinite amount must not stop a pooled fit."""
+    return df.filter(F.forall(
+        F.array(*[F.col(name).cast("double") for name in columns]), lambda x: finite(x).isNotNull()
+    ))
+
+
 def assembled(df: DataFrame) -> DataFrame:
     return VectorAssembler(inputCols=list(c.FEATURES), outputCol="inputs").transform(df)
 
@@ -64,7 +71,8 @@ def back_to_amount(prediction: str = "prediction") -> Column:
 
 def tree_inputs(train: DataFrame, scale: DataFrame) -> DataFrame:
     """Training rows of the trees: complete features, scaled and assembled."""
-    return assembled(in_units(complete_rows(train), scale)).select(KEY, "ds", "inputs", "target")
+    rows = only_finite(in_units(complete_rows(train), scale), [*c.FEATURES, "target"])
+    return assembled(rows).select(KEY, "ds", "inputs", "target")
 
 
 def fit_trees(inputs: DataFrame, trees: int = c.TREE_COUNT, depth: int = c.TREE_DEPTH,
@@ -122,6 +130,7 @@ def sequence_inputs(train: DataFrame, scale: DataFrame, length: int) -> DataFram
     complete = complete_rows(train, with_total=True)
     long_enough = with_enough_rows(complete, length + c.LOOKBACK_MARGIN, F.lit(True))
     rows = min_max_scale(long_enough, scale, SCALED)
+    rows = only_finite(rows, SCALED)
     return lookback_sequences(rows, feature_steps(), length).select(
         KEY,
         "ds",
@@ -139,13 +148,13 @@ def fit_lookback(inputs: DataFrame) -> LinearRegressionModel:
 
 
 def predict_lookback(model: LinearRegressionModel, scale: DataFrame, history: DataFrame,
-                     targets: DataFrame, length: int = c.LOOKBACK,
-                     name: str = c.LOOKBACK_MODEL) -> DataFrame:
+                     targets: DataFrame, name: str = c.LOOKBACK_MODEL) -> DataFrame:
     """Multi-step forecast in which the last known feature row is repeated.
 
-    No step needs the prediction of the step before, so all steps are scored at once. Beyond
-    ``length`` steps the input no longer changes; such days share the last distinct one.
+    No step needs the prediction of the step before, so all steps are scored at once. Beyond the
+    look-back of the model the input no longer changes; such days share the last distinct one.
     """
+    length = model.numFeatures // len(c.FEATURES)
     amount = scale.select(KEY, "total_min", "total_range")
     others = scale.drop("total_min", "total_range")
     rows = min_max_scale(fill_features(history), others, list(c.FEATURES))

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tideline.functions.scalars import finite
+
 KEY = "state"
 
 
@@ -16,9 +18,10 @@ def roll_up(sales: DataFrame) -> DataFrame:
     holds most of them leaves one row per day, category and task. The smallest category is
     picked among those few rows: as an aggregate over raw rows, a text minimum would make Spark
     sort them. Everything after this step is bounded by the calendar, not by the input volume.
-    A day whose amounts are all NULL stays NULL.
+    Amounts that are no finite number count as unknown, and a day without a known one stays NULL.
     """
-    by_category = sales.groupBy(KEY, "ds", "category").agg(F.sum("total").alias("total"))
+    known = F.sum(finite(F.col("total"))).alias("total")
+    by_category = sales.groupBy(KEY, "ds", "category").agg(known)
     return by_category.groupBy(KEY, "ds").agg(
         F.sum("total").alias("total"), F.min("category").alias("category")
     )

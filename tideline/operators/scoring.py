@@ -13,6 +13,7 @@ from pyspark.sql.window import Window
 
 from tideline.config import BASE_MODELS, MIN_BASE_MODELS, MODEL_ORDER
 from tideline.functions import metrics as m
+from tideline.functions.scalars import finite
 
 KEY = "state"
 METRICS = ("mae", "rmse", "mape")
@@ -35,19 +36,21 @@ def metric_columns(actual: Column, yhat: Column) -> list[Column]:
 
 def evaluate(predictions: DataFrame, actuals: DataFrame,
              expected: DataFrame | None = None) -> DataFrame:
-    """Errors per state and model.
+    """Errors per state and model; infinite where a day has no finite prediction.
 
     With ``expected(state, model)`` every listed pair gets a row; a pair without predictions
     (a model that could not be fitted) scores infinity.
     """
+    infinite = F.lit(float("inf"))
+    whole = F.bool_and(finite(F.col("yhat")).isNotNull()).alias("whole")
     scores = (
         align(predictions, actuals)
         .groupBy(KEY, "model")
-        .agg(*metric_columns(F.col("actual"), F.col("yhat")))
+        .agg(*metric_columns(F.col("actual"), F.col("yhat")), whole)
+        .select(KEY, "model", *[F.when(F.col("whole"), F.col(c)).otherwise(infinite).alias(c) for c in METRICS])
     )
     if expected is None:
         return scores
-    infinite = F.lit(float("inf"))
     return expected.join(scores, [KEY, "model"], "left").select(
         KEY, "model", *[F.coalesce(c, infinite).alias(c) for c in METRICS]
     )

@@ -26,6 +26,8 @@ class Settings:
     """Hyper-parameters of one run; ``tune`` replaces them by the winners of the grids."""
 
     arima_order: tuple[int, int, int] = c.ARIMA_ORDER
+    arima_largest_root: float | None = None
+    arima_damping: float = 1.0
     mode: str = "multiplicative"
     yearly: bool = True
     lookback: int = c.LOOKBACK
@@ -41,7 +43,6 @@ class Fits:
 
     tables: dict[str, DataFrame] = field(default_factory=dict)
     pooled: dict[str, tuple] = field(default_factory=dict)
-    lookback: int = c.LOOKBACK
 
 
 @dataclass(frozen=True)
@@ -80,8 +81,11 @@ def tuned(settings: Settings, train: DataFrame) -> Settings:
 
 def seasonal_fit(history: DataFrame, settings: Settings) -> DataFrame:
     if settings.tune:
-        return tuning.tune_seasonal_ar(history)
-    return seasonal_ar.fit_seasonal_ar(history, settings.arima_order)
+        chosen = tuning.tune_seasonal_ar(history, settings.arima_largest_root)
+        return seasonal_ar.with_fallback(chosen, history, settings.arima_damping)
+    return seasonal_ar.fit_seasonal_ar(
+        history, settings.arima_order, settings.arima_largest_root, settings.arima_damping
+    )
 
 
 def trend_fit(history: DataFrame, settings: Settings) -> DataFrame:
@@ -106,7 +110,7 @@ def fit_bases(history: DataFrame, settings: Settings) -> Fits:
         scale = materialize(pooled.lookback_scale(history))
         inputs = pooled.sequence_inputs(history, scale, settings.lookback)
         fitted[c.LOOKBACK_MODEL] = (pooled.fit_lookback(inputs), scale)
-    return Fits(tables, fitted, settings.lookback)
+    return Fits(tables, fitted)
 
 
 def predict_bases(fits: Fits, history: DataFrame, targets: DataFrame,
@@ -123,12 +127,12 @@ def predict_bases(fits: Fits, history: DataFrame, targets: DataFrame,
         rows = targets if tree_rows is None else tree_rows
         parts.append(pooled.predict_trees(model, scale, rows))
     if c.TREND in fits.tables:
-        parts.append(fourier.predict_fourier(fits.tables[c.TREND], history, days))
+        parts.append(fourier.predict_fourier(fits.tables[c.TREND], days))
     if c.ARIMA in fits.tables:
-        parts.append(seasonal_ar.predict_seasonal_ar(fits.tables[c.ARIMA], history, days))
+        parts.append(seasonal_ar.predict_seasonal_ar(fits.tables[c.ARIMA], days))
     if c.LOOKBACK_MODEL in fits.pooled:
         model, scale = fits.pooled[c.LOOKBACK_MODEL]
-        parts.append(pooled.predict_lookback(model, scale, history, days, fits.lookback))
+        parts.append(pooled.predict_lookback(model, scale, history, days))
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -180,15 +184,23 @@ def stacked_predictions(fits: Fits, weights: DataFrame, history: DataFrame,
     return on_targets.unionByName(stacked.join(weights.select(KEY), KEY, "left_semi"))
 
 
-def forecast_best(run: Comparison, days: int = c.HORIZON_DAYS) -> DataFrame:
-    """The next ``days`` days of every state from its winner, refitted on all rows.
+def forecast_best(run: Comparison, days: int | DataFrame = c.HORIZON_DAYS) -> DataFrame:
+    """The next days of every state from its winner, refitted on all rows.
 
-    Trees score frozen features where they win alone, and appended ones inside an ensemble.
+    ``days`` is one number for all states, or a table ``(state, days)`` with a horizon for each;
+    states it does not list get no forecast. Trees score frozen features where they win alone, and appended ones inside an ensemble.
     Only the base models some state needs are refitted.
     """
     dense = run.prepared.select(KEY, "ds", "total", "category")
     ends = last_days(dense)
-    targets = future_dates(ends, days).select(KEY, "ds")
+    if isinstance(days, DataFrame):
+        dense = dense.join(days.select(KEY), KEY, "left_semi")
+        reach = days.agg(F.max("days")).first()[0] or 0
+        own = ends.join(days.select(KEY, "days"), KEY)
+        targets = future_dates(own, F.col("days")).select(KEY, "ds")
+    else:
+        reach = days
+        targets = future_dates(ends, days).select(KEY, "ds")
     winners = {row.best_model for row in run.best.select("best_model").distinct().collect()}
     needed = [m for m in run.settings.models if m in winners or c.STACKED in winners]
     settings = replace(run.settings, models=tuple(needed))
@@ -197,15 +209,22 @@ def forecast_best(run: Comparison, days: int = c.HORIZON_DAYS) -> DataFrame:
         states = run.best.filter(F.col("best_model") == model).select(KEY)
         return df.join(states, KEY, "left_semi")
 
-    tree_rows = won_by(frozen_future(dense, days).drop("step"), c.TREES).unionByName(
-        won_by(appended_future(dense, days), c.STACKED)
-    )
+    tree_rows = won_by(frozen_future(dense, reach).drop("step"), c.TREES).unionByName(
+        won_by(appended_future(dense, reach), c.STACKED)
+    ).join(targets, [KEY, "ds"], "left_semi")
     fits = fit_bases(run.prepared, settings)
     base = materialize(predict_bases(fits, run.prepared, targets, tree_rows))
     stacked = stacking.predict_stack(run.weights, won_by(base, c.STACKED))
     return pick_winner(base.unionByName(stacked), run.best).join(ends, KEY)
 
 
+def forecast_requests(run: Comparison, requests: DataFrame) -> DataFrame:
+    """Forecasts as far as the longest valid request of each state goes."""
+    weeks = F.coalesce("weeks", F.lit(c.HORIZON_WEEKS))
+    days = requests.groupBy(KEY).agg(F.max(weeks * c.DAYS_PER_WEEK).alias("days"))
+    return forecast_best(run, materialize(days.filter("days > 0")))
+
+
 def pick_winner(predictions: DataFrame, best: DataFrame) -> DataFrame:
     """Each state's forecast by its best model."""
     chosen = best.select(KEY, F.col("best_model").alias("model"))

@@ -20,25 +20,32 @@ def forecast_paths(forecasts: DataFrame) -> DataFrame:
     )
 
 
-def answer_requests(requests: DataFrame, forecasts: DataFrame, sales: DataFrame) -> DataFrame:
+def answer_requests(requests: DataFrame, forecasts: DataFrame, states: DataFrame) -> DataFrame:
     """``requests(state, weeks)`` with the first ``7 * weeks`` forecast days of their state.
 
-    A request joins one row per state, so a state asked for by most requests multiplies nothing.
-    ``status`` tells a state without data from one without a model; both get an empty list.
+    ``states`` lists the states that have data, on any number of rows; the smallest table that
+    does is best. A request joins one row per state, so a popular state multiplies nothing.
+    ``status`` is ``ok`` only for complete answers; all others get an empty list:
+    ``bad_request`` (negative weeks), ``no_data``, ``no_model``, or ``beyond_horizon`` where the
+    forecasts at hand end before the request does (``compare.forecast_requests`` makes them as
+    long as the requests).
     """
     weeks = F.coalesce("weeks", F.lit(HORIZON_WEEKS))
-    known = sales.select(KEY).distinct().withColumn("has_data", F.lit(True))
+    known = states.select(KEY).distinct().withColumn("has_data", F.lit(True))
     joined = (
         requests.withColumn("weeks", weeks)
         .join(known, KEY, "left")
         .join(forecast_paths(forecasts), KEY, "left")
     )
+    n_days = F.col("weeks") * DAYS_PER_WEEK
     status = (
-        F.when(F.col("has_data").isNull(), "no_data")
+        F.when(F.col("weeks") < 0, "bad_request")
+        .when(F.col("has_data").isNull(), "no_data")
         .when(F.col("path").isNull(), "no_model")
+        .when(F.size("path") < n_days, "beyond_horizon")
         .otherwise("ok")
     )
-    days = F.slice("path", 1, F.col("weeks") * DAYS_PER_WEEK)
+    days = F.slice("path", 1, F.greatest(n_days, F.lit(0)))
     items = F.transform(
         days,
         lambda day: F.struct(

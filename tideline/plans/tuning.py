@@ -61,9 +61,10 @@ def trend_grid() -> list[dict]:
     ]
 
 
-def tune_seasonal_ar(train: DataFrame) -> DataFrame:
+def tune_seasonal_ar(train: DataFrame, largest_root: float | None = None) -> DataFrame:
     """Order with the smallest AIC per state, with its coefficients."""
-    return seasonal_ar.select_order(seasonal_ar.fit_grid(train, seasonal_ar.order_grid()))
+    fits = seasonal_ar.fit_grid(train, seasonal_ar.order_grid(), largest_root)
+    return seasonal_ar.select_order(fits)
 
 
 def score_trend(train: DataFrame) -> DataFrame:

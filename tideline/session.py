@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,7 +25,27 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return configured
 
 
-def materialize(df: DataFrame) -> DataFrame:
+# Folders of the runs that are open, the innermost last.
+_runs: list[str] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[str]:
+    """A folder for the tables kept inside the block; it is removed at the end.
+
+    A result that is to outlive the block is kept with ``materialize(df, outlive=True)``.
+    """
+    folder = f"{checkpoint_dir(spark)}/tables/{uuid.uuid4().hex}"
+    _runs.append(folder)
+    try:
+        yield folder
+    finally:
+        _runs.remove(folder)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def materialize(df: DataFrame, outlive: bool = False) -> DataFrame:
     """Write ``df`` under the checkpoint folder and return a DataFrame that reads it back.
 
     Used for tables that several branches of one plan read. The copy lives on shared storage, so
@@ -31,6 +53,7 @@ def materialize(df: DataFrame) -> DataFrame:
     branch read only its columns, and its size on disk tells Spark whether it may be broadcast.
     """
     spark = df.sparkSession
-    path = f"{checkpoint_dir(spark)}/tables/{uuid.uuid4().hex}"
+    home = _runs[-1] if _runs and not outlive else f"{checkpoint_dir(spark)}/tables"
+    path = f"{home}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -9,11 +9,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tideline.config import TREES
-from tideline.functions.scalars import model_key, state_of_key
+from tideline.functions.scalars import model_key
 
 KEY = "state"
+OK, FAILED, SKIPPED = "ok", "failed", "skipped"
 PROGRESS_SCHEMA = T.StructType(
-    [T.StructField(KEY, T.StringType()), T.StructField("status", T.StringType())]
+    [
+        T.StructField(KEY, T.StringType()),
+        T.StructField("status", T.StringType()),
+        T.StructField("n_rows", T.LongType()),
+    ]
 )
 
 
@@ -61,13 +66,13 @@ class ModelRegistry:
 
 
 def available_states(entries: DataFrame, model: str = TREES) -> DataFrame:
-    """States that have a saved model of the given kind, sorted, taken from the registry keys."""
-    return (
-        entries.filter(F.col("key").endswith(f"_{model.lower()}"))
-        .select(state_of_key(F.col("key")).alias(KEY))
-        .distinct()
-        .orderBy(KEY)
-    )
+    """States that have a saved model of the given kind, sorted."""
+    return entries.filter(F.col("model") == model).select(KEY).distinct().orderBy(KEY)
+
+
+def available_count(entries: DataFrame, model: str = TREES) -> DataFrame:
+    """How many states have a saved model of the given kind."""
+    return available_states(entries, model).agg(F.count("*").alias("n_states"))
 
 
 class Progress:
@@ -78,7 +83,7 @@ class Progress:
         self.path = f"{folder}/progress"
 
     def record(self, states: DataFrame) -> None:
-        """Append ``states(state, status)``: one commit for a whole batch."""
+        """Append ``states(state, status, n_rows)``: one commit for a whole batch."""
         states.write.mode("append").parquet(self.path)
 
     def completed(self) -> DataFrame:
@@ -104,3 +109,18 @@ def all_completed(earlier: DataFrame, batch: DataFrame) -> DataFrame:
 def remaining_sales(sales: DataFrame, completed: DataFrame) -> DataFrame:
     """Sales rows of the states still to be processed."""
     return sales.join(completed.select(KEY).distinct(), KEY, "left_anti")
+
+
+def unsettled_sales(sales: DataFrame, progress: DataFrame) -> DataFrame:
+    """Sales rows of the states a run has to take up: new ones, failed ones, and grown ones.
+
+    A state that was too short is tried again once it has more rows than it had then; a state
+    that failed is always tried again.
+    """
+    settled = progress.filter(F.col("status") == OK).select(KEY)
+    short = progress.filter(F.col("status") == SKIPPED).groupBy(KEY).agg(
+        F.max("n_rows").alias("n_tried")
+    )
+    sizes = sales.groupBy(KEY).agg(F.count("*").alias("n_rows"))
+    same = sizes.join(short, KEY).filter("n_rows <= n_tried").select(KEY)
+    return remaining_sales(sales, settled.unionByName(same))

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tideline.functions.scalars import finite
+
 # Text in the amount column has to become NULL instead of failing the read, hence STRING here.
 RAW_SCHEMA = T.StructType(
     [
@@ -35,9 +37,8 @@ def to_day(date: Column) -> Column:
 
 
 def to_number(value: Column) -> Column:
-    """Numeric value, NULL where the text is not a number (and for NaN)."""
-    number = value.try_cast("double")
-    return F.when(~F.isnan(number), number)
+    """Numeric value, NULL where the text is not a number, and for NaN and infinities."""
+    return finite(value.try_cast("double"))
 
 
 def read_sales(spark: SparkSession, path: str, fmt: str = "parquet", **options: str) -> DataFrame:
