@@ -343,17 +343,21 @@ def oracle() -> dict[str, str]:
     q["densify_nulls"] = query(SALES, GAPPY, GRID, dense("gappy"), "SELECT * FROM dense")
     q["densify_kept_rows"] = query(ORDER_ROWS, "SELECT state, ds, total, category FROM kept")
     kept_window = "(PARTITION BY state ORDER BY ds, category, total"
-    kept_means = ", ".join(
-        f"{snap(f'avg(total) OVER {kept_window} ROWS BETWEEN {k - 1} PRECEDING AND CURRENT ROW)')}"
-        f" AS rolling_mean_{k}"
-        for k in (7, 30)
-    )
+    kept_rolls = []
+    for k in (7, 30):
+        frame = f"{kept_window} ROWS BETWEEN {k - 1} PRECEDING AND CURRENT ROW)"
+        kept_rolls += [
+            f"{snap(f'avg(total) OVER {frame}')} AS rolling_mean_{k}",
+            f"{snap(f'coalesce(stddev_samp(total) OVER {frame}, 0)')} AS rolling_std_{k}",
+            f"min(total) OVER {frame} AS rolling_min_{k}",
+            f"max(total) OVER {frame} AS rolling_max_{k}",
+        ]
     q["features_kept_rows"] = query(
-        ORDER_ROWS,
+        ORDER_ROWS, HOLIDAYS.replace("FROM sales", "FROM rows"),
         f"""SELECT state, ds, category, total, row_number() OVER {kept_window}) AS rn,
-        count(*) OVER (PARTITION BY state) AS n_rows,
+        count(*) OVER (PARTITION BY state) AS n_rows, {CALENDAR},
         {', '.join(f'lag(total, {k}) OVER {kept_window}) AS lag_{k}' for k in (1, 7, 30))},
-        {kept_means} FROM kept""",
+        {', '.join(kept_rolls)} FROM kept""",
     )
     gaps = "grid g LEFT JOIN sales s ON g.state = s.state AND g.ds = s.ds"
     q["spine_gaps"] = query(SALES, GRID, f"SELECT g.state, g.ds, total, category FROM {gaps}")
@@ -396,17 +400,35 @@ def oracle() -> dict[str, str]:
         count(*) FILTER (split = 'test') AS test_size FROM split GROUP BY state""",
     )
     q["nested_split"] = query(*PARTS, "SELECT state, ds, split, part FROM split")
+    short = SALES.replace("sales AS", "all_sales AS") + """, sales AS (SELECT * FROM all_sales
+      WHERE NOT (category = 'ASIA' AND ds >= DATE '1995-02-25')
+        AND NOT (category = 'AMERICA' AND ds >= DATE '1995-05-10'))"""
     q["min_history"] = query(
-        SALES, SPLIT.replace("FROM dense", "FROM sales"),
+        short, SPLIT.replace("FROM dense", "FROM sales"),
         """SELECT state, ds, total, category, split FROM split WHERE state IN (
         SELECT state FROM split WHERE split = 'train' GROUP BY state HAVING count(*) >= 50)""",
     )
     q["tuning_guard"] = query(
-        *FULL,
+        short, GRID, dense(), HOLIDAYS, FEATURES,
         f"""counts AS (SELECT state, count(*) AS n FROM features WHERE {complete} GROUP BY state)""",
         """SELECT state, CAST(l AS INTEGER) AS length, n, n >= 100 AS can_tune,
         n >= l + 10 AS can_fit FROM counts, (VALUES (21), (30)) g(l)""",
     )
+    q["regenerated_features"] = q["all_features"]
+    q["found_input"] = query(
+        SALES,
+        "SELECT state, count(*) AS n, min(ds) AS first_ds, max(ds) AS last_ds FROM sales GROUP BY state",
+    )
+    q["progress_latest"] = query(
+        SALES,
+        """SELECT state, CASE WHEN min(category) = 'ASIA' THEN 'skipped' ELSE 'ok' END AS status,
+        count(*) AS n_rows FROM sales GROUP BY state""",
+    )
+    q["unsettled_states"] = query(
+        SALES,
+        """SELECT state, count(*) AS n FROM sales WHERE category = 'AFRICA'
+        OR category = 'ASIA' AND state IN ('NATION_2', 'NATION_12') GROUP BY state""",
+    )
     scaled = ("total", "lag_1", "lag_30", "day_of_month")
     stats = ", ".join(
         f"CAST(min({n}) AS DOUBLE) AS {n}_min, CASE WHEN max({n}) = min({n}) THEN 1.0 "
@@ -573,6 +595,30 @@ def oracle() -> dict[str, str]:
         f"""SELECT state, first_ds, round(slope, 6) AS slope, {snap('level', COARSE)} AS level,
         {indices} FROM f_line l""",
     )
+    q["trend_season_negative"] = query(
+        *PARTS,
+        """signed AS (SELECT state, ds, CASE WHEN day(ds) = 5 THEN -total ELSE total END AS total
+        FROM train)""",
+        trend_fit("signed", "f"),
+        f"SELECT state, round(slope, 6) AS slope, {snap('level', COARSE)} AS level FROM f_line",
+    )
+    q["stackable_states"] = query(
+        SALES, "SELECT DISTINCT state FROM sales WHERE category <> 'ASIA'"
+    )
+    ahead = AR1_PATH.format(h="datediff('day', last_ds, t.ds)")
+    q["fallback_chain_engine"] = query(
+        *PARTS, ar1_fit("train", "fit"),
+        "homes AS (SELECT DISTINCT state, category FROM sales)",
+        f"""SELECT t.state, 'ARIMA' AS model, t.ds, {snap(f"""greatest(CASE WHEN h.category <> 'EUROPE'
+        AND abs(phi) < 1 THEN {ahead} ELSE last_total END, 0.0)""", COARSE)} AS yhat
+        FROM test t JOIN fit f ON t.state = f.state JOIN homes h ON t.state = h.state""",
+    )
+    q["forecast_coverage"] = query(
+        *PARTS,
+        """SELECT state, model, count(*) AS n, min(ds) AS first_ds, max(ds) AS last_ds,
+        CAST(0 AS BIGINT) AS n_bad FROM test, (VALUES ('ARIMA'), ('Prophet'), ('LSTM')) m(model)
+        GROUP BY state, model""",
+    )
     q["trend_season_forecast"] = query(*PARTS, trend("train", "test", "pred"), forecast)
     path = AR1_PATH.format(h="step")
     q["fallback_chain"] = query(
@@ -634,6 +680,11 @@ def oracle() -> dict[str, str]:
         f"""SELECT ds, state, category, CAST(datediff('day', last_ds, ds) AS INTEGER) AS step,
         {CALENDAR}, {', '.join(LAG_NAMES + ROLL_NAMES)} FROM ahead""",
     )
+    q["future_frozen_test"] = query(
+        *PARTS, HOLIDAYS, last_known.replace("FROM dense", "FROM train"),
+        "ahead AS (SELECT t.ds, k.* EXCLUDE (last_ds) FROM test t JOIN known k ON t.state = k.state)",
+        f"""SELECT ds, state, category, {CALENDAR}, {', '.join(LAG_NAMES + ROLL_NAMES)} FROM ahead""",
+    )
     carried = ", ".join(
         f"coalesce(last_value({n} IGNORE NULLS) OVER w, 0.0) AS {n}"
         for n in LAG_NAMES + ROLL_NAMES

@@ -31,7 +31,7 @@ from tideline.plans.prepare import prepare
 from tideline.session import checkpoint_dir, materialize
 from tideline.sources import documents as doc
 from tideline.sources import registry as reg
-from tideline.sources.sales import star_sales, to_day, to_number
+from tideline.sources.sales import read_sales, resolve_input, star_sales, to_day, to_number
 
 KEY = "state"
 FINE, COARSE = 1024, 8
@@ -203,9 +203,10 @@ def order_rows(spark, sf):
 def features_kept_rows(spark, sf):
     """Features over unsummed rows; rows that tie in day, category and amount are equal."""
     rows = ft.with_features_keeping_rows(d.densify_keeping_rows(order_rows(spark, sf)))
-    means = ["rolling_mean_7", "rolling_mean_30"]
-    picked = rows.select(KEY, "ds", "category", "total", "rn", "n_rows", *c.LAG_FEATURES, *means)
-    return snapped(picked, means)
+    summed = [n for n in c.FEATURES if n.startswith(("rolling_mean", "rolling_std"))]
+    waves = {name: F.round(name, 8) for name in c.CALENDAR_FEATURES[-4:]}
+    picked = rows.select(KEY, "ds", "category", "total", "rn", "n_rows", *c.FEATURES)
+    return snapped(picked, summed).withColumns(waves)
 
 
 def spine_gaps(spark, sf):
@@ -290,14 +291,24 @@ def nested_split(spark, sf):
     return sp.nested_split(dense(spark, sf)).select(KEY, "ds", "split", "part")
 
 
+def cut_short(spark, sf) -> DataFrame:
+    """Sales in which the states of two regions end early: too soon to train, or just to tune."""
+    day = F.col("ds")
+    early = F.when(F.col("category") == "ASIA", day < F.lit("1995-02-25").cast("date")).when(
+        F.col("category") == "AMERICA", day < F.lit("1995-05-10").cast("date")
+    )
+    return star_sales(spark, sf).filter(F.coalesce(early, F.lit(True)))
+
+
 def min_history(spark, sf):
     """Observed days of the states that have enough of them before the cut."""
-    return sp.with_enough_rows(sp.split_series(star_sales(spark, sf)))
+    return sp.with_enough_rows(sp.split_series(cut_short(spark, sf)))
 
 
 def tuning_guard(spark, sf):
     """States with enough complete rows for a hold-out, by look-back length."""
-    rows = ft.complete_rows(features(spark, sf)).groupBy(KEY).agg(F.count("*").alias("n"))
+    rows = ft.with_features(d.densify(cut_short(spark, sf)))
+    rows = ft.complete_rows(rows).groupBy(KEY).agg(F.count("*").alias("n"))
     lengths = tuning.with_grid(rows, tuning.lookback_grid())
     return lengths.select(
         KEY,
@@ -478,6 +489,102 @@ def trend_season_fit(spark, sf):
     )
 
 
+def trend_season_negative(spark, sf):
+    """The same fit when amounts on every fifth of a month are negative: they count as 0."""
+    sign = F.when(F.dayofmonth("ds") == 5, -1).otherwise(1)
+    train = parts(spark, sf)["train"].withColumn("total", F.col("total") * sign)
+    fit = cf.fit_trend_season(train)
+    return fit.select(KEY, F.round("slope", 6).alias("slope"), snap("level", COARSE).alias("level"))
+
+
+def stackable_states(spark, sf):
+    """States with two base models, when the seasonal one is missing in one region."""
+    rows = parts_with_category(spark, sf)
+    train, test = (rows.filter(F.col("split") == side) for side in (sp.TRAIN, sp.TEST))
+    predictions = two_models(train, test)
+    asia = rows.filter("category = 'ASIA'").select(KEY).distinct()
+    missing = asia.withColumn("model", F.lit(c.ARIMA))
+    return so.stackable_states(predictions.join(missing, [KEY, "model"], "left_anti"))
+
+
+def fallback_chain_engine(spark, sf):
+    """The engine's own chain for states without a seasonal fit: line, or last amount.
+
+    The line is spoilt for one region, so both steps of the chain are taken.
+    """
+    rows = parts_with_category(spark, sf)
+    train, test = (rows.filter(F.col("split") == side) for side in (sp.TRAIN, sp.TEST))
+    fit = seasonal_ar.fit_seasonal_ar(train)
+    lost = F.lit(None).cast("array<double>")
+    europe = rows.filter("category = 'EUROPE'").select(KEY).distinct().withColumn("spoilt", F.lit(True))
+    fit = fit.withColumn("coefficients", lost).join(europe, KEY, "left").withColumn(
+        "phi", F.when(F.col("spoilt"), 1.5).otherwise(F.col("phi"))
+    )
+    found = seasonal_ar.predict_seasonal_ar(fit.drop("spoilt"), test.select(KEY, "ds"))
+    return snapped(found, ["yhat"], COARSE)
+
+
+def forecast_coverage(spark, sf):
+    """Days forecast per state and iterative or learned model, and those without a usable value."""
+    p = parts(spark, sf)
+    days = p["test"].select(KEY, "ds")
+    scale = materialize(pooled.amount_scale(p["train"]))
+    model = pooled.fit_lookback(pooled.amount_sequences(p["train"], scale, c.LOOKBACK))
+    rows = (
+        seasonal_ar.predict_seasonal_ar(seasonal_ar.fit_seasonal_ar(p["train"]), days)
+        .unionByName(fourier.predict_fourier(fourier.fit_fourier(p["train"]), days))
+        .unionByName(pooled.predict_amounts(model, scale, p["train"], days))
+    )
+    bad = (F.col("yhat").isNull() | F.isnan("yhat") | (F.col("yhat") < 0)).cast("long")
+    return rows.groupBy(KEY, "model").agg(
+        F.count("*").alias("n"), F.min("ds").alias("first_ds"), F.max("ds").alias("last_ds"),
+        F.sum(bad).alias("n_bad"),
+    )
+
+
+def progress_latest(spark, sf):
+    """Progress written in two batches and read back: states settled, and rows each had."""
+    sales = star_sales(spark, sf)
+    sizes = sales.groupBy(KEY, "category").agg(F.count("*").alias("n_rows"))
+    progress = reg.Progress(spark, new_folder(spark))
+    asia = F.col("category") == "ASIA"
+    for rows, status in ((sizes.filter(asia), reg.SKIPPED), (sizes.filter(~asia), reg.OK)):
+        progress.record(rows.select(KEY, F.lit(status).alias("status"), "n_rows"))
+    return progress.completed()
+
+
+def unsettled_states(spark, sf):
+    """States to take up again: skipped ones of two nations have grown since, all failed ones."""
+    sales = star_sales(spark, sf)
+    sizes = sales.groupBy(KEY, "category").agg(F.count("*").alias("n_rows"))
+    grown = F.col(KEY).isin("NATION_2", "NATION_12")
+    status = F.when(F.col("category") == "ASIA", reg.SKIPPED).when(
+        F.col("category") == "AFRICA", reg.FAILED
+    ).otherwise(reg.OK)
+    progress = sizes.select(
+        KEY, status.alias("status"), F.when(grown, F.col("n_rows") - 1).otherwise(F.col("n_rows")).alias("n_rows")
+    )
+    return reg.unsettled_sales(sales, progress).groupBy(KEY).agg(F.count("*").alias("n"))
+
+
+def regenerated_features(spark, sf):
+    """Rows that lack feature columns get all of them computed; complete ones stay as they are."""
+    rows = ft.ensure_features(dense(spark, sf).withColumn("lag_1", F.lit(-1.0)))
+    return comparable(ft.ensure_features(rows))
+
+
+def found_input(spark, sf):
+    """Days in the file that a pattern finds when the configured one is absent."""
+    folder = new_folder(spark)
+    star_sales(spark, sf).select("state", "ds", "total", "category").toDF(
+        "State", "Date", "Total", "Category"
+    ).coalesce(1).write.option("header", True).csv(folder)
+    path = resolve_input(spark, folder, "absent.csv", "*.csv")
+    return read_sales(spark, path, "csv").groupBy(KEY).agg(
+        F.count("*").alias("n"), F.min("ds").alias("first_ds"), F.max("ds").alias("last_ds")
+    )
+
+
 def trend_season_forecast(spark, sf):
     p = parts(spark, sf)
     rows = cf.predict_trend_season(cf.fit_trend_season(p["train"]), p["test"].select(KEY, "ds"))
@@ -562,6 +669,17 @@ def future_frozen(spark, sf):
     return comparable(hz.frozen_future(dense(spark, sf)))
 
 
+def future_frozen_test(spark, sf):
+    """Feature rows of the held-out days as seen from the end of training."""
+    p = parts_with_category(spark, sf)
+    train, test = (p.filter(F.col("split") == side) for side in (sp.TRAIN, sp.TEST))
+    return comparable(hz.frozen_over(train.drop("split"), test))
+
+
+def parts_with_category(spark, sf) -> DataFrame:
+    return materialize(sp.split_series(dense(spark, sf)))
+
+
 def future_appended(spark, sf):
     return comparable(hz.appended_future(dense(spark, sf)))
 

@@ -150,3 +150,16 @@ def test_scratch_tables_are_removed(spark):
         kept = materialize(inner.filter("id > 0"), outlive=True)
         assert inner.count() == 3 and fs.exists(spark._jvm.org.apache.hadoop.fs.Path(folder))
     assert kept.count() == 2 and not fs.exists(spark._jvm.org.apache.hadoop.fs.Path(folder))
+
+
+def test_frozen_scores_use_no_held_out_amount(seasonal):
+    rows = materialize(compare.prepare(seasonal()))
+    changed = materialize(rows.withColumn(
+        "total", F.when(F.col("split") == "test", F.col("total") * 7 + 1).otherwise(F.col("total"))
+    ))
+    settings = compare.Settings(
+        models=(c.TREES, c.TREND), trees={"trees": 3, "depth": 3}, tree_scores="frozen"
+    )
+    found = [paths(compare.compare_prepared(x, settings).predictions.filter(F.col("model") == c.TREES))
+             for x in (rows, changed)]
+    assert found[0] == found[1] and found[0]

@@ -76,6 +76,15 @@ def frozen_future(dense: DataFrame, days: Column | int = HORIZON_DAYS) -> DataFr
     return future.select("ds", KEY, "category", "step", *FEATURES)
 
 
+def frozen_over(history: DataFrame, targets: DataFrame) -> DataFrame:
+    """Feature rows of given later days whose lags and rolling values stay at the last known ones.
+
+    Nothing of the targets but their days is used, so held-out days can be scored as a forecast.
+    """
+    known = last_known(history)
+    return with_calendar(targets.select(KEY, "ds").join(known, KEY)).select("ds", KEY, "category", *FEATURES)
+
+
 def future_rows(dense: DataFrame, days: Column | int = HORIZON_DAYS) -> DataFrame:
     """Future days without amounts, in the base columns, ready to be appended."""
     ends = dense.groupBy(KEY).agg(

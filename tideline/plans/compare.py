@@ -11,7 +11,13 @@ from pyspark.sql import functions as F
 from tideline import config as c
 from tideline.models import fourier, pooled, seasonal_ar, stacking
 from tideline.models.closed_form import predict_constant
-from tideline.operators.horizon import appended_future, frozen_future, future_dates, last_days
+from tideline.operators.horizon import (
+    appended_future,
+    frozen_future,
+    frozen_over,
+    future_dates,
+    last_days,
+)
 from tideline.operators.scoring import evaluate, expected_pairs, select_best, stackable_states
 from tideline.operators.split import TEST, TRAIN, split_sizes
 from tideline.plans import tuning
@@ -23,7 +29,11 @@ KEY = "state"
 
 @dataclass(frozen=True)
 class Settings:
-    """Hyper-parameters of one run; ``tune`` replaces them by the winners of the grids."""
+    """Hyper-parameters of one run; ``tune`` replaces them by the winners of the grids.
+
+    Trees are scored one step ahead with ``tree_scores="true_lags"``; with ``"frozen"`` they
+    forecast from the end of training like all other models.
+    """
 
     arima_order: tuple[int, int, int] = c.ARIMA_ORDER
     arima_largest_root: float | None = None
@@ -33,6 +43,7 @@ class Settings:
     lookback: int = c.LOOKBACK
     trees: dict = field(default_factory=lambda: {"trees": c.TREE_COUNT})
     tune: bool = False
+    tree_scores: str = "true_lags"
     models: tuple[str, ...] = c.BASE_MODELS
     select_by: str = "rmse"
 
@@ -159,7 +170,9 @@ def compare_prepared(prepared: DataFrame, settings: Settings) -> Comparison:
         settings = tuned(settings, train)
     base_fits, train_fits = fit_bases(base, settings), fit_bases(train, settings)
     weights = materialize(refit_stack(base_fits, base, meta))
-    predictions = materialize(stacked_predictions(train_fits, weights, train, test))
+    frozen = settings.tree_scores == "frozen"
+    tree_rows = frozen_over(train.select(KEY, "ds", "total", "category"), test) if frozen else None
+    predictions = materialize(stacked_predictions(train_fits, weights, train, test, tree_rows))
     models = [m for m in c.MODEL_ORDER if m in (*settings.models, c.STACKED)]
     scores = materialize(evaluate(predictions, test, expected_pairs(prepared, models)))
     best = select_best(scores, settings.select_by)
@@ -176,10 +189,10 @@ def refit_stack(fits: Fits, base: DataFrame, meta: DataFrame) -> DataFrame:
     return stacking.fit_stack(usable, meta)
 
 
-def stacked_predictions(fits: Fits, weights: DataFrame, history: DataFrame,
-                        targets: DataFrame) -> DataFrame:
+def stacked_predictions(fits: Fits, weights: DataFrame, history: DataFrame, targets: DataFrame,
+                        tree_rows: DataFrame | None = None) -> DataFrame:
     """Base predictions plus those of the ensemble, the latter where it could be fitted."""
-    on_targets = materialize(predict_bases(fits, history, targets))
+    on_targets = materialize(predict_bases(fits, history, targets, tree_rows))
     stacked = stacking.predict_stack(weights, on_targets)
     return on_targets.unionByName(stacked.join(weights.select(KEY), KEY, "left_semi"))
 
