@@ -362,7 +362,8 @@ class _Search:
         wanted = members.select(
             *columns, "low", F.col("set_a").alias("own_a"), F.col("set_b").alias("own_b")
         )
-        found = self.docs.join(wanted, F.col("id").eqNullSafe(F.col("low")))
+        # The same join at every size: the wanted classes grow with the table, so none is broadcast.
+        found = self.docs.join(wanted.hint("merge"), F.col("id").eqNullSafe(F.col("low")))
         return found.select(*columns, "own_a", "own_b", "text")
 
     def run(self) -> DataFrame:
