@@ -77,19 +77,15 @@ def parts(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
 
 
 def two_models(history: DataFrame, targets: DataFrame) -> DataFrame:
-    days = targets.select(KEY, "ds")
-    return cf.predict_ar1(cf.fit_ar1(history), days).unionByName(
-        cf.predict_trend_season(cf.fit_trend_season(history), days)
-    )
+    return cf.predict_closed_forms(cf.fit_closed_forms(history), targets, (c.ARIMA, c.TREND))
 
 
 def three_models(history: DataFrame, targets: DataFrame) -> DataFrame:
-    last = cf.predict_last_value(cf.fit_last_value(history), targets.select(KEY, "ds"))
-    return two_models(history, targets).unionByName(last)
+    return cf.predict_closed_forms(cf.fit_closed_forms(history), targets)
 
 
 def test_scores(p: dict[str, DataFrame]) -> DataFrame:
-    return so.evaluate(three_models(p["train"], p["test"]), p["test"])
+    return so.evaluate(three_models(p["train"], p["test"]))
 
 
 def rounded_scores(df: DataFrame) -> DataFrame:
@@ -691,7 +687,7 @@ def appended_rows(spark, sf):
 
 def winners(spark, sf, days=c.HORIZON_DAYS):
     p = parts(spark, sf)
-    best = so.select_best(so.evaluate(two_models(p["train"], p["test"]), p["test"]))
+    best = so.select_best(so.evaluate(two_models(p["train"], p["test"])))
     ends = hz.last_days(p["all"])
     targets = hz.future_dates(ends, days).select(KEY, "ds")
     chosen = compare.pick_winner(two_models(p["all"], targets), best)

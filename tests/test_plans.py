@@ -65,3 +65,9 @@ def test_star_scan_reads_three_order_columns(spark):
 def test_no_cross_joins(spark, name):
     plan = plan_of(getattr(spark_queries, name)(spark, TABLES))
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+@pytest.mark.parametrize(("name", "most"), [("best_forecast", 8), ("stack_predict", 6)])
+def test_exchanges_of_combined_plans(spark, name, most):
+    plan = plan_of(getattr(spark_queries, name)(spark, TABLES))
+    assert len(re.findall(r"Exchange ", plan)) <= most

@@ -6,6 +6,8 @@ that row leaves the grouping. A forecast joins those rows to ``targets(state, ds
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -63,13 +65,20 @@ def first_available(*yhats: Column) -> Column:
 
 def fit_ar1(history: DataFrame) -> DataFrame:
     """Least-squares line of each amount on the one before, plus where the forecast starts."""
-    pairs = history.withColumn("previous", F.lag("total").over(series_window()))
-    return pairs.groupBy(KEY).agg(
+    return with_previous(history).groupBy(KEY).agg(*_line_aggregates())
+
+
+def with_previous(history: DataFrame) -> DataFrame:
+    return history.withColumn("previous", F.lag("total").over(series_window()))
+
+
+def _line_aggregates() -> list[Column]:
+    return [
         F.regr_slope("total", "previous").alias("phi"),
         F.regr_intercept("total", "previous").alias("intercept"),
         F.max("ds").alias("last_ds"),
         F.max_by("total", "ds").alias("last_total"),
-    )
+    ]
 
 
 def ar1_forecast(step: Column) -> Column:
@@ -85,10 +94,12 @@ def ar1_forecast(step: Column) -> Column:
 
 def predict_ar1(fit: DataFrame, targets: DataFrame, model: str = ARIMA) -> DataFrame:
     """Multi-step forecast; a series without a usable line repeats its last amount."""
-    joined = targets.join(fit, KEY)
+    return as_predictions(targets.join(fit, KEY), model, line_yhat())
+
+
+def line_yhat() -> Column:
     step = F.datediff("ds", "last_ds")
-    yhat = first_available(ar1_forecast(step), F.col("last_total"))
-    return as_predictions(joined, model, clip_negative(yhat))
+    return clip_negative(first_available(ar1_forecast(step), F.col("last_total")))
 
 
 # -- linear trend with weekday and month indices -------------------------------------------------
@@ -112,11 +123,17 @@ def fit_trend_season(history: DataFrame) -> DataFrame:
     before at every row; windows over the state carry it there without joining the rows to their
     own aggregates.
     """
+    return _with_indices(history).groupBy(KEY).agg(*_trend_aggregates())
+
+
+def _with_indices(history: DataFrame) -> DataFrame:
+    """History with the trend and the index of its weekday and month at every row."""
     state = Window.partitionBy(KEY)
     y = F.greatest(F.col("total"), F.lit(0.0))
     rows = history.select(
         KEY,
         "ds",
+        "total",
         y.alias("y"),
         F.min("ds").over(state).alias("first_ds"),
         F.weekday("ds").alias("weekday"),
@@ -132,15 +149,15 @@ def fit_trend_season(history: DataFrame) -> DataFrame:
     weekly = lined.withColumn("weekday_ratio", _mean_ratio("weekday")).withColumn(
         "base", F.col("base") * F.col("weekday_ratio")
     )
-    return (
-        weekly.withColumn("month_ratio", _mean_ratio("month"))
-        .groupBy(KEY)
-        .agg(
-            *[F.first(c).alias(c) for c in ("first_ds", "slope", "level", "mean_total")],
-            _index_array("weekday", WEEKDAYS),
-            _index_array("month", MONTHS),
-        )
-    )
+    return weekly.withColumn("month_ratio", _mean_ratio("month"))
+
+
+def _trend_aggregates() -> list[Column]:
+    return [
+        *[F.first(c).alias(c) for c in ("first_ds", "slope", "level", "mean_total")],
+        _index_array("weekday", WEEKDAYS),
+        _index_array("month", MONTHS),
+    ]
 
 
 def _mean_ratio(factor: str) -> Column:
@@ -156,9 +173,37 @@ def _index_array(factor: str, values: range) -> Column:
 
 
 def predict_trend_season(fit: DataFrame, targets: DataFrame, model: str = TREND) -> DataFrame:
+    return as_predictions(targets.join(fit, KEY), model, season_yhat())
+
+
+def season_yhat() -> Column:
     ds = F.col("ds")
     weekday = F.get("weekday_index", F.weekday(ds))
     month = F.get("month_index", F.month(ds) - 1)
-    return as_predictions(
-        targets.join(fit, KEY), model, clip_negative(trend_value(ds) * weekday * month)
-    )
+    return clip_negative(trend_value(ds) * weekday * month)
+
+
+# -- all of them in one pass -----------------------------------------------------------------------
+
+LAST_VALUE = "LastValue"
+
+
+def fit_closed_forms(history: DataFrame) -> DataFrame:
+    """Coefficients of all models of this module, one row per state, from one shuffle."""
+    rows = with_previous(_with_indices(history))
+    return rows.groupBy(KEY).agg(*_line_aggregates(), *_trend_aggregates())
+
+
+def predict_closed_forms(fit: DataFrame, targets: DataFrame,
+                         models: Sequence[str] = (ARIMA, TREND, LAST_VALUE)) -> DataFrame:
+    """Forecasts of several models from one join; the amount of a target row goes along as ``actual``."""
+    yhats = {
+        ARIMA: line_yhat(),
+        TREND: season_yhat(),
+        LAST_VALUE: finite(clip_negative(F.col("last_total"))),
+    }
+    columns = [KEY, "ds", *(["total"] if "total" in targets.columns else [])]
+    each = F.array(*[F.struct(F.lit(m).alias("model"), yhats[m].alias("yhat")) for m in models])
+    rows = targets.select(columns).join(fit, KEY).withColumn("each", F.explode(each))
+    actual = [F.col("total").alias("actual")] if "total" in targets.columns else []
+    return rows.select(KEY, "each.model", "ds", "each.yhat", *actual)

@@ -25,7 +25,7 @@ from tideline.operators.features import complete_rows, ensure_features, fill_fea
 from tideline.operators.scale import min_max_scale, scaler_stats, unscaled
 from tideline.operators.sequences import held_sequence, last_sequence, lookback_sequences
 from tideline.operators.split import with_enough_rows
-from tideline.session import checkpoint_dir
+from tideline.session import checkpoint_dir, materialize
 
 KEY = "state"
 AMOUNT_FEATURES = c.LAG_FEATURES + c.ROLLING_FEATURES
@@ -76,13 +76,19 @@ def tree_inputs(train: DataFrame, scale: DataFrame) -> DataFrame:
 
 
 def fit_trees(inputs: DataFrame, trees: int = c.TREE_COUNT, depth: int = c.TREE_DEPTH,
-              step: float = c.TREE_STEP, row_share: float = c.TREE_ROW_SHARE) -> GBTRegressionModel:
+              step: float = c.TREE_STEP, row_share: float = c.TREE_ROW_SHARE,
+              spread: bool = True) -> GBTRegressionModel:
     """Boosted trees over the rows of all series.
 
     Spark draws the column subset anew for every node. Tree building repeats passes over the
-    rows; their lineage is cut in the checkpoint folder every ten trees.
+    rows, so they are kept once, on at least as many partitions as there are cores; their lineage
+    is cut in the checkpoint folder every ten trees.
     """
     checkpoint_dir(inputs.sparkSession)
+    cores = inputs.sparkSession.sparkContext.defaultParallelism
+    inputs = materialize(inputs)
+    if spread and inputs.rdd.getNumPartitions() < cores:
+        inputs = inputs.repartition(cores)
     regressor = GBTRegressor(
         featuresCol="inputs",
         labelCol="target",
@@ -103,10 +109,15 @@ def predict_trees(model: GBTRegressionModel, scale: DataFrame, features: DataFra
 
     Rows that lack a feature column altogether get all of them computed first.
     """
-    rows = assembled(in_units(fill_features(ensure_features(features)), scale))
+    rows = tree_targets(features, scale)
     return as_predictions(model.transform(rows), name, back_to_amount())
 
 
+def tree_targets(features: DataFrame, scale: DataFrame) -> DataFrame:
+    """Rows to be scored by trees, whole and assembled, with the scale of their series."""
+    return assembled(in_units(fill_features(ensure_features(features)), scale))
+
+
 # -- look-back regression ------------------------------------------------------------------------
 
 

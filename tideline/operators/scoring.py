@@ -20,7 +20,9 @@ METRICS = ("mae", "rmse", "mape")
 
 
 def align(predictions: DataFrame, actuals: DataFrame) -> DataFrame:
-    """Predictions next to the actual amount of the same state and day."""
+    """Predictions next to the actual amount of the same state and day, unless they carry it."""
+    if "actual" in predictions.columns:
+        return predictions
     return predictions.join(
         actuals.select(KEY, "ds", F.col("total").alias("actual")), [KEY, "ds"]
     )
@@ -34,10 +36,12 @@ def metric_columns(actual: Column, yhat: Column) -> list[Column]:
     ]
 
 
-def evaluate(predictions: DataFrame, actuals: DataFrame,
+def evaluate(predictions: DataFrame, actuals: DataFrame | None = None,
              expected: DataFrame | None = None) -> DataFrame:
     """Errors per state and model; infinite where a day has no finite prediction.
 
+    Predictions that carry their ``actual`` need no ``actuals``.
+
     With ``expected(state, model)`` every listed pair gets a row; a pair without predictions
     (a model that could not be fitted) scores infinity.
     """

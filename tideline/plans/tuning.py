@@ -23,7 +23,7 @@ from tideline.operators.split import TEST, TRAIN, split_series, with_enough_rows
 from tideline.session import materialize
 
 KEY = "state"
-PARALLEL_FITS = 4
+PARALLEL_FITS = 8
 TREE_PARAMETERS = ("depth", "step", "trees", "row_share")
 
 
@@ -104,19 +104,18 @@ def score_trees(train: DataFrame, points: Sequence[dict] | None = None) -> DataF
     held = materialize(split_series(usable, column="holdout"))
     history = held.filter(F.col("holdout") == TRAIN)
     scale = materialize(pooled.amount_scale(history))
-    inputs = pooled.tree_inputs(history, scale).cache()
-    targets = held.filter(F.col("holdout") == TEST)
+    inputs = materialize(pooled.tree_inputs(history, scale))
+    # Prepared once for the whole grid, with the amounts: scoring a point needs no join.
+    targets = materialize(pooled.tree_targets(held.filter(F.col("holdout") == TEST), scale))
 
     def score(point: dict) -> DataFrame:
-        model = pooled.fit_trees(inputs, **point)
-        predictions = pooled.predict_trees(model, scale, targets)
-        errors = predictions.join(targets.select(KEY, "ds", "total"), [KEY, "ds"])
+        # The fits overlap, so none of them is spread over all cores.
+        model = pooled.fit_trees(inputs, **point, spread=False)
+        errors = model.transform(targets).withColumn("yhat", pooled.back_to_amount())
         per_state = errors.groupBy(KEY).agg(rmse(F.col("total"), F.col("yhat")).alias("rmse"))
-        return per_state.withColumns({name: F.lit(value) for name, value in point.items()})
+        return materialize(per_state).withColumns({name: F.lit(value) for name, value in point.items()})
 
-    scores = _in_parallel(score, points)
-    inputs.unpersist()
-    return _numbered(scores, points)
+    return _numbered(_in_parallel(score, points), points)
 
 
 def score_lookback(train: DataFrame, points: Sequence[dict] | None = None) -> DataFrame:
