@@ -71,3 +71,11 @@ def test_no_cross_joins(spark, name):
 def test_exchanges_of_combined_plans(spark, name, most):
     plan = plan_of(getattr(spark_queries, name)(spark, TABLES))
     assert len(re.findall(r"Exchange ", plan)) <= most
+
+
+def test_unsummed_rows_are_read_from_their_source_once(spark, tmp_path, seasonal):
+    seasonal().write.parquet(str(tmp_path / "rows"))
+    raw = spark.read.parquet(str(tmp_path / "rows"))
+    filled = d.densify_keeping_rows(raw)
+    assert all(str(tmp_path / "rows") not in name for name in filled.inputFiles())
+    assert filled.count() > raw.count() - 1

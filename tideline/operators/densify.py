@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tideline.functions.scalars import finite
+from tideline.session import materialize
 
 KEY = "state"
 
@@ -88,9 +89,11 @@ def densify_keeping_rows(sales: DataFrame) -> DataFrame:
     """Like ``densify``, but several rows on one day stay separate rows.
 
     The gap filling works on one row per day that carries the day's first and last known amount
-    (in category, amount order), so it is bounded by the calendar like ``densify``. The original
-    rows are then read once more; only incomplete ones are joined to what fills them.
+    (in category, amount order), so it is bounded by the calendar like ``densify``. The input is
+    evaluated once, into a table of the four columns; only incomplete rows are joined to what
+    fills them.
     """
+    sales = materialize(sales.select(KEY, "ds", "total", "category"))
     by_category = sales.groupBy(KEY, "ds", "category").agg(
         F.min("total").alias("least"), F.max("total").alias("most")
     )
