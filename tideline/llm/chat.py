@@ -21,13 +21,14 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
+from itertools import chain
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tideline.llm.text import text_slices
 from tideline.llm.tokens import encode
 from tideline.session import materialize
 
@@ -105,7 +106,8 @@ def windows(sizes: list[int], budget: int, history: int, first_new: int = 0,
 def _token_counter(path: str):
     @F.arrow_udf("bigint")
     def counts(texts: pa.Array) -> pa.Array:
-        return pa.array([len(ids) + FRAME for ids in encode(texts.to_pylist(), path)], pa.int64())
+        values = chain.from_iterable(text_slices(texts))
+        return pa.array([len(ids) + FRAME for ids in encode(values, path)], pa.int64())
 
     return counts
 
@@ -142,37 +144,56 @@ _WINDOWS = (
 )
 
 
-def _format_segment(budget: int, history: int):
-    def build(key, rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("position", kind="stable")
-        system = rows[rows["is_system"]]
-        body = rows[~rows["is_system"] | rows["own"]]
-        keep_system = len(system) > 0
-        system_size = int(system["tokens"].iloc[0]) if keep_system else 0
-        sizes = body["tokens"].astype(int).tolist()
-        turns = list(zip(body["role"], body["text"]))
-        own = body["own"].tolist()
-        positions = body["position"].tolist()
-        first_new = own.index(True) if True in own else len(own)
-        out = []
-        for number, (repeat, new, end) in enumerate(
-            windows(sizes, budget, history, first_new, system_size)
-        ):
-            front = []
-            if keep_system and positions[repeat] > 0:  # else the window begins with it
-                front = [(system["role"].iloc[0], system["text"].iloc[0])]
-            chosen = front + turns[repeat:end]
-            learnt = [False] * (len(front) + new - repeat) + [r == "assistant" for r, _ in turns[new:end]]
-            text, spans = format_turns(chosen, learnt)
-            out.append((
-                key[0], key[1], number, positions[new], len(front), new - repeat, end - new, text,
-                [s for s, _ in spans], [e for _, e in spans],
-            ))
-        names = ["conv", "segment", "window", "first_turn", "n_system", "n_repeated", "n_turns", "text",
-                 "loss_starts", "loss_ends"]
-        return pd.DataFrame(out, columns=names)
-
-    return build
+_WINDOW_TYPES = (
+    ("conv", pa.int64()), ("segment", pa.int64()), ("window", pa.int32()), ("first_turn", pa.int64()),
+    ("n_system", pa.int32()), ("n_repeated", pa.int32()), ("n_turns", pa.int32()), ("text", pa.string()),
+    ("loss_starts", pa.list_(pa.int64())), ("loss_ends", pa.list_(pa.int64())),
+)
+
+
+def segment_windows(rows: list[dict], budget: int, history: int) -> Iterator[tuple]:
+    """Windows of one segment from its turns in order; columns after ``segment``."""
+    system = next((r for r in rows if r["is_system"]), None)
+    body = [r for r in rows if r["own"] or not r["is_system"]]
+    first_new = next((i for i, r in enumerate(body) if r["own"]), len(body))
+    sizes = [r["tokens"] for r in body]
+    taken = system["tokens"] if system else 0
+    for number, (repeat, new, end) in enumerate(windows(sizes, budget, history, first_new, taken)):
+        # The system turn stands in front unless the window begins with it anyway.
+        front = [system] if system and body[repeat]["position"] > 0 else []
+        turns = [(r["role"], r["text"]) for r in front + body[repeat:end]]
+        learnt = [False] * (len(front) + new - repeat) + [r["role"] == "assistant" for r in body[new:end]]
+        text, spans = format_turns(turns, learnt)
+        yield (
+            number, body[new]["position"], len(front), new - repeat, end - new, text,
+            [s for s, _ in spans], [e for _, e in spans],
+        )
+
+
+def _format_segments(budget: int, history: int):
+    """Function over rows sorted by conversation, segment and position; one segment is open at a time."""
+
+    def formatted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, rows, done = None, [], []
+
+        def batch():
+            columns = [pa.array([r[i] for r in done], t) for i, (_, t) in enumerate(_WINDOW_TYPES)]
+            done.clear()
+            return pa.RecordBatch.from_arrays(columns, [name for name, _ in _WINDOW_TYPES])
+
+        for part in batches:
+            for row in part.to_pylist():
+                if (row["conv"], row["segment"]) != key:
+                    done += [(*key, *w) for w in segment_windows(rows, budget, history)] if rows else []
+                    key, rows = (row["conv"], row["segment"]), []
+                rows.append(row)
+            if done:
+                yield batch()
+        if rows:
+            done += [(*key, *w) for w in segment_windows(rows, budget, history)]
+            yield batch()
+
+    return formatted
 
 
 def format_windows(conversations: DataFrame, path: str, budget: int = BUDGET, history: int = HISTORY,
@@ -208,7 +229,9 @@ def format_windows(conversations: DataFrame, path: str, budget: int = BUDGET, hi
         {"own": F.lit(False), "is_system": F.lit(True)}
     )
     every = rows.select(*copies.columns).unionByName(copies)
-    return every.groupBy("conv", "segment").applyInPandas(_format_segment(budget, history), _WINDOWS)
+    order = ["conv", "segment", "position"]
+    ordered = every.repartition("conv", "segment").sortWithinPartitions(*order)
+    return ordered.mapInArrow(_format_segments(budget, history), _WINDOWS)
 
 
 def _digest_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

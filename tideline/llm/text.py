@@ -7,11 +7,16 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, SparkSession
 
 # Bytes of text hashed at once; the working memory is about 60 times that. One longer text
 # is a chunk of its own.
-CHUNK_BYTES = 1 << 21
+CHUNK_BYTES = 1 << 19
+
+# Rows and bytes of one batch that Spark hands to Python. A document may be a thousand times as long
+# as the rows that Spark's default of 10,000 is made for.
+BATCH_ROWS, BATCH_BYTES = 1024, 8 << 20
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -52,6 +57,23 @@ class _Powers:
         return cls.up[:n], cls.down[:n]
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Settings of a session that sends whole texts to Python: batches of bounded memory."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", f"{BATCH_BYTES}b")
+
+
+def text_slices(column: pa.Array, size: int = 1 << 20) -> Iterator[list[str | None]]:
+    """Consecutive texts of an Arrow array as Python strings, about ``size`` bytes at a time."""
+    ends = np.cumsum(pc.binary_length(column).fill_null(0).to_numpy(zero_copy_only=False) + 1)
+    at, n = 0, len(column)
+    while at < n:
+        to = int(np.searchsorted(ends, (ends[at - 1] if at else 0) + size, side="right"))
+        to = min(max(to, at + 1), n)
+        yield column.slice(at, to - at).to_pylist()
+        at = to
+
+
 @dataclass
 class Words:
     """Words of ``n_rows`` consecutive texts; offsets are bytes into ``data`` (lower-cased)."""
