@@ -127,7 +127,7 @@ def propagate(cells: DataFrame, quota: list[int], n_buckets: int, rounds: int =
     """
     shards = len(quota)
     quota_of = F.element_at(_numbers(quota), F.col("shard") + 1)
-    for _ in range(rounds):
+    for number in range(rounds):
         load = {r.shard: r.n for r in cells.groupBy("shard").agg(F.sum("n").alias("n")).collect()}
         room = [quota[s] - load.get(s, 0) for s in range(shards)]
         room_of = F.element_at(_numbers([max(r, 0) for r in room]), F.col("shard") + 1)
@@ -136,7 +136,9 @@ def propagate(cells: DataFrame, quota: list[int], n_buckets: int, rounds: int =
         whole = open_.groupBy("g").agg(F.sum("n").alias("whole"))
         # How much of its group a shard can hold; the best one attracts the group.
         together = F.least(F.col("whole"), F.col("n") + room_of)
-        rank = F.struct(together.alias("together"), "n", F.xxhash64("g", "shard").alias("tie"), "shard")
+        # Ties fall another way each round, so members that found no room may wait or be joined.
+        tie = F.xxhash64("g", "shard", F.lit(number)).alias("tie")
+        rank = F.struct(together.alias("together"), "n", tie, "shard")
         target = open_.join(whole, "g").groupBy("g").agg(F.max(rank).alias("best")).select(
             "g", F.col("best.shard").alias("target")
         )
