@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tideline.llm.text import free_name, mix
+from tideline.llm.text import free_name, mix, text_slices
 from tideline.session import materialize
 
 UNKNOWN = "und"
@@ -37,9 +37,9 @@ TOLERANCE = 8.0
 # Nats per character that never count as excess.
 SLACK = 0.35
 # Characters normalised and scored at once.
-CHUNK_CHARS = 1 << 20
+CHUNK_CHARS = 1 << 18
 # Distinct grams that a task holds before it hands them on.
-HELD_GRAMS = 1 << 20
+HELD_GRAMS = 1 << 19
 
 _BITS, _MASK = 16, 0xFFFF
 _BLANK = 32
@@ -153,11 +153,13 @@ def _count_batches(batches):
         held.clear()
 
     for batch in batches:
-        texts: dict[str, list] = {}
-        for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            texts.setdefault(lang, []).append(text)
-        for lang, own in texts.items():
-            held.setdefault(lang, _Counter()).add(own)
+        langs = iter(batch.column(0).to_pylist())
+        for part in text_slices(batch.column(1)):
+            texts: dict[str, list] = {}
+            for text in part:
+                texts.setdefault(next(langs), []).append(text)
+            for lang, own in texts.items():
+                held.setdefault(lang, _Counter()).add(own)
         if sum(map(len, held.values())) > HELD_GRAMS:
             yield from rows()
     yield from rows()
@@ -204,7 +206,8 @@ def kneser_ney(counted: DataFrame, min_share: float = MIN_SHARE) -> tuple[DataFr
     rows = grams_.withColumn("context", F.shiftrightunsigned("gram", _BITS))
     totals = rows.groupBy("lang", "k", "context").agg(F.sum("n").alias("seen"))
     stored = (
-        rows.join(sizes, ["lang", "k"]).filter(F.col("n") >= F.col("total") * min_share)
+        # One row per language and order: bounded, and by nature few keys, so no shuffle by them.
+        rows.join(F.broadcast(sizes), ["lang", "k"]).filter(F.col("n") >= F.col("total") * min_share)
         .join(totals, ["lang", "k", "context"])
         .select(
             "lang", "k", "gram", "context",
@@ -281,10 +284,10 @@ class Model:
             out[missing] = np.log(self.probabilities(keys[missing]))
         return out
 
-    def score(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def score(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Log likelihood per text and language, characters scored, and letters."""
         sums, sizes, n_letters = [], [], []
-        for _, chunk in _chunks(texts, CHUNK_CHARS * 4 // max(4, len(self.languages))):
+        for chunk in text_slices(texts, CHUNK_CHARS * 4 // max(4, len(self.languages))):
             part = letters(chunk)
             logs = self.log_probabilities(grams(part.chars))
             total = np.zeros((len(logs) + 1, len(self.languages)))
@@ -341,7 +344,9 @@ def build_model(stored: DataFrame, sizes: DataFrame) -> Model:
 def _likelihoods(model):
     @F.arrow_udf("struct<n:bigint,ll:array<double>>")
     def likelihoods(texts: pa.Array) -> pa.Array:
-        sums, sizes, n_letters = model.value.score(texts.to_pylist())
+        if not len(texts):
+            return pa.array([], pa.struct([("n", pa.int64()), ("ll", pa.list_(pa.float64()))]))
+        sums, sizes, n_letters = model.value.score(texts)
         n = np.where(n_letters > 0, sizes, 0)
         lists = pa.array([row.tolist() for row in sums], pa.list_(pa.float64()))
         return pa.StructArray.from_arrays([pa.array(n), lists], ("n", "ll"))
@@ -397,7 +402,7 @@ def predict(spark, model: Model):
         if not model.languages or not n:
             columns = [[UNKNOWN] * n, [0.0] * n, [None] * n, [True] * n]
         else:
-            sums, sizes, n_letters = model.score(texts.to_pylist())
+            sums, sizes, n_letters = model.score(texts)
             entropy = -sums / np.maximum(sizes, 1)[:, None]
             best = entropy.argmin(axis=1)
             lowest = entropy[np.arange(n), best]

@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import zlib
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -28,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tideline.llm.text import text_slices
 from tideline.llm.tokens import encode
 from tideline.session import materialize
 
@@ -55,7 +57,8 @@ def _cutter(path: str, capacity: int, keep_ids: bool, key_type: pa.DataType):
         seen = [0] * (capacity + 1)
         for batch in batches:
             keys, rows = batch.column(0).to_pylist(), []
-            for key, ids in zip(keys, encode(batch.column(1).to_pylist(), path), strict=True):
+            texts = chain.from_iterable(text_slices(batch.column(1)))
+            for key, ids in zip(keys, encode(texts, path), strict=True):
                 ids = np.append(ids, END_ID).astype("<u4")
                 start = 0
                 for piece, length in enumerate(cut_lengths(len(ids), capacity)):

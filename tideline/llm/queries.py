@@ -9,9 +9,11 @@ from tideline.llm import (
     chat, decontaminate, language_id, licenses, near_duplicates, neighbours, packing, pii,
     secret_scan, sharding,
 )
+from tideline.llm.text import bound_batches
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    bound_batches(spark)
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tideline.llm.spans import Span, joined, masked, sha256_hex
-from tideline.llm.text import free_name
+from tideline.llm.text import free_name, text_slices
 
 # The base kinds, in their order.
 ASSIGN = re.compile(
@@ -190,12 +190,12 @@ def _scan(texts: pa.Array) -> pa.Array:
 
 
 def _redact(texts: pa.Array) -> pa.Array:
-    out = []
-    for value in texts:
-        text = value.as_py()
+    def clean(text: str | None) -> str | None:
         spans = find_secrets(text)
-        out.append(masked(text, spans, MARK) if spans else text)
-    return pa.array(out, pa.string())
+        return masked(text, spans, MARK) if spans else text
+
+    parts = [pa.array([clean(t) for t in part], pa.string()) for part in text_slices(texts)]
+    return pa.concat_arrays(parts) if parts else pa.array([], pa.string())
 
 
 def scan(text: Column) -> Column:

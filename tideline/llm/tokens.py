@@ -8,7 +8,7 @@ the scripts whose classes are tabulated here go through the library as a whole.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -16,10 +16,10 @@ import regex
 
 from tideline.llm.text import mix
 
-CHUNK_CHARS = 1 << 20
+CHUNK_CHARS = 1 << 18
 # Pre-tokens a worker remembers; beyond that it starts anew.
-REMEMBERED = 1 << 20
-RECENT = 1 << 16
+REMEMBERED = 1 << 19
+RECENT = 1 << 15
 
 _BLANK, _SPACE, _LETTER, _NUMBER, _SIGN, _END, _OTHER = range(7)
 _END_CODE = 0xFFFF
@@ -216,7 +216,7 @@ def _encode_whole(text: str, path: str) -> np.ndarray:
     return np.array(load(path).encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
 
 
-def encode(texts: list[str | None], path: str) -> Iterator[np.ndarray]:
+def encode(texts: Iterable[str | None], path: str) -> Iterator[np.ndarray]:
     """Ids of every text, in order; null is empty."""
     held: list[str] = []
     size = 0
