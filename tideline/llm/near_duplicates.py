@@ -263,8 +263,8 @@ def _grouped(batches, keys: int, size: int):
     key, rows, sets, seen = None, [], [], set()
     for batch in batches:
         columns = [c.to_pylist() for c in batch.columns[:-1]]
-        found = [s for w in word_chunks(batch.column(batch.num_columns - 1), NON_BLANK_BYTES)
-                 for s in shingle_sets(w, size)]
+        chunks = word_chunks(batch.column(batch.num_columns - 1), NON_BLANK_BYTES)
+        found = (s for words in chunks for s in shingle_sets(words, size))
         for *row, own in zip(*columns, found):
             if tuple(row[:keys]) != key:
                 if rows:
@@ -469,7 +469,8 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int
     same = F.col(key).eqNullSafe(F.col(own))
     gone = ids.filter(~F.col("kept")).select(own)
     repeated = ids.filter(F.col("kept") & (F.col("n") > 1)).select(own)
-    out = docs.join(gone, same, "left_anti")
+    # The dropped ids grow with the table: the same merge at every size, no broadcast.
+    out = docs.join(gone.hint("merge"), same, "left_anti")
     if repeated.isEmpty():
         return out
     # One id on several rows: of rows with equal texts one stays.
