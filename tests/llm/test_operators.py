@@ -343,6 +343,31 @@ def test_language_model_is_a_distribution(spark):
     assert model.probabilities(keys[:1], 1).shape == (1, 1)
 
 
+def test_rare_grams_are_stored_at_any_size(spark):
+    common, rare = (int(language_id.grams(np.array([ord(c) for c in g], np.uint16))[0]) for g in ("then", "oryx"))
+    counted = spark.createDataFrame([("en", common, 10**9), ("en", rare, 1)], "lang string, gram bigint, n bigint")
+    stored, _ = language_id.kneser_ney(counted)
+    assert {r.gram for r in stored.filter("k = 4").collect()} == {common, rare}
+
+
+def test_model_in_blocks_equals_whole_model(spark):
+    rows = [(i, prose(i, 40), "en") for i in range(60)]
+    rows += [(100 + i, prose(i, 40)[::-1] + " 漢字𠀀", "ne") for i in range(60)]
+    docs = spark.createDataFrame([*rows, (300, None, "en"), (301, "", "ne"), (301, "42", None)], SCHEMA)
+    whole = language_id.train(docs, docs)
+    blocks = language_id.train(docs, docs, block_cells=1_000)
+    assert isinstance(whole, language_id.Model) and blocks.n_blocks > 3
+    assert np.allclose(whole.usual, blocks.usual) and np.allclose(whole.deviation, blocks.deviation, atol=1e-5)
+    one, many = (
+        sorted(language_id.identify(docs, into="l", model=m).select("doc_id", "text", "l.*").collect(), key=str)
+        for m in (whole, blocks)
+    )
+    assert len(one) == len(many) == docs.count()
+    for a, b in zip(one, many):
+        assert (a.doc_id, a.text, a.lang_pred, a.rejected) == (b.doc_id, b.text, b.lang_pred, b.rejected)
+        assert a.score == pytest.approx(b.score, abs=1e-5) and a.entropy == pytest.approx(b.entropy, abs=1e-5)
+
+
 def test_foreign_text_is_rejected(spark):
     r = random.Random(2)
     docs = [(i, prose(i, 80), "en") for i in range(400)]

@@ -1,10 +1,11 @@
 """Language of whole texts: interpolated Kneser-Ney character models in sorted hash arrays.
 
 Training counts the character 4-grams of every learning text with one shuffle of distinct grams per
-task; continuation counts of the lower orders follow from the distinct grams by grouping. Grams
-rarer than one in ``1 / min_share`` of their order are not stored (their probability backs off),
-which bounds a model to ``1 / min_share`` grams per order and language whatever the corpus size;
-counts, discounts and totals are taken over all grams before that.
+task; continuation counts of the lower orders follow from the distinct grams by grouping. Every
+gram is stored, so the model grows with the corpus. One of more than ``BLOCK_CELLS`` numbers is cut
+into blocks by the two middle characters of a gram, which its contexts and shorter grams share; the
+short grams of one and two characters are in every block. Texts are scored one block at a time,
+each block adding the grams it owns, so driver and tasks hold one block whatever the corpus size.
 
 A gram of up to four characters is a 64-bit number (16 bits each; rarer planes share codes), made a
 hash by an invertible mix. The hashes of all languages are kept in one sorted array per order with
@@ -32,7 +33,8 @@ from tideline.session import materialize
 
 UNKNOWN = "und"
 ORDER = 4
-MIN_SHARE = 1 / 200_000
+# Numbers (grams of three and four characters times languages) in one block of the model.
+BLOCK_CELLS = 8_000_000
 TOLERANCE = 8.0
 # Nats per character that never count as excess.
 SLACK = 0.35
@@ -185,9 +187,11 @@ def _orders(counted: DataFrame) -> DataFrame:
     return out
 
 
-def kneser_ney(counted: DataFrame, min_share: float = MIN_SHARE) -> tuple[DataFrame, DataFrame]:
+def kneser_ney(counted: DataFrame, min_share: float = 0.0) -> tuple[DataFrame, DataFrame]:
     """Discounted probabilities of the stored grams, and size and alphabet per language and order.
 
+    All grams are stored unless ``min_share`` asks for those of at least that share of their order.
+
     Columns ``lang k gram context p``; the share of a context that its stored grams leave over goes
     to the lower order, so every conditional distribution sums to one.
     """
@@ -217,6 +221,19 @@ def kneser_ney(counted: DataFrame, min_share: float = MIN_SHARE) -> tuple[DataFr
     return stored, sizes
 
 
+# A block is a hash of the middle characters; both factors keep the product below 2**63.
+_FACTOR, _PRIME = 1_000_003, (1 << 31) - 1
+_MIDDLE = (1 << 2 * _BITS) - 1
+# Orders up to this one are in every block.
+_SHARED_ORDERS = 2
+
+
+def _in_block(block: int, n_blocks: int) -> Column:
+    """Whether a stored gram belongs to a block."""
+    middle = F.col("context").bitwiseAND(F.lit(_MIDDLE))
+    return (F.col("k") <= _SHARED_ORDERS) | (middle * _FACTOR % _PRIME % n_blocks == block)
+
+
 class HashTable:
     """Sorted hashes with an index of bucket starts; ``find`` gives positions, -1 if absent."""
 
@@ -260,6 +277,14 @@ class Model:
     usual: np.ndarray | None = None  # cross-entropy per language
     deviation: np.ndarray | None = None  # times the square root of the length
     tolerance: float = TOLERANCE
+    block: int = 0
+    n_blocks: int = 1
+
+    def own(self, keys: np.ndarray) -> np.ndarray:
+        """Positions of the grams that this block of the model scores."""
+        middle = (keys >> np.uint64(_BITS)) & np.uint64(_MIDDLE)
+        hashed = middle * np.uint64(_FACTOR) % np.uint64(_PRIME) % np.uint64(self.n_blocks)
+        return np.flatnonzero(hashed == self.block)
 
     def probabilities(self, keys: np.ndarray, highest: int = ORDER) -> np.ndarray:
         """Interpolated probability of each gram's last character, one column per language."""
@@ -289,7 +314,13 @@ class Model:
         sums, sizes, n_letters = [], [], []
         for chunk in text_slices(texts, CHUNK_CHARS * 4 // max(4, len(self.languages))):
             part = letters(chunk)
-            logs = self.log_probabilities(grams(part.chars))
+            keys = grams(part.chars)
+            if self.n_blocks == 1:
+                logs = self.log_probabilities(keys)
+            else:
+                own = self.own(keys)
+                logs = np.zeros((len(keys), len(self.languages)), dtype=np.float32)
+                logs[own] = self.log_probabilities(keys[own])
             total = np.zeros((len(logs) + 1, len(self.languages)))
             np.cumsum(logs, axis=0, out=total[1:])
             is_letter = np.concatenate([[0], np.cumsum(part.chars[ORDER - 1 :] != _BLANK)])
@@ -308,12 +339,35 @@ def _table(keys, langs, values, n_langs) -> tuple[HashTable, np.ndarray]:
     return table, matrix
 
 
-def build_model(stored: DataFrame, sizes: DataFrame) -> Model:
-    """Gather the stored grams (bounded by ``min_share``) and lay them out for lookup."""
-    rows = stored.toArrow()
+@dataclass
+class Blocks:
+    """A model whose tables are gathered one block at a time; calibration as in ``Model``."""
+
+    languages: list[str]
+    stored: DataFrame
+    sizes: DataFrame
+    n_blocks: int
+    usual: np.ndarray | None = None
+    deviation: np.ndarray | None = None
+    tolerance: float = TOLERANCE
+
+
+def model_of(stored: DataFrame, sizes: DataFrame, block_cells: int = BLOCK_CELLS) -> Model | Blocks:
+    """The model of all stored grams, in as many blocks as its size asks for."""
+    stored, sizes = materialize(stored), materialize(sizes)
+    languages = sorted(r.lang for r in sizes.select("lang").distinct().collect())
+    cells = stored.filter(F.col("k") > _SHARED_ORDERS).count() * len(languages)
+    n_blocks = -(-cells // block_cells)
+    return build_model(stored, sizes) if n_blocks <= 1 else Blocks(languages, stored, sizes, n_blocks)
+
+
+def build_model(stored: DataFrame, sizes: DataFrame, block: int = 0, n_blocks: int = 1) -> Model:
+    """Gather the stored grams, or one block of them, and lay them out for lookup."""
+    rows = (stored if n_blocks == 1 else stored.filter(_in_block(block, n_blocks))).toArrow()
     alphabet = {r.lang: r.distinct for r in sizes.filter("k = 1").collect()}
     languages = sorted(alphabet)
-    model = Model(languages, np.array([1.0 / (alphabet[x] + 1) for x in languages]))
+    floor = np.array([1.0 / (alphabet[x] + 1) for x in languages])
+    model = Model(languages, floor, block=block, n_blocks=n_blocks)
     if not languages:
         return model
     number = {x: i for i, x in enumerate(languages)}
@@ -354,13 +408,41 @@ def _likelihoods(model):
     return likelihoods
 
 
-def calibrate(model: Model, texts: DataFrame, lang: str = "lang", text: str = "text") -> Model:
+def score_texts(rows: DataFrame, model: Model | Blocks, text: str, into: str) -> DataFrame:
+    """``rows`` with a struct column ``into``: characters scored, log likelihood per language."""
+    context = rows.sparkSession.sparkContext
+    if isinstance(model, Model):
+        return rows.withColumn(into, _likelihoods(context.broadcast(model))(F.col(text)))
+    row = free_name(rows, "row")
+    rows = materialize(rows.withColumn(row, F.monotonically_increasing_id()))
+    parts = None
+    for block in range(model.n_blocks):
+        shared = context.broadcast(build_model(model.stored, model.sizes, block, model.n_blocks))
+        part = materialize(
+            rows.select(F.col(row).alias("row"), F.lit(block).alias("block"), _likelihoods(shared)(F.col(text)).alias("s"))
+        )
+        shared.destroy()
+        parts = part if parts is None else parts.unionByName(part)
+    # In the order of the blocks, so that sums do not depend on the order of rows.
+    added = F.aggregate(
+        F.array_sort(F.collect_list(F.struct("block", "s.ll"))),
+        F.array_repeat(F.lit(0.0), len(model.languages)),
+        lambda a, b: F.zip_with(a, b["ll"], lambda x, y: x + y),
+    )
+    sums = parts.groupBy(F.col("row").alias(row)).agg(
+        F.struct(F.max("s.n").alias("n"), added.alias("ll")).alias(into)
+    )
+    return rows.join(sums, row).drop(row)
+
+
+def calibrate(model: Model | Blocks, texts: DataFrame, lang: str = "lang", text: str = "text") -> Model | Blocks:
     """Set each language's usual cross-entropy and its deviation from texts not trained on."""
-    shared = texts.sparkSession.sparkContext.broadcast(model)
     number = F.create_map(*[F.lit(v) for i, x in enumerate(model.languages) for v in (x, i + 1)])
+    known = texts.filter(F.col(lang).isin(model.languages)).select(
+        F.col(lang).alias("lang"), F.col(text).alias("text")
+    )
     own = (
-        texts.filter(F.col(lang).isin(model.languages))
-        .select(F.col(lang).alias("lang"), _likelihoods(shared)(F.col(text)).alias("s"))
+        score_texts(known, model, "text", "s")
         .filter("s.n > 0")
         .select("lang", "s.n", (-F.element_at("s.ll", F.element_at(number, F.col("lang")))).alias("h"))
     )
@@ -379,10 +461,10 @@ def calibrate(model: Model, texts: DataFrame, lang: str = "lang", text: str = "t
 
 
 def train(texts: DataFrame, calibration: DataFrame, lang: str = "lang", text: str = "text",
-          min_share: float = MIN_SHARE) -> Model:
+          block_cells: int = BLOCK_CELLS) -> Model | Blocks:
     """Model of the non-null languages of ``texts``, calibrated on ``calibration``."""
     known = texts.filter(F.col(lang).isNotNull() & F.col(text).isNotNull())
-    model = build_model(*kneser_ney(count_grams(known, lang, text), min_share))
+    model = model_of(*kneser_ney(count_grams(known, lang, text)), block_cells)
     if model.languages:
         calibrate(model, calibration.filter(F.col(lang).isNotNull()), lang, text)
     return model
@@ -392,6 +474,26 @@ _RESULT = "struct<lang_pred:string,score:double,entropy:double,rejected:boolean>
 _NAMES = ("lang_pred", "score", "entropy", "rejected")
 
 
+def _judged(model: Model | Blocks, sums: np.ndarray, sizes: np.ndarray, known: np.ndarray) -> pa.Array:
+    """Language, confidence and rejection of texts from their log likelihoods."""
+    n = len(sizes)
+    if not model.languages or not n:
+        columns = [[UNKNOWN] * n, [0.0] * n, [None] * n, [True] * n]
+    else:
+        entropy = -sums / np.maximum(sizes, 1)[:, None]
+        best = entropy.argmin(axis=1)
+        lowest = entropy[np.arange(n), best]
+        # How far the others are behind, in deviations of a text of this length.
+        behind = (entropy - lowest[:, None]) * np.sqrt(np.maximum(sizes, 1))[:, None]
+        score = 1.0 / np.exp(-behind).sum(axis=1)
+        allowed = SLACK + model.tolerance * model.deviation[best] / np.sqrt(np.maximum(sizes, 1))
+        rejected = ~known | (lowest > model.usual[best] + allowed)
+        langs = [model.languages[b] if k else UNKNOWN for b, k in zip(best, known)]
+        columns = [langs, np.where(known, score, 0.0), np.where(known, lowest, 0.0), rejected]
+    types = (pa.string(), pa.float64(), pa.float64(), pa.bool_())
+    return pa.StructArray.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], _NAMES)
+
+
 def predict(spark, model: Model):
     """Function from a text column to the predicted language, confidence and rejection."""
     shared = spark.sparkContext.broadcast(model)
@@ -400,45 +502,50 @@ def predict(spark, model: Model):
     def predicted(texts: pa.Array) -> pa.Array:
         model, n = shared.value, len(texts)
         if not model.languages or not n:
-            columns = [[UNKNOWN] * n, [0.0] * n, [None] * n, [True] * n]
-        else:
-            sums, sizes, n_letters = model.score(texts)
-            entropy = -sums / np.maximum(sizes, 1)[:, None]
-            best = entropy.argmin(axis=1)
-            lowest = entropy[np.arange(n), best]
-            # How far the others are behind, in deviations of a text of this length.
-            behind = (entropy - lowest[:, None]) * np.sqrt(np.maximum(sizes, 1))[:, None]
-            score = 1.0 / np.exp(-behind).sum(axis=1)
-            known = n_letters > 0
-            allowed = SLACK + model.tolerance * model.deviation[best] / np.sqrt(np.maximum(sizes, 1))
-            rejected = ~known | (lowest > model.usual[best] + allowed)
-            langs = [model.languages[b] if k else UNKNOWN for b, k in zip(best, known)]
-            columns = [langs, np.where(known, score, 0.0), np.where(known, lowest, 0.0), rejected]
-        types = (pa.string(), pa.float64(), pa.float64(), pa.bool_())
-        return pa.StructArray.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], _NAMES)
+            return _judged(model, np.zeros((n, 0)), np.zeros(n), np.zeros(n, bool))
+        sums, sizes, n_letters = model.score(texts)
+        return _judged(model, sums, sizes, n_letters > 0)
 
     return predicted
 
 
+def _predict_blocks(docs: DataFrame, model: Blocks, text: str, into: str) -> DataFrame:
+    """``docs`` with the struct of ``predict``, scored one block of the model at a time."""
+    frame = Model(model.languages, np.zeros(0), usual=model.usual, deviation=model.deviation,
+                  tolerance=model.tolerance)
+
+    @F.arrow_udf(_RESULT)
+    def judged(sizes: pa.Array, sums: pa.Array) -> pa.Array:
+        n = sizes.to_numpy(zero_copy_only=False)
+        values = sums.flatten().to_numpy(zero_copy_only=False).reshape(len(n), -1) if len(n) else np.zeros((0, 0))
+        return _judged(frame, values, n, n > 0)
+
+    likely = free_name(docs, "likely")
+    scored = score_texts(docs, model, text, likely)
+    return scored.withColumn(into, judged(F.col(f"{likely}.n"), F.col(f"{likely}.ll"))).drop(likely)
+
+
 def fold(key: str = "doc_id", parts: int = 8) -> Column:
     """A document's part, by the checksum of its id as text."""
     return F.crc32(F.col(key).cast("string").cast("binary")) % parts
 
 
-def learn(docs: DataFrame, key: str = "doc_id", lang: str = "lang", text: str = "text") -> Model:
+def learn(docs: DataFrame, key: str = "doc_id", lang: str = "lang", text: str = "text") -> Model | Blocks:
     """Train on documents outside the held-out quarter; an eighth of all only calibrates."""
     part = fold(key)
     return train(docs.filter(~part.isin(2, 6, 5)), docs.filter(part == 5), lang, text)
 
 
 def identify(docs: DataFrame, text: str = "text", into: str = "language",
-             model: Model | None = None) -> DataFrame:
+             model: Model | Blocks | None = None) -> DataFrame:
     """``docs`` with a struct column ``into``; without a model, one is learnt from ``docs``."""
     model = learn(docs, text=text) if model is None else model
+    if isinstance(model, Blocks):
+        return _predict_blocks(docs, model, text, into)
     return docs.withColumn(into, predict(docs.sparkSession, model)(F.col(text)))
 
 
-def keep_identified(docs: DataFrame, text: str = "text", model: Model | None = None) -> DataFrame:
+def keep_identified(docs: DataFrame, text: str = "text", model: Model | Blocks | None = None) -> DataFrame:
     """``docs`` without the documents whose language is rejected."""
     into = free_name(docs, "language")
     found = identify(docs, text, into, model)
