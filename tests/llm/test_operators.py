@@ -368,6 +368,24 @@ def test_model_in_blocks_equals_whole_model(spark):
         assert a.score == pytest.approx(b.score, abs=1e-5) and a.entropy == pytest.approx(b.entropy, abs=1e-5)
 
 
+def test_rare_language_is_learnt_and_kept(spark):
+    ids = {n: [i for i in range(3000, 4000) if brute.crc(str(i)) % 8 == n] for n in (0, 2, 5)}
+    back = lambda i, n: prose(i, n)[::-1]
+    docs = [(i, prose(i, 60), "en") for i in range(200)]
+    docs += [(i, back(i, 60), "x5") for i in ids[5][:3]]
+    docs += [(i, back(i, 60).translate(str.maketrans("aeiou", "äëïöü")), "x05") for i in (ids[0][0], ids[5][3])]
+    docs += [(i, back(i, 5), None) for i in ids[2][:20]]
+    docs += [(i, back(i, 5).translate(str.maketrans("aeiou", "äëïöü")), None) for i in ids[2][20:40]]
+    table = spark.createDataFrame(docs, SCHEMA)
+    model = language_id.learn(table)
+    assert model.languages == ["en", "x05", "x5"]
+    # One calibration text, or two of equal entropy, do not make the deviation vanish.
+    assert model.deviation[1] >= 0.5 * model.deviation[0] > 0
+    found = {r.doc_id: r for r in language_id.identify(table, into="l", model=model).select("doc_id", "l.*").collect()}
+    for n, i in enumerate(ids[2][:40]):
+        assert found[i].lang_pred == ("x5" if n < 20 else "x05") and not found[i].rejected
+
+
 def test_foreign_text_is_rejected(spark):
     r = random.Random(2)
     docs = [(i, prose(i, 80), "en") for i in range(400)]

@@ -11,8 +11,10 @@ A gram of up to four characters is a 64-bit number (16 bits each; rarer planes s
 hash by an invertible mix. The hashes of all languages are kept in one sorted array per order with
 an index of bucket starts, and one row of log probabilities per hash. A text gets the language with
 the lowest cross-entropy per character. Rejection is calibrated on learning texts the counts have
-not seen: a text is rejected if its cross-entropy exceeds its language's usual one by more than
-``tolerance`` deviations, which shrink with the square root of the length.
+not seen, a third of them at a time; the final counts are of all learning texts. A text is rejected
+if its cross-entropy exceeds its language's usual one by more than ``tolerance`` deviations, which
+shrink with the square root of the length. A language with few calibration texts takes at least
+the deviation of all languages together; one without any rejects nothing.
 
 Defined results: null text or text without letters gives ``und``, score 0 and is rejected; ties
 between languages go to the first name in order; texts are read whole; repeated rows count as they
@@ -38,6 +40,8 @@ BLOCK_CELLS = 8_000_000
 TOLERANCE = 8.0
 # Nats per character that never count as excess.
 SLACK = 0.35
+# Fewer calibration texts than these do not tell a language's deviation by themselves.
+FEW_TEXTS = 30
 # Characters normalised and scored at once.
 CHUNK_CHARS = 1 << 18
 # Distinct grams that a task holds before it hands them on.
@@ -435,8 +439,10 @@ def score_texts(rows: DataFrame, model: Model | Blocks, text: str, into: str) ->
     return rows.join(sums, row).drop(row)
 
 
-def calibrate(model: Model | Blocks, texts: DataFrame, lang: str = "lang", text: str = "text") -> Model | Blocks:
-    """Set each language's usual cross-entropy and its deviation from texts not trained on."""
+def _own_entropies(model: Model | Blocks, texts: DataFrame, lang: str, text: str) -> list:
+    """Per language: characters, sums of its texts' entropies and of their squares, and texts."""
+    if not model.languages:
+        return []
     number = F.create_map(*[F.lit(v) for i, x in enumerate(model.languages) for v in (x, i + 1)])
     known = texts.filter(F.col(lang).isin(model.languages)).select(
         F.col(lang).alias("lang"), F.col(text).alias("text")
@@ -446,17 +452,32 @@ def calibrate(model: Model | Blocks, texts: DataFrame, lang: str = "lang", text:
         .filter("s.n > 0")
         .select("lang", "s.n", (-F.element_at("s.ll", F.element_at(number, F.col("lang")))).alias("h"))
     )
-    sums = own.groupBy("lang").agg(
+    return own.groupBy("lang").agg(
         F.sum("n").alias("n"), F.sum("h").alias("h"), F.sum(F.col("h") * F.col("h") / F.col("n")).alias("hh"),
         F.count("*").alias("texts"),
-    )
-    model.usual = np.full(len(model.languages), np.inf)
-    model.deviation = np.zeros(len(model.languages))
-    for r in sums.collect():
-        i = model.languages.index(r.lang)
-        mean = r.h / r.n
-        model.usual[i] = mean
-        model.deviation[i] = np.sqrt(max(0.0, r.hh - 2 * mean * r.h + mean * mean * r.n) / r.texts)
+    ).collect()
+
+
+def _set_usual(model: Model | Blocks, sums: list) -> None:
+    """Set each language's usual cross-entropy and its deviation from sums of texts not trained on."""
+    total = np.zeros((len(model.languages), 4))
+    for r in sums:
+        total[model.languages.index(r.lang)] += (r.n, r.h, r.hh, r.texts)
+    n, h, hh, texts = total.T
+    seen = texts > 0
+    mean = h / np.maximum(n, 1)
+    squares = np.maximum(0.0, hh - 2 * mean * h + mean * mean * n)
+    # Each mean is taken from the same texts; with one text per language nothing is known.
+    free = texts.sum() - seen.sum()
+    pooled = np.sqrt(squares.sum() / free) if free > 0 else np.inf
+    own = np.sqrt(squares / np.maximum(texts, 1))
+    model.usual = np.where(seen, mean, np.inf)
+    model.deviation = np.where(texts < FEW_TEXTS, np.maximum(own, pooled), own)
+
+
+def calibrate(model: Model | Blocks, texts: DataFrame, lang: str = "lang", text: str = "text") -> Model | Blocks:
+    """Set each language's usual cross-entropy and its deviation from texts not trained on."""
+    _set_usual(model, _own_entropies(model, texts, lang, text))
     return model
 
 
@@ -530,10 +551,30 @@ def fold(key: str = "doc_id", parts: int = 8) -> Column:
     return F.crc32(F.col(key).cast("string").cast("binary")) % parts
 
 
-def learn(docs: DataFrame, key: str = "doc_id", lang: str = "lang", text: str = "text") -> Model | Blocks:
-    """Train on documents outside the held-out quarter; an eighth of all only calibrates."""
-    part = fold(key)
-    return train(docs.filter(~part.isin(2, 6, 5)), docs.filter(part == 5), lang, text)
+# Parts of the learnable documents that are kept from the counts together, to calibrate on.
+TURNS = ((0, 1), (3, 4), (5, 7))
+
+
+def learn(docs: DataFrame, key: str = "doc_id", lang: str = "lang", text: str = "text",
+          block_cells: int = BLOCK_CELLS) -> Model | Blocks:
+    """Train on all documents outside the held-out quarter, calibrated by thirds of them in turn."""
+    turn = F.lit(None)
+    for i, parts in enumerate(TURNS):
+        turn = F.when(fold(key).isin(*parts), F.lit(str(i))).otherwise(turn)
+    rows = docs.select(turn.alias("turn"), F.col(lang).alias("lang"), F.col(text).alias("text")).filter(
+        "turn IS NOT NULL AND lang IS NOT NULL AND text IS NOT NULL"
+    )
+    by_turn = materialize(count_grams(rows.withColumn("lang", F.concat("turn", "lang")))).select(
+        F.substring("lang", 1, 1).alias("turn"), F.expr("substring(lang, 2)").alias("lang"), "gram", "n"
+    )
+    add_up = lambda counted: counted.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    sums = []
+    for i in map(str, range(len(TURNS))):
+        others = model_of(*kneser_ney(add_up(by_turn.filter(F.col("turn") != i))), block_cells)
+        sums += _own_entropies(others, rows.filter(F.col("turn") == i), "lang", "text")
+    model = model_of(*kneser_ney(add_up(by_turn)), block_cells)
+    _set_usual(model, sums)
+    return model
 
 
 def identify(docs: DataFrame, text: str = "text", into: str = "language",
