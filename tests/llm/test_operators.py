@@ -397,6 +397,15 @@ def test_foreign_text_is_rejected(spark):
     assert rejected == {1000, 1001, 1002}
 
 
+def test_adjacent_notices_are_all_found():
+    near, exact = "relesed under the mit licence", "released under the mit license"
+    for parts in ([near, exact], [near, near, exact], [exact, near], [near, exact, near]):
+        found = licenses.find_notices(" ".join(parts))
+        assert [(f.start, f.end, f.errors) for f in found] == [
+            (5 * i, 5 * i + 5, 2 if part == near else 0) for i, part in enumerate(parts)
+        ]
+
+
 def edited(words, at):
     return [f"new{i}" if i in at else w for i, w in enumerate(words)]
 

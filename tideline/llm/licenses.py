@@ -114,6 +114,17 @@ def phrase_places(words: str, phrase: str) -> list[int]:
     return positions
 
 
+def _matches(pattern: regex.Pattern, words: str, start: int, end: int) -> list[regex.Match]:
+    """Best match of a window, then those of what is left on either side of it, until none is found."""
+    found, open_ = [], [(start, end)]
+    while open_:
+        start, end = open_.pop()
+        if m := pattern.search(words, start, end):
+            found.append(m)
+            open_ += [(start, m.start()), (m.end(), end)]
+    return found
+
+
 def find_notices(words: str) -> list[Found]:
     """Notices within their error bound, leftmost first; of overlapping finds the best stays."""
     automaton, notices = _seeds()
@@ -133,7 +144,7 @@ def find_notices(words: str) -> list[Found]:
     for i, spans in windows.items():
         notice = notices[i]
         for start, end in spans:
-            for m in notice.pattern.finditer(words, start, min(end, len(words))):
+            for m in _matches(notice.pattern, words, start, min(end, len(words))):
                 errors = sum(m.fuzzy_counts)
                 first = words.count(" ", 0, m.start() + 1 if words[m.start()] == " " else m.start())
                 text = m[0].strip()
