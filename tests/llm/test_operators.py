@@ -406,6 +406,12 @@ def test_adjacent_notices_are_all_found():
         ]
 
 
+def test_cues_in_any_case():
+    for cue in ("Social Security", "social Security", "SoCiAl SeCuRiTy", "SOCIAL SECURITY"):
+        text = f"İ {cue} number: 123-45-6789"
+        assert [(k, text[s:e]) for k, s, e in pii.find_personal_data(text)] == [("ssn", "123-45-6789")]
+
+
 def edited(words, at):
     return [f"new{i}" if i in at else w for i, w in enumerate(words)]
 

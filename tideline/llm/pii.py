@@ -36,13 +36,15 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
 KINDS = (*BASE_KINDS, "login", "iban", "ssn", "account")
 MARK = "[PRIVATE]"
+# ASCII letters only, so that places stay the same.
+_LOWER = {c: c + 32 for c in range(65, 91)}
 
 _DIGITS = re.compile(r"[0-9]")
 _LOGIN = re.compile(r"[A-Za-z0-9._~%!$&'*+;=-]+(?::[^\s@/]*)?(?=@[A-Za-z0-9\[])")
 _IBAN = re.compile(r"[\x20:#.]*([A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30})(?![A-Za-z0-9])")
 _SSN = re.compile(r"[^0-9\n]{0,24}?([0-9]{3}-[0-9]{2}-[0-9]{4})(?![0-9-])")
 _ACCOUNT = re.compile(r"\x20*(?:number|no\.?|nr\.?|#)?[\x20:#=]*([0-9][0-9\x20-]{4,24}[0-9])(?![0-9])", re.I)
-# Cue words and the parser each leads to; every cue is looked for in three spellings.
+# Cue words and the parser each leads to, found without regard to ASCII case.
 CUES = {"iban": "iban", "ssn": "ssn", "social security": "ssn", "account": "account", "konto": "account"}
 
 
@@ -55,8 +57,7 @@ def _anchors() -> ahocorasick.Automaton:
     automaton.add_word("@", ("at", 1))
     automaton.add_word("://", ("scheme", 3))
     for cue, kind in CUES.items():
-        for form in {cue, cue.capitalize(), cue.upper()}:
-            automaton.add_word(form, (kind, len(form)))
+        automaton.add_word(cue, (kind, len(cue)))
     automaton.make_automaton()
     return automaton
 
@@ -81,7 +82,7 @@ def find_personal_data(text: str | None) -> list[Span]:
     spans: list[Span] = []
     # Where each kind of scan may go on: the end of what it last consumed.
     done = {"email": 0, "ip": 0, "card": 0}
-    for last, (anchor, length) in _anchors().iter(text):
+    for last, (anchor, length) in _anchors().iter(text.lower() if text.isascii() else text.translate(_LOWER)):
         at = last - length + 1
         if anchor == "digit":
             if at >= done["card"]:
