@@ -412,6 +412,18 @@ def test_cues_in_any_case():
         assert [(k, text[s:e]) for k, s, e in pii.find_personal_data(text)] == [("ssn", "123-45-6789")]
 
 
+def test_secret_chains_of_names_and_literals():
+    def literals(text):
+        return [text[s:e] for k, s, e in secret_scan.find_secrets(text) if k == "literal"]
+
+    one, two = "q7Zp0vX2LmN8rT4w", "b3Yk9sQ1HdF5jC6u"
+    assert literals(f'first = "{one}"\nsecond = "{two}"\npassphrase = first + second') == [one, two]
+    assert literals(f'first = "{one}"\nsecond = "{two}"\npassphrase = first+second') == [one, two]
+    assert literals(f'rest = "{one}"\npwd = "abc" + rest') == [one]
+    assert literals(f'rest = "{one}"\nlast = "{two}"\npwd = "abc" .. ${{rest}} . last') == [one, two]
+    assert literals(f'rest = "{one}"\npwd = "a" + "b"\ncolour = rest') == []
+
+
 def edited(words, at):
     return [f"new{i}" if i in at else w for i, w in enumerate(words)]
 

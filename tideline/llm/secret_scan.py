@@ -1,8 +1,8 @@
 """Secrets in whole texts: an assignment-aware lexer over source, configuration and prose.
 
 Every ``=`` or ``:`` is read as a possible assignment. The lexer takes the name on its left
-(bare, quoted, dotted, camel-cased) and the expression on its right: quoted literals, ``+`` chains
-of them, bare words, or references to other names. Literals are propagated through such
+(bare, quoted, dotted, camel-cased) and the expression on its right: quoted literals, references to
+other names, ``+`` chains of both, or bare words. Literals are propagated through such
 references (``key = "..."``, later ``password = key`` or ``${key}``), and a literal is reported
 when one of the names it reaches is a sensitive one and the literal looks like a credential: the
 score adds the weight of the name to the literal's entropy per character.
@@ -58,7 +58,9 @@ _ASSIGNMENT = re.compile(
 )
 _LITERAL = re.compile(r""""((?:[^"\\\n]|\\.)*)"|'((?:[^'\\\n]|\\.)*)'|`([^`\n]*)`""")
 _JOIN = re.compile(r"[\x20\t]*(?:\+|\.\.?)?[\x20\t]*(?=[\"'`])")
-_REFERENCE = re.compile(r"\$\{(?:env[.:])?(\w+)\}|\$(\w+)|([A-Za-z_][A-Za-z0-9_.]*)(?![A-Za-z0-9_+/=.\-])")
+# An operand of a concatenation that is a name, and the operator between two operands.
+_NAME = re.compile(r"\$\{(?:env[.:])?(\w+)\}|\$(\w+)|([A-Za-z_][A-Za-z0-9_.]*)(?![A-Za-z0-9_/=.\-])")
+_PLUS = re.compile(r"(?:[\x20\t]*(?:\+|\.\.)[\x20\t]*|[\x20\t]+\.[\x20\t]+)(?=[\"'`$A-Za-z_])")
 _BARE = re.compile(r"[A-Za-z0-9+/_.=~!@#%^&*\-]+")
 _SPLIT = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|[0-9]+")
 _SENSITIVE = re.compile(
@@ -80,16 +82,22 @@ def entropy(literal: str) -> float:
     return -sum(c / n * math.log2(c / n) for c in Counter(literal).values()) if n else 0.0
 
 
-def _literals(text: str, at: int) -> list[tuple[int, int]]:
-    """Spans of the quoted literals of a concatenation that begins at ``at``."""
-    found = []
-    while m := _LITERAL.match(text, at):
-        group = next(g for g in (1, 2, 3) if m.group(g) is not None)
-        found.append(m.span(group))
-        if not (more := _JOIN.match(text, m.end())) or more.end() == m.end():
+def _operands(text: str, at: int) -> tuple[list[tuple[int, int]], list[str]]:
+    """Spans of the quoted literals, and the names, of a concatenation that begins at ``at``."""
+    spans, names = [], []
+    while True:
+        if m := _LITERAL.match(text, at):
+            spans.append(next(m.span(g) for g in (1, 2, 3) if m.group(g) is not None))
+            more = _JOIN.match(text, m.end()) or _PLUS.match(text, m.end())
+        elif m := _NAME.match(text, at):
+            names.append(m[1] or m[2] or m[3])
+            more = _PLUS.match(text, m.end())
+        else:
+            break
+        if not more or more.end() == m.end():
             break
         at = more.end()
-    return found
+    return spans, names
 
 
 def lex_assignments(text: str) -> tuple[list[tuple[str, list[tuple[int, int]]]], list[tuple[str, str]]]:
@@ -97,12 +105,10 @@ def lex_assignments(text: str) -> tuple[list[tuple[str, list[tuple[int, int]]]],
     pairs, references = [], []
     for m in _ASSIGNMENT.finditer(text):
         name, at = m["name"], m.end()
-        if spans := _literals(text, at):
+        spans, names = _operands(text, at)
+        references += [(name, used) for used in names]
+        if spans:
             pairs.append((name, spans))
-        elif ref := _REFERENCE.match(text, at):
-            references.append((name, ref[1] or ref[2] or ref[3]))
-            if (bare := _BARE.match(text, at)) and not ref[1] and not ref[2]:
-                pairs.append((name, [bare.span()]))
         elif bare := _BARE.match(text, at):
             pairs.append((name, [bare.span()]))
     return pairs, references
