@@ -424,6 +424,24 @@ def test_secret_chains_of_names_and_literals():
     assert literals(f'rest = "{one}"\npwd = "a" + "b"\ncolour = rest') == []
 
 
+def test_repeated_and_empty_items_swell_no_block(spark, monkeypatch):
+    items = [(i, prose(1000 + i, 30)) for i in range(20)]
+    more = [items[0]] * 500 + [(100 + i, None) for i in range(100)] + [(300 + i, "--- !") for i in range(100)]
+    schema = "item_id bigint, text string"
+    docs = spark.createDataFrame([(i, f"so {t} {prose(i, 9)}") for i, t in items], "doc_id bigint, text string")
+    expected = results(decontaminate.find_passages(docs, spark.createDataFrame(items, schema)).select("doc_id", "hits"))
+    dealt, hits = [], decontaminate._hits_udf
+
+    def counted(spark, block, window):
+        dealt.append(len(block))
+        return hits(spark, block, window)
+
+    monkeypatch.setattr(decontaminate, "_hits_udf", counted)
+    found = decontaminate.find_passages(docs, spark.createDataFrame(items + more, schema), block_bytes=4_000)
+    assert results(found.select("doc_id", "hits")) == expected
+    assert sum(dealt) == len(items)
+
+
 def edited(words, at):
     return [f"new{i}" if i in at else w for i, w in enumerate(words)]
 

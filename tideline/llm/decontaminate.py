@@ -28,6 +28,8 @@ from tideline.session import materialize
 
 WINDOW = 13
 MAX_COVERAGE = 0.05
+# A character of a word, as in ``ALNUM_BYTES``, in either case.
+_WORD = r"[0-9A-Za-z]|[^\x00-\x7F]"
 # UTF-8 bytes of items in one automaton; about 40 times as much memory in each task.
 BLOCK_BYTES = 4_000_000
 
@@ -213,6 +215,8 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, text: str = "text", ite
     """``docs`` with a struct column ``into``: words, hit ranges of words, and item ids."""
     spark = docs.sparkSession
     items = benchmark.select(F.col(item).cast("string").alias("id"), F.col(item_text).alias("body"))
+    # Neither repeats nor items without words change a result; they would only swell a block.
+    items = materialize(items.filter(F.col("body").rlike(_WORD)).distinct())
     size = items.agg(F.sum(F.octet_length("body"))).first()[0] or 0
     n_blocks = max(1, -(-2 * size // block_bytes)) if size > block_bytes else 1
     block = F.pmod(F.xxhash64("id", "body"), F.lit(n_blocks))
