@@ -4,7 +4,8 @@ Fitting uses a bounded sample: its exact neighbour graph is cut into balanced pa
 propagation under a size limit, and a small softmax classifier learns from a vector the share of its
 neighbours in each part. Every row of the table is then routed to its most probable part, every
 query to the several most probable ones; how many is chosen on the sample, against its exact
-neighbours. Candidates of the probed parts are reranked by exact distance.
+neighbours. A query whose parts hold too few rows goes on to its next most probable ones. Candidates
+of the probed parts are reranked by exact distance.
 
 Reranking works on blocks: a part's rows and the queries that probe it are dealt into blocks of
 bounded size, and every pair of blocks of a part is one task that keeps the best of each query.
@@ -178,20 +179,41 @@ def _matrix(vectors: pa.Array) -> np.ndarray:
     return values.reshape(len(vectors), -1) if len(vectors) else np.zeros((0, 1))
 
 
-def route(router, n: int | None):
-    """Function from a vector column to its ``n`` most probable parts (by default the probes)."""
+def route(router, n: int):
+    """Function from a vector column to its ``n`` most probable parts."""
 
     @F.arrow_udf("array<int>")
     def routed(vectors: pa.Array) -> pa.Array:
         model = router.value
         if not len(vectors):
             return pa.array([], pa.list_(pa.int32()))
-        found = model.parts(_matrix(vectors), n or model.probes)
+        found = model.parts(_matrix(vectors), n)
         return pa.array(found.tolist(), pa.list_(pa.int32()))
 
     return routed
 
 
+def probe(router, held: dict[int, int]):
+    """Function from a query vector and the rows it needs to the parts it probes.
+
+    These are the probes and, until they hold that many rows together, the next most probable parts.
+    """
+
+    @F.arrow_udf("array<int>")
+    def probed(vectors: pa.Array, needed: pa.Array) -> pa.Array:
+        model = router.value
+        if not len(vectors):
+            return pa.array([], pa.list_(pa.int32()))
+        order = model.parts(_matrix(vectors), len(model.bias))
+        counts = np.array([held.get(i, 0) for i in range(len(model.bias))])
+        within = counts[order].cumsum(axis=1)
+        few = (within < needed.to_numpy(zero_copy_only=False)[:, None]).sum(axis=1)
+        n = np.maximum(model.probes, few + 1)
+        return pa.array([row[:i].tolist() for row, i in zip(order, n)], pa.list_(pa.int32()))
+
+    return probed
+
+
 def sample_vectors(rows: DataFrame, n: int = SAMPLE_ROWS) -> tuple[np.ndarray, int]:
     """The ``n`` usable vectors with the smallest hashed ids, of their most common dimension."""
     picked = rows.orderBy(F.xxhash64("id"), "id").limit(n).select("vector").toArrow()["vector"].to_pylist()
@@ -247,8 +269,14 @@ def nearest(table: DataFrame, is_query: Column, k: int = 10, key: str = "vec_id"
     rows = rows.filter(F.size("vector") == dimension)
     home = route(router, 1)(F.col("vector"))
     placed = materialize(rows.withColumn("part", F.element_at(home, 1)))
+    # Rows per part, at most MOST_PARTS numbers; rows with a query's own id are no candidates.
+    held = {r.part: r["count"] for r in placed.groupBy("part").count().collect()}
+    queries = placed.filter("asks").drop("part")
+    own = placed.join(queries.select("id").distinct(), "id", "left_semi").groupBy("id").agg(F.count("*").alias("own"))
     asked = materialize(
-        rows.filter("asks").withColumn("part", F.explode(route(router, None)(F.col("vector"))))
+        queries.join(own, "id")
+        .withColumn("part", F.explode(probe(router, held)(F.col("vector"), F.col("own") + k)))
+        .drop("own")
     )
     # Blocks per part, from its counts; ids are dealt by hash.
     sizes = placed.groupBy("part").agg(F.ceil(F.count("*") / BLOCK_ROWS).alias("row_blocks")).join(
