@@ -181,3 +181,99 @@ def nearest(rows, query_ids, k=10):
 
 def crc(text: str) -> int:
     return zlib.crc32(text.encode())
+
+
+def one_edit(a: str, b: str) -> bool:
+    if len(a) > len(b):
+        a, b = b, a
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b)) == 1
+    return len(b) == len(a) + 1 and any(b[:i] + b[i + 1 :] == a for i in range(len(b)))
+
+
+def spelling(rows, length=7, least=2, ratio=10):
+    """Per word: form, root, n, near words, form's n."""
+    counts = defaultdict(int)
+    for key, text in rows:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            run = lower(run)
+            h = crc(f"{'' if key is None else key}:{run}")
+            if h % 31 == 0:
+                run = run[: h % len(run)] + run[h % len(run) + 1 :]
+            counts[run] += 1
+    words = {w: n for w, n in counts.items() if len(w) >= length and n >= least}
+    forms, out = {}, {}
+    for w, n in words.items():
+        near = sorted((-m, v) for v, m in words.items() if abs(len(v) - len(w)) <= 1 and one_edit(v, w))
+        form = near[0][1] if near and -near[0][0] >= ratio * n else None
+        forms[w] = form
+        out[w] = (form, n, len(near), words[form] if form else None)
+    for w, (form, *rest) in out.items():
+        root = w
+        while forms[root]:
+            root = forms[root]
+        out[w] = (form, root, *rest)
+    return out
+
+
+def collocations(rows, wanted=2000, least=10):
+    """Rows of the contract, in order of language and rank."""
+    counts, totals = defaultdict(int), defaultdict(int)
+    for lang, text in rows:
+        lang = "und" if lang is None else lang
+        for piece in re.split("[.,;:!?\n-\r]", lower(text)):
+            ws = re.findall("[^ \t]+", piece)
+            totals[lang] += len(ws)
+            for size in (1, 2, 3):
+                for i in range(len(ws) - size + 1):
+                    counts[lang, tuple(ws[i : i + size])] += 1
+    found = defaultdict(list)
+    for (lang, p), a in counts.items():
+        if len(p) == 1 or a < least:
+            continue
+        if len(p) == 2 and any(
+            100 * n >= 50 * a and n >= least and (q[:2] == p or q[1:] == p)
+            for (other, q), n in counts.items() if other == lang and len(q) == 3
+        ):
+            continue
+        cuts = [(10**6 * a * a // (counts[lang, p[:k]] * counts[lang, p[k:]]), k) for k in range(1, len(p))]
+        score, k = min(cuts)
+        found[lang].append((-score, -a, " ".join(p).encode(), counts[lang, p[:k]], counts[lang, p[k:]]))
+    out = []
+    for lang in found:
+        for rank, (score, a, phrase, left, right) in enumerate(sorted(found[lang])[:wanted], 1):
+            out.append((lang, rank, phrase.decode(), -a, left, right, totals[lang], -score))
+    return sorted(out)
+
+
+def lowest(nodes, links):
+    """Smallest node reachable from each."""
+    near = defaultdict(list)
+    for a, b in links:
+        near[a].append(b)
+        near[b].append(a)
+    out = {}
+    for first in sorted(nodes):
+        waiting = [] if first in out else [first]
+        while waiting:
+            x = waiting.pop()
+            if x not in out:
+                out[x] = first
+                waiting += near[x]
+    return out
+
+
+def fingerprints(rows, most=2):
+    """Per document: fingerprint and smallest linked id."""
+    import xxhash
+
+    found = {}
+    for key, text in rows:
+        ws = re.findall("[^\x20\x09-\x0d]+", lower(text))
+        grams = [" ".join(ws[i : i + 3]) for i in range(max(len(ws) - 2, 1))] if ws else []
+        hashes = [xxhash.xxh64_intdigest(g.encode(), 42) for g in grams]
+        found[key] = sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+    keys = sorted(found)
+    links = [(a, b) for i, a in enumerate(keys) for b in keys[i + 1 :] if (found[a] ^ found[b]).bit_count() <= most]
+    component = lowest(keys, links)
+    return {k: (found[k], component[k]) for k in keys}

@@ -188,3 +188,10 @@ def test_licenses(spark, docs):
         assert (r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels) == brute.phrases(text)
         assert set(filter(None, r.base_labels.split(","))) <= set(filter(None, r.labels.split(",")))
         assert 0 <= r.score <= 1
+
+
+def test_fingerprints(spark, docs):
+    expected = brute.fingerprints(docs)
+    found = by_key(q.op13_simhash(spark, TABLES))
+    assert {k: (int(r.fingerprint, 16), r.component_id) for k, r in found.items()} == expected
+    assert all(len(r.fingerprint) == 16 for r in found.values())

@@ -20,5 +20,7 @@ def test_query_equals_sql(spark, name):
         expected = database.execute(q.ORACLE[name]).to_arrow_table().to_pandas()
     found = q.QUERIES[name](spark, TABLES).toArrow().to_pandas()
     columns = sorted(expected.columns)
-    frames = [x[columns].sort_values("doc_id").reset_index(drop=True) for x in (found, expected)]
+    key = next(k for k in (["doc_id"], ["word"], ["lang", "rank"]) if set(k) <= set(columns))
+    assert len(expected) > 0
+    frames = [x[columns].sort_values(key).reset_index(drop=True) for x in (found, expected)]
     pd.testing.assert_frame_equal(*frames, check_exact=True)

@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tideline.llm import (
-    chat, decontaminate, language_id, licenses, near_duplicates, neighbours, packing, pii,
-    secret_scan, sharding,
+    chat, collocations, decontaminate, language_id, licenses, near_duplicates, neighbours, packing, pii,
+    secret_scan, sharding, simhash, spelling,
 )
 from tideline.llm.text import bound_batches
 
@@ -97,11 +97,26 @@ def op10_licenses(spark, sf):
     return licenses.license_report(table(spark, sf, "documents"))
 
 
+def op11_spelling(spark, sf):
+    found = spelling.group_variants(table(spark, sf, "documents"))
+    return found.select("word", "form", "root", "n", "n_near", "form_n")
+
+
+def op12_collocations(spark, sf):
+    return collocations.find_collocations(table(spark, sf, "documents"))
+
+
+def op13_simhash(spark, sf):
+    found = simhash.find_groups(table(spark, sf, "documents"))
+    return found.withColumn("fingerprint", simhash.hexadecimal(F.col("fingerprint")))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_secret_scan, op2_language_id, op3_personal_data, op4_packing, op5_decontaminate,
         op6_sharding, op7_nearest, op8_chat, op9_near_duplicates, op10_licenses,
+        op11_spelling, op12_collocations, op13_simhash,
     )
 }
 
@@ -155,9 +170,80 @@ SELECT d.doc_id, coalesce(n, 0) AS n_shingles, least(d.doc_id, coalesce(low, d.d
   d.doc_id <= coalesce(low, d.doc_id) AS kept
 FROM docs d LEFT JOIN sizes s ON d.doc_id = s.doc_id LEFT JOIN lowest l ON d.doc_id = l.doc_id"""
 
+# The hash is CRC-32 (reflected polynomial EDB88320), a byte at a time over a table made by rule.
+SPELLING_SQL = r"""
+WITH RECURSIVE runs AS (
+  SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS n
+  FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-z\x{00C0}-\x{00FF}]+')) AS run FROM documents)
+  WHERE length(run) >= 7 GROUP BY ALL),
+crc_table AS (
+  SELECT list_transform(range(256), lambda c: list_reduce(list_concat([c], range(8)),
+    lambda a, b: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END)) AS t),
+octets AS (
+  SELECT *, flatten(list_transform(string_split(coalesce(doc_id::VARCHAR, '') || ':' || run, ''), lambda c:
+    CASE WHEN ord(c) < 128 THEN [ord(c)::BIGINT] ELSE [192 + (ord(c) >> 6), 128 + (ord(c) & 63)]::BIGINT[] END)) AS bs
+  FROM runs),
+hashed AS (
+  SELECT run, n, xor(list_reduce(list_concat([4294967295], bs),
+    lambda a, b: xor(a >> 8, t[1 + (xor(a, b) & 255)])), 4294967295) AS h
+  FROM octets, crc_table),
+words AS (
+  SELECT word, sum(n)::BIGINT AS n FROM (
+    SELECT CASE WHEN h % 31 = 0 THEN run[1 : h % length(run)] || run[h % length(run) + 2 :] ELSE run END AS word, n
+    FROM hashed) WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+cut AS (
+  SELECT word, n, i, word[1 : i - 1] AS a, word[i + 1 :] AS b
+  FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)),
+pairs AS (
+  SELECT x.word, y.word AS near, y.n AS near_n FROM cut x JOIN cut y
+    ON x.i = y.i AND x.a = y.a AND x.b = y.b AND x.word <> y.word
+  UNION SELECT x.word, w.word, w.n FROM cut x JOIN words w ON w.word = x.a || x.b
+  UNION SELECT w.word, x.word, x.n FROM cut x JOIN words w ON w.word = x.a || x.b),
+best AS (
+  SELECT word, count(*) AS n_near, max(near_n) AS near_n, arg_min(near, (-near_n, near)) AS near
+  FROM pairs GROUP BY word),
+known AS (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near,
+    CASE WHEN near_n >= 10 * w.n THEN near END AS form, CASE WHEN near_n >= 10 * w.n THEN near_n END AS form_n
+  FROM words w LEFT JOIN best b USING (word)),
+chain AS (
+  SELECT word, word AS root, 0 AS steps FROM known
+  UNION ALL SELECT c.word, k.form, steps + 1 FROM chain c JOIN known k ON c.root = k.word WHERE k.form IS NOT NULL),
+roots AS (SELECT word, arg_max(root, steps) AS root FROM chain GROUP BY word)
+SELECT word, form, root, n, n_near, form_n FROM known JOIN roots USING (word)"""
+
+COLLOCATIONS_SQL = rf"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(piece, '[^ \t]+') AS ws
+  FROM (SELECT lang, unnest(regexp_split_to_array({LOWERED}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents)),
+grams AS (
+  SELECT lang, m, array_to_string(ws[i : i + m - 1], ' ') AS phrase, count(*) AS f,
+    min(ws[i : i + m - 1]) AS ws
+  FROM (SELECT lang, ws, m, unnest(range(1, len(ws) - m + 2)) AS i FROM pieces, range(1, 4) t(m))
+  GROUP BY ALL),
+totals AS (SELECT lang, sum(f)::BIGINT AS n FROM grams WHERE m = 1 GROUP BY lang),
+cuts AS (
+  SELECT c.lang, c.m, c.phrase, c.ws, c.f AS a, k, l.f AS l, r.f AS r,
+    ({1_000_000}::HUGEINT * c.f * c.f // (l.f::HUGEINT * r.f))::BIGINT AS score
+  FROM (SELECT *, unnest(range(1, m)) AS k FROM grams WHERE m > 1 AND f >= 10) c
+  JOIN grams l ON l.lang = c.lang AND l.m = k AND l.phrase = array_to_string(c.ws[1 : k], ' ')
+  JOIN grams r ON r.lang = c.lang AND r.m = c.m - k AND r.phrase = array_to_string(c.ws[k + 1 :], ' ')),
+scored AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase, m ORDER BY score, k) = 1),
+longer AS (
+  SELECT lang, phrase, max(f) AS f FROM (
+    SELECT lang, f, array_to_string(ws[i : i + 1], ' ') AS phrase
+    FROM (SELECT *, unnest(range(1, 3)) AS i FROM grams WHERE m = 3 AND f >= 10)) GROUP BY lang, phrase)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
+  phrase, a, l, r, n, score
+FROM scored s LEFT JOIN longer g USING (lang, phrase) JOIN totals USING (lang)
+WHERE m = 3 OR g.f IS NULL OR 100 * g.f < 50 * a
+QUALIFY rank <= 2000"""
+
 # The others' own finds (literals, languages, places, neighbours, windows, edits) are beyond SQL; they
 # are tested against plain versions of their contracts.
 ORACLE: dict[str, str] = {
     "op5_decontaminate": DECONTAMINATE_SQL,
     "op9_near_duplicates": NEAR_DUPLICATES_SQL,
+    "op11_spelling": SPELLING_SQL,
+    "op12_collocations": COLLOCATIONS_SQL,
 }
