@@ -232,9 +232,48 @@ def ranked(by: str, name: str = "ranked") -> str:
   SELECT *, row_number() OVER (PARTITION BY state ORDER BY {by}, {RANK}) AS rank FROM scores)"""
 
 
-def query(*pieces: str) -> str:
+def significant(x: str, bits: int = 20) -> str:
+    unit = f"pow(2.0::DOUBLE, floor(log2(abs({x}))) - {bits})"
+    return f"CASE WHEN {x} = 0 THEN 0.0 ELSE round({x} / {unit}) * {unit} END"
+
+
+def query(*pieces: str, recursive: bool = False) -> str:
     *ctes, final = pieces
-    return f"WITH {', '.join(ctes)} {final}" if ctes else final
+    return f"WITH {'RECURSIVE ' * recursive}{', '.join(ctes)} {final}" if ctes else final
+
+
+# The same ensemble of stumps, on features in units of the range of their series.
+def stump_sum() -> str:
+    lag = "(coalesce(ys[-{0}], 0.0) - lo) / width"
+    features = {
+        "lag_1": lag.format(1), "lag_7": lag.format(7), "lag_30": lag.format(30),
+        "rolling_mean_7": "(coalesce(list_avg(ys[-6:]), 0.0) - lo) / width",
+        "rolling_min_7": "(coalesce(list_min(ys[-6:]), 0.0) - lo) / width",
+        "rolling_max_30": "(coalesce(list_max(ys[-29:]), 0.0) - lo) / width",
+        "rolling_std_30": "coalesce(list_stddev_samp(ys[-29:]), 0.0) / width",
+        "day_of_week": "isodow(last_ds + step + 1) - 1",
+    }
+    stumps = (
+        (1.0, "lag_7", 0.4137, 0.3, 0.55), (0.5, "rolling_mean_7", 0.5171, -0.1, 0.15),
+        (0.5, "day_of_week", 4.0, 0.05, -0.2), (0.25, "lag_1", 0.3919, 0.2, -0.15),
+        (0.25, "rolling_std_30", 0.1573, 0.1, -0.1), (0.25, "rolling_min_7", 0.2113, -0.05, 0.1),
+        (0.125, "rolling_max_30", 0.8219, 0.3, -0.2), (0.125, "lag_30", 0.4493, -0.25, 0.35),
+    )
+    return " + ".join(
+        f"{w}::DOUBLE * CASE WHEN {features[f]} <= {t} THEN {low} ELSE {high} END" for w, f, t, low, high in stumps
+    )
+
+
+RECURSION = f"""starts AS (
+  SELECT state, max(ds) AS last_ds, min(total) AS lo,
+    CASE WHEN max(total) = min(total) THEN 1.0 ELSE max(total) - min(total) END AS width,
+    (list(total ORDER BY ds))[-30:] AS ys
+  FROM dense GROUP BY state),
+paths AS (
+  SELECT state, last_ds, lo, width, ys, 0 AS step, NULL::DOUBLE AS yhat FROM starts
+  UNION ALL
+  SELECT state, last_ds, lo, width, list_append(ys, y)[-30:], step + 1, y
+  FROM (SELECT *, greatest(({stump_sum()}) * width + lo, 0.0) AS y FROM paths WHERE step < 56))"""
 
 
 DENSE = (SALES, GRID, dense())
@@ -636,8 +675,8 @@ def oracle() -> dict[str, str]:
     )
     q["stack_fit"] = query(
         *PARTS, two("base", "meta", "on_meta"), PAIR,
-        """SELECT state, round(w0, 1) AS intercept, round(wp, 6) AS "w_Prophet",
-        round(wa, 6) AS "w_ARIMA" FROM stack""",
+        f"""SELECT state, {significant('w0')} AS intercept, {significant('wp')} AS "w_Prophet",
+        {significant('wa')} AS "w_ARIMA" FROM stack""",
     )
     q["stack_predict"] = query(
         *PARTS, two("base", "meta", "on_meta"), PAIR, two("train", "test", "on_test"),
@@ -646,6 +685,12 @@ def oracle() -> dict[str, str]:
         + max(wa) * max(CASE WHEN model = 'ARIMA' THEN yhat END), 0.0)), 6) AS log_yhat
         FROM on_test t JOIN stack s ON t.state = s.state GROUP BY t.state, t.ds""",
     )
+    q["recursive_forecast"] = query(
+        *DENSE, RECURSION,
+        f"""SELECT state, 'XGBoost' AS model, last_ds + step AS ds, {snap('yhat', COARSE)} AS yhat
+        FROM paths WHERE step > 0""",
+        recursive=True,
+    )
     q["avg_ensemble"] = query(
         *PARTS, two("train", "test", "pred"),
         f"""SELECT state, 'StackedEnsemble' AS model, ds, {snap('avg(yhat)', COARSE)} AS yhat

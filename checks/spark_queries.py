@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import uuid
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -17,7 +18,7 @@ from tideline import config as c
 from tideline.functions.calendar import calendar_columns, iso_timestamp, spaced_timestamp
 from tideline.functions.scalars import clip_negative, fit_length, model_key, pad_left
 from tideline.models import closed_form as cf
-from tideline.models import fourier, pooled, seasonal_ar, stacking
+from tideline.models import fourier, pooled, seasonal_ar, stacking, tree_arrays
 from tideline.operators import densify as d
 from tideline.operators import features as ft
 from tideline.operators import horizon as hz
@@ -613,11 +614,15 @@ def stack_weights(p: dict[str, DataFrame]) -> DataFrame:
 
 def stack_fit(spark, sf):
     fit = stack_weights(parts(spark, sf))
-    return fit.select(
-        KEY,
-        F.round("intercept", 1).alias("intercept"),
-        *[F.round(stacking.weight(m), 6).alias(stacking.weight(m)) for m in STACKED_PAIR],
-    )
+    # Base predictions may be nearly collinear, so weights agree to a share of their size only.
+    names = ["intercept", *[stacking.weight(m) for m in STACKED_PAIR]]
+    return fit.select(KEY, *[significant(F.col(name)).alias(name) for name in names])
+
+
+def significant(value: Column, bits: int = 20) -> Column:
+    """``value`` to so many significant bits."""
+    unit = F.pow(F.lit(2.0), F.floor(F.log2(F.abs(value))) - bits)
+    return F.when(value == 0, 0.0).otherwise(F.round(value / unit) * unit)
 
 
 def stack_predict(spark, sf):
@@ -954,6 +959,43 @@ def gbt_tuned(spark, sf):
     return so.best_configuration(scores, "rmse", tuning.TREE_PARAMETERS)
 
 
+# A fixed ensemble: weight, feature, threshold, value up to it, value beyond it.
+STUMPS = (
+    (1.0, "lag_7", 0.4137, 0.3, 0.55),
+    (0.5, "rolling_mean_7", 0.5171, -0.1, 0.15),
+    (0.5, "day_of_week", 4.0, 0.05, -0.2),
+    (0.25, "lag_1", 0.3919, 0.2, -0.15),
+    (0.25, "rolling_std_30", 0.1573, 0.1, -0.1),
+    (0.25, "rolling_min_7", 0.2113, -0.05, 0.1),
+    (0.125, "rolling_max_30", 0.8219, 0.3, -0.2),
+    (0.125, "lag_30", 0.4493, -0.25, 0.35),
+)
+
+
+def stumps() -> tree_arrays.TreeArrays:
+    rows = []
+    for tree, (_, feature, threshold, low, high) in enumerate(STUMPS):
+        rows += [(tree, 0, 0.0, 1, 2, c.FEATURES.index(feature), threshold),
+                 (tree, 1, low, -1, -1, -1, None), (tree, 2, high, -1, -1, -1, None)]
+    names = ["tree", "id", "value", "left", "right", "feature", "threshold"]
+    return tree_arrays.grown_from(pd.DataFrame(rows, columns=names), [s[0] for s in STUMPS])
+
+
+def recursive_forecast(spark, sf):
+    """Eight weeks ahead by a fixed ensemble, every prediction an input of the days after it."""
+    rows = materialize(dense(spark, sf))
+    ahead = tree_arrays.recursive_future(stumps(), pooled.amount_scale(rows), rows)
+    return snapped(ahead, ["yhat"], COARSE)
+
+
+def gbt_recursive(spark, sf):
+    """Held-out days by fitted trees from the end of training."""
+    train, test = prepared(spark, sf)
+    scale = materialize(pooled.amount_scale(train))
+    model = pooled.fit_trees(pooled.tree_inputs(train, scale))
+    return tree_arrays.recursive_forecast(tree_arrays.tree_arrays(model, spark), scale, train, test)
+
+
 def compare_models(spark, sf):
     run = compare.compare_models(star_sales(spark, sf))
     return doc.result_documents(run.scores, run.best, run.sizes)

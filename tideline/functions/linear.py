@@ -63,10 +63,17 @@ def solve_subset(full: np.ndarray, keep: Sequence[int], penalty: np.ndarray) ->
 def solve_each(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     """Solutions of a stack of systems; NaN where one is not finite or singular.
 
-    A bad series must not stop the others of its batch, so it is left out and keeps its NaN.
+    A bad series must not stop the others of its batch, so it is left out and keeps its NaN. Columns
+    are first put in units of a power of two near their size, which changes no digit by itself but
+    keeps amounts of different sizes from losing digits to each other.
     """
     out = np.full(right.shape, np.nan)
     good = np.isfinite(left).all(axis=(1, 2)) & np.isfinite(right).all(axis=1)
+    size = np.sqrt(np.abs(np.einsum("nii->ni", left)))
+    with np.errstate(all="ignore"):
+        unit = np.exp2(-np.round(np.log2(size)))
+    unit = np.where(np.isfinite(unit) & (unit > 0), unit, 1.0)
+    left, right = left * unit[:, :, None] * unit[:, None, :], right * unit
     try:
         out[good] = np.linalg.solve(left[good], right[good][:, :, None])[:, :, 0]
     except np.linalg.LinAlgError:
@@ -75,7 +82,7 @@ def solve_each(left: np.ndarray, right: np.ndarray) -> np.ndarray:
                 out[i] = np.linalg.solve(left[i], right[i])
             except np.linalg.LinAlgError:
                 continue
-    return out
+    return out * unit
 
 
 def solve_gram(k: int, penalty: Sequence[float]) -> Callable[[str], Column]:

@@ -29,6 +29,8 @@ from tideline.session import checkpoint_dir, materialize
 
 KEY = "state"
 AMOUNT_FEATURES = c.LAG_FEATURES + c.ROLLING_FEATURES
+# Rows that make a task of tree building worth its start.
+TREE_TASK_ROWS = 25_000
 # Ridge term of the look-back regression: neighbouring lags are almost collinear.
 LOOKBACK_RIDGE = 0.01
 
@@ -62,8 +64,9 @@ def assembled(df: DataFrame) -> DataFrame:
     return VectorAssembler(inputCols=list(c.FEATURES), outputCol="inputs").transform(df)
 
 
-def back_to_amount(prediction: str = "prediction") -> Column:
-    return clip_negative(unscaled(F.col(prediction), "total"))
+def back_to_amount(prediction: str | Column = "prediction") -> Column:
+    value = F.col(prediction) if isinstance(prediction, str) else prediction
+    return clip_negative(unscaled(value, "total"))
 
 
 # -- boosted trees -------------------------------------------------------------------------------
@@ -81,14 +84,19 @@ def fit_trees(inputs: DataFrame, trees: int = c.TREE_COUNT, depth: int = c.TREE_
     """Boosted trees over the rows of all series.
 
     Spark draws the column subset anew for every node. Tree building repeats passes over the
-    rows, so they are kept once, on at least as many partitions as there are cores; their lineage
-    is cut in the checkpoint folder every ten trees.
+    rows, several small jobs a tree, so they are kept once, on at least as many partitions as there
+    are cores, but on fewer where a task would have too little to do; their lineage is cut in the
+    checkpoint folder every ten trees.
     """
     checkpoint_dir(inputs.sparkSession)
     cores = inputs.sparkSession.sparkContext.defaultParallelism
     inputs = materialize(inputs)
-    if spread and inputs.rdd.getNumPartitions() < cores:
-        inputs = inputs.repartition(cores)
+    now = inputs.rdd.getNumPartitions()
+    enough = max(inputs.count() // TREE_TASK_ROWS, 1)
+    if enough < now:
+        inputs = inputs.coalesce(enough)
+    elif spread and now < min(cores, enough):
+        inputs = inputs.repartition(min(cores, enough))
     regressor = GBTRegressor(
         featuresCol="inputs",
         labelCol="target",

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field, replace
 from functools import reduce
+from multiprocessing.pool import ThreadPool
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 from tideline import config as c
 from tideline.models import fourier, pooled, seasonal_ar, stacking
 from tideline.models.closed_form import predict_constant
+from tideline.models.tree_arrays import recursive_forecast, tree_arrays
 from tideline.operators.horizon import (
     appended_future,
     frozen_future,
@@ -31,8 +33,10 @@ KEY = "state"
 class Settings:
     """Hyper-parameters of one run; ``tune`` replaces them by the winners of the grids.
 
-    Trees are scored one step ahead with ``tree_scores="true_lags"``; with ``"frozen"`` they
-    forecast from the end of training like all other models.
+    Trees are scored one step ahead with ``tree_scores="true_lags"``; with ``"frozen"`` or
+    ``"recursive"`` they forecast from the end of training like all other models. ``tree_ahead``
+    says how they forecast beyond the data: ``"frozen"`` keeps lags and rolling values at the last
+    known ones (inside an ensemble: carries them on), ``"recursive"`` feeds predictions back.
     """
 
     arima_order: tuple[int, int, int] = c.ARIMA_ORDER
@@ -44,6 +48,7 @@ class Settings:
     trees: dict = field(default_factory=lambda: {"trees": c.TREE_COUNT})
     tune: bool = False
     tree_scores: str = "true_lags"
+    tree_ahead: str = "frozen"
     models: tuple[str, ...] = c.BASE_MODELS
     select_by: str = "rmse"
 
@@ -125,18 +130,22 @@ def fit_bases(history: DataFrame, settings: Settings) -> Fits:
 
 
 def predict_bases(fits: Fits, history: DataFrame, targets: DataFrame,
-                  tree_rows: DataFrame | None = None) -> DataFrame:
+                  tree_rows: DataFrame | None = None, recursive: bool = False) -> DataFrame:
     """Predictions of every fitted base model for ``targets(state, ds)``.
 
     Forecasts start after the last row of ``history``. ``tree_rows`` are the feature rows the
-    trees score; by default the targets themselves.
+    trees score; by default the targets themselves. ``recursive`` trees need no feature rows.
     """
     days = targets.select(KEY, "ds")
     parts = []
     if c.TREES in fits.pooled:
         model, scale = fits.pooled[c.TREES]
-        rows = targets if tree_rows is None else tree_rows
-        parts.append(pooled.predict_trees(model, scale, rows))
+        if recursive:
+            arrays = tree_arrays(model, history.sparkSession)
+            parts.append(recursive_forecast(arrays, scale, history, days))
+        else:
+            rows = targets if tree_rows is None else tree_rows
+            parts.append(pooled.predict_trees(model, scale, rows))
     if c.TREND in fits.tables:
         parts.append(fourier.predict_fourier(fits.tables[c.TREND], days))
     if c.ARIMA in fits.tables:
@@ -168,11 +177,14 @@ def compare_prepared(prepared: DataFrame, settings: Settings) -> Comparison:
     base, meta = rows_of(prepared, "base"), rows_of(prepared, "meta")
     if settings.tune:
         settings = tuned(settings, train)
-    base_fits, train_fits = fit_bases(base, settings), fit_bases(train, settings)
+    # Neither waits for the other, and a boosted fit is a long chain of small jobs.
+    with ThreadPool(2) as pool:
+        base_fits, train_fits = pool.map(lambda rows: fit_bases(rows, settings), (base, train))
     weights = materialize(refit_stack(base_fits, base, meta))
     frozen = settings.tree_scores == "frozen"
     tree_rows = frozen_over(train.select(KEY, "ds", "total", "category"), test) if frozen else None
-    predictions = materialize(stacked_predictions(train_fits, weights, train, test, tree_rows))
+    recursive = settings.tree_scores == "recursive"
+    predictions = materialize(stacked_predictions(train_fits, weights, train, test, tree_rows, recursive))
     models = [m for m in c.MODEL_ORDER if m in (*settings.models, c.STACKED)]
     scores = materialize(evaluate(predictions, test, expected_pairs(prepared, models)))
     best = select_best(scores, settings.select_by)
@@ -190,9 +202,9 @@ def refit_stack(fits: Fits, base: DataFrame, meta: DataFrame) -> DataFrame:
 
 
 def stacked_predictions(fits: Fits, weights: DataFrame, history: DataFrame, targets: DataFrame,
-                        tree_rows: DataFrame | None = None) -> DataFrame:
+                        tree_rows: DataFrame | None = None, recursive: bool = False) -> DataFrame:
     """Base predictions plus those of the ensemble, the latter where it could be fitted."""
-    on_targets = materialize(predict_bases(fits, history, targets, tree_rows))
+    on_targets = materialize(predict_bases(fits, history, targets, tree_rows, recursive))
     stacked = stacking.predict_stack(weights, on_targets)
     return on_targets.unionByName(stacked.join(weights.select(KEY), KEY, "left_semi"))
 
@@ -201,8 +213,9 @@ def forecast_best(run: Comparison, days: int | DataFrame = c.HORIZON_DAYS) -> Da
     """The next days of every state from its winner, refitted on all rows.
 
     ``days`` is one number for all states, or a table ``(state, days)`` with a horizon for each;
-    states it does not list get no forecast. Trees score frozen features where they win alone, and appended ones inside an ensemble.
-    Only the base models some state needs are refitted.
+    states it does not list get no forecast. Unless they are to be recursive, trees score frozen
+    features where they win alone, and appended ones inside an ensemble. Only the base models some
+    state needs are refitted.
     """
     dense = run.prepared.select(KEY, "ds", "total", "category")
     ends = last_days(dense)
@@ -226,7 +239,8 @@ def forecast_best(run: Comparison, days: int | DataFrame = c.HORIZON_DAYS) -> Da
         won_by(appended_future(dense, reach), c.STACKED)
     ).join(targets, [KEY, "ds"], "left_semi")
     fits = fit_bases(run.prepared, settings)
-    base = materialize(predict_bases(fits, run.prepared, targets, tree_rows))
+    recursive = settings.tree_ahead == "recursive"
+    base = materialize(predict_bases(fits, run.prepared, targets, tree_rows, recursive))
     stacked = stacking.predict_stack(run.weights, won_by(base, c.STACKED))
     return pick_winner(base.unionByName(stacked), run.best).join(ends, KEY)
 

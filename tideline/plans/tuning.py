@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from tideline import config as c
 from tideline.functions.metrics import rmse
 from tideline.models import fourier, pooled, seasonal_ar
+from tideline.models.tree_arrays import numbers, staged_predictions, tree_arrays
 from tideline.operators.features import complete_rows
 from tideline.operators.scoring import best_configuration
 from tideline.operators.split import TEST, TRAIN, split_series, with_enough_rows
@@ -100,6 +101,7 @@ def score_trees(train: DataFrame, points: Sequence[dict] | None = None) -> DataF
     100 such rows are left to the default configuration.
     """
     points = tree_grid() if points is None else points
+    spark = train.sparkSession
     usable = with_enough_rows(complete_rows(train), c.MIN_TUNING_ROWS, F.lit(True))
     held = materialize(split_series(usable, column="holdout"))
     history = held.filter(F.col("holdout") == TRAIN)
@@ -108,14 +110,34 @@ def score_trees(train: DataFrame, points: Sequence[dict] | None = None) -> DataF
     # Prepared once for the whole grid, with the amounts: scoring a point needs no join.
     targets = materialize(pooled.tree_targets(held.filter(F.col("holdout") == TEST), scale))
 
-    def score(point: dict) -> DataFrame:
+    def score(group: tuple[dict, list[int]]) -> DataFrame:
+        fixed, stages = group
         # The fits overlap, so none of them is spread over all cores.
-        model = pooled.fit_trees(inputs, **point, spread=False)
-        errors = model.transform(targets).withColumn("yhat", pooled.back_to_amount())
-        per_state = errors.groupBy(KEY).agg(rmse(F.col("total"), F.col("yhat")).alias("rmse"))
-        return materialize(per_state).withColumns({name: F.lit(value) for name, value in point.items()})
+        model = pooled.fit_trees(inputs, **fixed, trees=stages[-1], spread=False)
+        staged = staged_predictions(tree_arrays(model, spark), numbers(c.FEATURES), stages, spark)
+        errors = targets.withColumn("staged", staged)
+        found = [
+            rmse(F.col("total"), pooled.back_to_amount(F.col("staged")[i])) for i in range(len(stages))
+        ]
+        per_state = errors.groupBy(KEY).agg(
+            *[score.alias(f"rmse_{n}") for n, score in zip(stages, found)]
+        )
+        scores = F.array(*[F.struct(F.lit(n).alias("trees"), F.col(f"rmse_{n}").alias("rmse")) for n in stages])
+        rows = materialize(per_state).select(KEY, F.explode(scores).alias("score")).select(KEY, "score.*")
+        return rows.withColumns({name: F.lit(value) for name, value in fixed.items()})
 
-    return _numbered(_in_parallel(score, points), points)
+    return _numbered(_in_parallel(score, by_stages(points)), points)
+
+
+def by_stages(points: Sequence[dict]) -> list[tuple[dict, list[int]]]:
+    """Tree points that differ in the number of trees only, together: the first trees of a fit are
+    those of a fit with fewer, so one fit with the most trees scores all of them.
+    """
+    groups: dict[tuple, list[int]] = {}
+    for point in points:
+        fixed = tuple((name, value) for name, value in point.items() if name != "trees")
+        groups.setdefault(fixed, []).append(point["trees"])
+    return [(dict(fixed), sorted(set(stages))) for fixed, stages in groups.items()]
 
 
 def score_lookback(train: DataFrame, points: Sequence[dict] | None = None) -> DataFrame:
@@ -142,7 +164,7 @@ def score_lookback(train: DataFrame, points: Sequence[dict] | None = None) -> Da
     return _numbered(_in_parallel(score, points), points)
 
 
-def _in_parallel(score: Callable[[dict], DataFrame], points: Sequence[dict]) -> DataFrame:
+def _in_parallel(score: Callable[..., DataFrame], points: Sequence) -> DataFrame:
     """Scores of all points; the fits overlap so that small stages do not idle the cluster."""
     with ThreadPool(min(PARALLEL_FITS, len(points))) as pool:
         scored = pool.map(score, points)

@@ -45,6 +45,12 @@ def scratch(spark: SparkSession) -> Iterator[str]:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def new_path(spark: SparkSession, outlive: bool = False) -> str:
+    """A path for one intermediate table below the open run's folder, or the checkpoint folder."""
+    home = _runs[-1] if _runs and not outlive else f"{checkpoint_dir(spark)}/tables"
+    return f"{home}/{uuid.uuid4().hex}"
+
+
 def materialize(df: DataFrame, outlive: bool = False) -> DataFrame:
     """Write ``df`` under the checkpoint folder and return a DataFrame that reads it back.
 
@@ -53,7 +59,6 @@ def materialize(df: DataFrame, outlive: bool = False) -> DataFrame:
     branch read only its columns, and its size on disk tells Spark whether it may be broadcast.
     """
     spark = df.sparkSession
-    home = _runs[-1] if _runs and not outlive else f"{checkpoint_dir(spark)}/tables"
-    path = f"{home}/{uuid.uuid4().hex}"
+    path = new_path(spark, outlive)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
