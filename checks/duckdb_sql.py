@@ -685,6 +685,32 @@ def oracle() -> dict[str, str]:
         + max(wa) * max(CASE WHEN model = 'ARIMA' THEN yhat END), 0.0)), 6) AS log_yhat
         FROM on_test t JOIN stack s ON t.state = s.state GROUP BY t.state, t.ds""",
     )
+    labelled = """labelled AS (
+  SELECT state, ds, total, CASE WHEN b = 0 OR rn <= n - 3 * b THEN 0
+    ELSE CAST(ceil((rn - (n - 3 * b)) / b) AS INTEGER) END AS segment
+  FROM (SELECT *, n // 4 AS b FROM (
+    SELECT *, row_number() OVER (PARTITION BY state ORDER BY ds) AS rn,
+      count(*) OVER (PARTITION BY state) AS n FROM dense))),
+fits AS (
+  SELECT state, CAST(fold AS INTEGER) AS fold, regr_slope(total, previous) AS phi,
+    regr_intercept(total, previous) AS intercept, max(ds) AS last_ds, arg_max(total, ds) AS last_total
+  FROM (SELECT *, lag(total) OVER (PARTITION BY state ORDER BY ds) AS previous FROM labelled) l
+  JOIN (VALUES (1), (2), (3)) f(fold) ON segment < fold
+  WHERE state IN (SELECT state FROM labelled WHERE segment = 3)
+  GROUP BY state, fold)"""
+    q["ar1_folds"] = query(
+        *DENSE, labelled,
+        f"""SELECT state, fold, last_ds, round(phi, 6) AS phi, {snap('intercept', COARSE)} AS intercept FROM fits""",
+    )
+    ahead = AR1_PATH.format(h="datediff('day', last_ds, ds)")
+    q["ar1_fold_scores"] = query(
+        *DENSE, labelled,
+        f"""SELECT state, fold, {snap('sqrt(avg((yhat - total) * (yhat - total)))', COARSE)} AS rmse
+        FROM (SELECT l.state, fold, total,
+          greatest(CASE WHEN abs(phi) < 1 THEN {ahead} ELSE last_total END, 0.0) AS yhat
+          FROM labelled l JOIN fits f ON l.state = f.state AND l.segment = f.fold)
+        GROUP BY state, fold""",
+    )
     q["recursive_forecast"] = query(
         *DENSE, RECURSION,
         f"""SELECT state, 'XGBoost' AS model, last_ds + step AS ds, {snap('yhat', COARSE)} AS yhat

@@ -18,9 +18,10 @@ from tideline import config as c
 from tideline.functions.calendar import calendar_columns, iso_timestamp, spaced_timestamp
 from tideline.functions.scalars import clip_negative, fit_length, model_key, pad_left
 from tideline.models import closed_form as cf
-from tideline.models import fourier, pooled, seasonal_ar, stacking, tree_arrays
+from tideline.models import fold_fits, fourier, pooled, seasonal_ar, stacking, tree_arrays
 from tideline.operators import densify as d
 from tideline.operators import features as ft
+from tideline.operators import folds as fo
 from tideline.operators import horizon as hz
 from tideline.operators import profile as pr
 from tideline.operators import scale as sc
@@ -988,6 +989,26 @@ def recursive_forecast(spark, sf):
     return snapped(ahead, ["yhat"], COARSE)
 
 
+def ar1_folds(spark, sf):
+    """First-order lines on three expanding windows."""
+    labelled = materialize(fo.label_segments(dense(spark, sf)))
+    fits = fold_fits.ar1_folds(labelled)
+    return fits.select(KEY, "fold", "last_ds", F.round("phi", 6).alias("phi"), snap("intercept", COARSE).alias("intercept"))
+
+
+def ar1_fold_scores(spark, sf):
+    scores = fold_fits.score_ar1_folds(materialize(dense(spark, sf)))
+    return snapped(scores, ["rmse"], COARSE)
+
+
+def arima_folds(spark, sf):
+    return tuning.tune_seasonal_ar_folds(prepared(spark, sf)[0])
+
+
+def fourier_folds(spark, sf):
+    return tuning.tune_trend_folds(prepared(spark, sf)[0])
+
+
 def gbt_recursive(spark, sf):
     """Held-out days by fitted trees from the end of training."""
     train, test = prepared(spark, sf)

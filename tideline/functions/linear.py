@@ -7,13 +7,13 @@ solved in Python is one k x k system per state, a batch of states at a time.
 from __future__ import annotations
 
 import sys
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from itertools import combinations_with_replacement
 
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -46,6 +46,46 @@ def unpack(grams: pd.Series, size: int) -> np.ndarray:
     return full
 
 
+def summed_grams(rows: DataFrame, keys: Sequence[str], columns: Sequence[str],
+                 build: Callable[[pd.DataFrame], np.ndarray], width: int) -> DataFrame:
+    """``gram`` per key: cross products of the ``width`` columns that ``build`` makes of the rows.
+
+    Tasks read rows in runs of one key and emit one matrix per run, whatever its length. The
+    matrices, not the rows, are shuffled, and added up entry by entry, however many runs a key
+    comes in.
+    """
+    keys = list(keys)
+
+    def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        upper = np.triu_indices(width)
+        key, gram = None, None
+        for batch in batches:
+            done = []
+            full = build(batch)
+            own = list(zip(*[batch[name].tolist() for name in keys]))
+            ends = [*(i for i in range(1, len(own)) if own[i] != own[i - 1]), len(own)]
+            for start, end in zip([0, *ends], ends):
+                if start == end:
+                    continue
+                run = full[start:end].T @ full[start:end]
+                if own[start] == key:
+                    gram += run
+                    continue
+                if gram is not None:
+                    done.append((*key, gram[upper]))
+                key, gram = own[start], run
+            yield pd.DataFrame(done, columns=[*keys, "gram"])
+        if gram is not None:
+            yield pd.DataFrame([(*key, gram[upper])], columns=[*keys, "gram"])
+
+    schema = T.StructType([*[rows.schema[name] for name in keys], T.StructField("gram", DOUBLES)])
+    parts = rows.select(*keys, *columns).mapInPandas(partial, schema)
+    entries = parts.repartition(*keys).select(*keys, F.posexplode("gram").alias("i", "x"))
+    sums = entries.groupBy(*keys, "i").agg(F.sum("x").alias("x"))
+    whole = F.array_sort(F.collect_list(F.struct("i", "x")))
+    return sums.groupBy(*keys).agg(F.transform(whole, lambda e: e["x"]).alias("gram"))
+
+
 def solve_subset(full: np.ndarray, keep: Sequence[int], penalty: np.ndarray) -> np.ndarray:
     """Coefficients of the last column on the ``keep`` columns, for every matrix of the stack.
 

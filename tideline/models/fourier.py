@@ -8,7 +8,7 @@ small system per state. ``multiplicative`` seasonality regresses ``amount / tren
 from __future__ import annotations
 
 import sys
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Sequence
 
 import numpy as np
 import pandas as pd
@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tideline.config import SEASONALITY_MODES, TREND, YEARLY_OPTIONS
-from tideline.functions.linear import DOUBLE, DOUBLES, solve_subset, unpack
+from tideline.functions.linear import DOUBLE, DOUBLES, solve_subset, summed_grams, unpack
 from tideline.functions.scalars import clip_negative
 from tideline.models.closed_form import as_predictions, first_available, fit_last_value
 
@@ -93,42 +93,18 @@ def scaled_history(history: DataFrame) -> DataFrame:
 
 
 def cross_products(rows: DataFrame, target: str = "y") -> DataFrame:
-    """Cross products of design and target per state, as one array.
+    """Cross products of design and target per state, as one array."""
+    return summed_grams(rows, [KEY], ["t", "day", target], design_and(target), N_COLUMNS + 1)
 
-    Tasks read rows in runs of one state and emit one matrix per run, whatever its length. The
-    matrices, not the rows, are shuffled, and added up entry by entry, however many runs a state
-    comes in.
-    """
 
-    def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        upper = np.triu_indices(N_COLUMNS + 1)
-        state, gram = None, None
-        for batch in batches:
-            done = []
-            full = np.column_stack(
-                [design(batch["t"].to_numpy(), batch["day"].to_numpy()), batch[target].to_numpy()]
-            )
-            keys = batch[KEY].to_numpy()
-            ends = [*(np.flatnonzero(keys[1:] != keys[:-1]) + 1), len(keys)]
-            for start, end in zip([0, *ends], ends):
-                run = full[start:end].T @ full[start:end]
-                if keys[start] == state:
-                    gram += run
-                    continue
-                if gram is not None:
-                    done.append((state, gram[upper]))
-                state, gram = keys[start], run
-            yield pd.DataFrame(done, columns=[KEY, "gram"])
-        if gram is not None:
-            yield pd.DataFrame([(state, gram[upper])], columns=[KEY, "gram"])
-
-    parts = rows.select(KEY, "t", "day", target).mapInPandas(
-        partial, f"{KEY} string, gram array<double>"
-    )
-    entries = parts.repartition(KEY).select(KEY, F.posexplode("gram").alias("i", "x"))
-    sums = entries.groupBy(KEY, "i").agg(F.sum("x").alias("x"))
-    whole = F.array_sort(F.collect_list(F.struct("i", "x")))
-    return sums.groupBy(KEY).agg(F.transform(whole, lambda e: e["x"]).alias("gram"))
+def design_and(target: str) -> Callable[[pd.DataFrame], np.ndarray]:
+    """Function from rows to their design columns and the target."""
+
+    def build(batch: pd.DataFrame) -> np.ndarray:
+        columns = design(batch["t"].to_numpy(), batch["day"].to_numpy())
+        return np.column_stack([columns, batch[target].to_numpy()])
+
+    return build
 
 
 def solver(yearly: bool, trend: bool):
@@ -209,10 +185,14 @@ def fit_fourier_grid(history: DataFrame) -> DataFrame:
 
 def forecast_rows(fit: DataFrame, targets: DataFrame) -> DataFrame:
     """Targets with ``yhat`` for every fitted configuration of their state."""
-    rows = with_clock(targets.join(fit, KEY))
+    return with_clock(targets.join(fit, KEY)).withColumn("yhat", curve())
+
+
+def curve() -> Column:
+    """Amount of a row with its clock, the weights of its configuration and its unit."""
     trend, season = trend_part("t", "trend"), season_part("day", "season")
     value = F.when(F.col("mode") == "additive", trend + season).otherwise(trend * (1 + season))
-    return rows.withColumn("yhat", clip_negative(value * F.col("unit")))
+    return clip_negative(value * F.col("unit"))
 
 
 def predict_fourier(fit: DataFrame, targets: DataFrame, model: str = TREND) -> DataFrame:

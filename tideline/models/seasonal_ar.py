@@ -121,9 +121,14 @@ def solve_toeplitz(acov: pd.Series) -> pd.Series:
     """Autoregressive weights from autocovariances at lags 0, 1, ...; 0 for a flat series."""
     # Sums over no rows are NULL: a series too short to have the lag, taken as uncorrelated.
     moments = np.stack([np.array([0.0 if x is None else x for x in a], dtype=float) for a in acov])
+    return pd.Series(list(long_weights(moments)))
+
+
+def long_weights(moments: np.ndarray) -> np.ndarray:
+    """Weights of the long autoregression, one row per row of autocovariances."""
     apart = np.abs(np.subtract.outer(np.arange(LONG_LAGS), np.arange(LONG_LAGS)))
     floor = (LONG_PENALTY * moments[:, :1] + 1e-12)[:, :, None] * np.eye(LONG_LAGS)
-    return pd.Series(list(solve_each(moments[:, apart] + floor, moments[:, 1:])))
+    return solve_each(moments[:, apart] + floor, moments[:, 1:])
 
 
 def first_row(d: int) -> int:
@@ -318,19 +323,22 @@ def continue_series(coefficients: pd.Series, tail_y: pd.Series, tail_w: pd.Serie
     return pd.Series([row[:n] for row, n in zip(future, steps.astype(int))])
 
 
-def seasonal_paths(fit: DataFrame, horizon: DataFrame) -> DataFrame:
+def seasonal_paths(fit: DataFrame, horizon: DataFrame, keys: Sequence[str] = (KEY,),
+                   horizon_keys: Sequence[str] = (KEY,)) -> DataFrame:
     """Forecast path per fitted state; ``horizon(state, steps)`` says how far each one goes.
 
+    With several fits per state ``keys`` name one, and ``horizon_keys`` what decides its steps.
+
     A path counts as failed, and is NULL, if any of its days is no number or leaves the range of
     the data by an order of magnitude.
     """
     path = continue_series(
         "coefficients", "tail_y", "tail_w", "tail_e", "unit", F.col("d").cast("int"), "steps", "damping"
     )
-    fitted = fit.filter(F.col("coefficients").isNotNull()).join(horizon, KEY)
+    fitted = fit.filter(F.col("coefficients").isNotNull()).join(horizon, list(horizon_keys))
     lost = F.exists("path", lambda y: finite(y).isNull() | (F.abs(y) > DIVERGED * F.col("peak")))
-    paths = fitted.select(KEY, "peak", path.alias("path"))
-    return paths.select(KEY, F.when(~lost, F.col("path")).alias("path"))
+    paths = fitted.select(*keys, "peak", path.alias("path"))
+    return paths.select(*keys, F.when(~lost, F.col("path")).alias("path"))
 
 
 def predict_seasonal_ar(fit: DataFrame, targets: DataFrame, model: str = ARIMA) -> DataFrame:

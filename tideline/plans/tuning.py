@@ -16,9 +16,10 @@ from pyspark.sql import functions as F
 
 from tideline import config as c
 from tideline.functions.metrics import rmse
-from tideline.models import fourier, pooled, seasonal_ar
+from tideline.models import fold_fits, fourier, pooled, seasonal_ar
 from tideline.models.tree_arrays import numbers, staged_predictions, tree_arrays
 from tideline.operators.features import complete_rows
+from tideline.operators.folds import FOLDS, mean_over_folds
 from tideline.operators.scoring import best_configuration
 from tideline.operators.split import TEST, TRAIN, split_series, with_enough_rows
 from tideline.session import materialize
@@ -86,6 +87,19 @@ def tune_trend(train: DataFrame) -> DataFrame:
     return best_configuration(score_trend(train), "rmse", ("mode", "yearly"))
 
 
+def tune_seasonal_ar_folds(train: DataFrame, folds: int = FOLDS, orders: Sequence[tuple] | None = None,
+                           largest_root: float | None = None) -> DataFrame:
+    """Order with the smallest mean error over expanding windows, per state."""
+    scores = fold_fits.score_seasonal_folds(train, orders, folds, largest_root)
+    return best_configuration(mean_over_folds(scores, ["grid_id", "p", "d", "q"]), "rmse", ("p", "d", "q"))
+
+
+def tune_trend_folds(train: DataFrame, folds: int = FOLDS) -> DataFrame:
+    """Trend configuration with the smallest mean error over expanding windows, per state."""
+    scores = mean_over_folds(fold_fits.score_trend_folds(train, folds=folds), ["mode", "yearly"])
+    return best_configuration(_numbered(scores, trend_grid()), "rmse", ("mode", "yearly"))
+
+
 def _numbered(scores: DataFrame, points: Sequence[dict]) -> DataFrame:
     number = F
     for i, point in enumerate(points):
