@@ -6,6 +6,7 @@ from dataclasses import dataclass, field, replace
 from functools import reduce
 from multiprocessing.pool import ThreadPool
 
+from pyspark.ml.regression import GBTRegressionModel, LinearRegressionModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,6 +26,7 @@ from tideline.operators.split import TEST, TRAIN, split_sizes
 from tideline.plans import tuning
 from tideline.plans.prepare import prepare
 from tideline.session import materialize
+from tideline.sources.stages import Unkept
 
 KEY = "state"
 
@@ -76,19 +78,19 @@ class Comparison:
     sizes: DataFrame
 
 
-def tuned(settings: Settings, train: DataFrame) -> Settings:
+def tuned(settings: Settings, train: DataFrame, stages: Unkept) -> Settings:
     """Settings of the pooled models after their grids; two single rows reach the driver.
 
     The seasonal and trend models are tuned per state inside ``fit_bases``.
     """
     changes: dict = {}
     if c.TREES in settings.models:
-        scores = materialize(tuning.score_trees(train))
+        scores = stages.table("tree_scores", lambda: tuning.score_trees(train))
         row = tuning.pooled_choice(scores, tuning.TREE_PARAMETERS).first()
         if row:
             changes["trees"] = {name: row[name] for name in tuning.TREE_PARAMETERS}
     if c.LOOKBACK_MODEL in settings.models:
-        scores = materialize(tuning.score_lookback(train))
+        scores = stages.table("lookback_scores", lambda: tuning.score_lookback(train))
         row = tuning.pooled_choice(scores, ("length",)).first()
         if row:
             changes["lookback"] = row["length"]
@@ -111,21 +113,36 @@ def trend_fit(history: DataFrame, settings: Settings) -> DataFrame:
     return fourier.fit_fourier_grid(history).join(chosen, [KEY, "mode", "yearly"])
 
 
-def fit_bases(history: DataFrame, settings: Settings) -> Fits:
-    """Fit the base models of ``settings`` on all series of ``history`` at once."""
+def fit_bases(history: DataFrame, settings: Settings, stages: Unkept | None = None,
+              name: str = "fit") -> Fits:
+    """Fit the base models of ``settings`` on all series of ``history`` at once.
+
+    Every model is a stage of its own, called ``name`` and the model's.
+    """
+    stages = stages or Unkept()
     tables, fitted = {}, {}
     if c.TREES in settings.models:
-        scale = materialize(pooled.amount_scale(history))
-        inputs = pooled.tree_inputs(history, scale)
-        fitted[c.TREES] = (pooled.fit_trees(inputs, **settings.trees), scale)
+        scale = stages.table(f"{name}_{c.TREES}_scale", lambda: pooled.amount_scale(history))
+        fitted[c.TREES] = (
+            stages.pooled(
+                f"{name}_{c.TREES}", GBTRegressionModel,
+                lambda: pooled.fit_trees(pooled.tree_inputs(history, scale), **settings.trees),
+            ),
+            scale,
+        )
     if c.TREND in settings.models:
-        tables[c.TREND] = materialize(trend_fit(history, settings))
+        tables[c.TREND] = stages.table(f"{name}_{c.TREND}", lambda: trend_fit(history, settings))
     if c.ARIMA in settings.models:
-        tables[c.ARIMA] = materialize(seasonal_fit(history, settings))
+        tables[c.ARIMA] = stages.table(f"{name}_{c.ARIMA}", lambda: seasonal_fit(history, settings))
     if c.LOOKBACK_MODEL in settings.models:
-        scale = materialize(pooled.lookback_scale(history))
-        inputs = pooled.sequence_inputs(history, scale, settings.lookback)
-        fitted[c.LOOKBACK_MODEL] = (pooled.fit_lookback(inputs), scale)
+        ranges = stages.table(f"{name}_{c.LOOKBACK_MODEL}_scale", lambda: pooled.lookback_scale(history))
+        fitted[c.LOOKBACK_MODEL] = (
+            stages.pooled(
+                f"{name}_{c.LOOKBACK_MODEL}", LinearRegressionModel,
+                lambda: pooled.fit_lookback(pooled.sequence_inputs(history, ranges, settings.lookback)),
+            ),
+            ranges,
+        )
     return Fits(tables, fitted)
 
 
@@ -167,26 +184,32 @@ def compare_models(sales: DataFrame, settings: Settings | None = None) -> Compar
     return compare_prepared(materialize(prepare(sales)), settings or Settings())
 
 
-def compare_prepared(prepared: DataFrame, settings: Settings) -> Comparison:
+def compare_prepared(prepared: DataFrame, settings: Settings, stages: Unkept | None = None) -> Comparison:
     """The comparison on an already prepared and kept table with at least one series.
 
     The stacking weights come from base models that have not seen the rows they are fitted on:
-    those are trained on the first part of the training rows and predict the rest of it.
+    those are trained on the first part of the training rows and predict the rest of it. What
+    ``stages`` has committed is not computed again.
     """
+    stages = stages or Unkept()
     train, test = rows_of(prepared, TRAIN), rows_of(prepared, TEST)
     base, meta = rows_of(prepared, "base"), rows_of(prepared, "meta")
     if settings.tune:
-        settings = tuned(settings, train)
+        settings = tuned(settings, train, stages)
     # Neither waits for the other, and a boosted fit is a long chain of small jobs.
     with ThreadPool(2) as pool:
-        base_fits, train_fits = pool.map(lambda rows: fit_bases(rows, settings), (base, train))
-    weights = materialize(refit_stack(base_fits, base, meta))
+        base_fits, train_fits = pool.map(
+            lambda part: fit_bases(part[0], settings, stages, part[1]), ((base, "base"), (train, "train"))
+        )
+    weights = stages.table("weights", lambda: refit_stack(base_fits, base, meta))
     frozen = settings.tree_scores == "frozen"
     tree_rows = frozen_over(train.select(KEY, "ds", "total", "category"), test) if frozen else None
     recursive = settings.tree_scores == "recursive"
-    predictions = materialize(stacked_predictions(train_fits, weights, train, test, tree_rows, recursive))
+    predictions = stages.table(
+        "predictions", lambda: stacked_predictions(train_fits, weights, train, test, tree_rows, recursive)
+    )
     models = [m for m in c.MODEL_ORDER if m in (*settings.models, c.STACKED)]
-    scores = materialize(evaluate(predictions, test, expected_pairs(prepared, models)))
+    scores = stages.table("scores", lambda: evaluate(predictions, test, expected_pairs(prepared, models)))
     best = select_best(scores, settings.select_by)
     return Comparison(
         prepared, settings, base_fits, train_fits, weights, predictions, scores, best,
@@ -209,7 +232,8 @@ def stacked_predictions(fits: Fits, weights: DataFrame, history: DataFrame, targ
     return on_targets.unionByName(stacked.join(weights.select(KEY), KEY, "left_semi"))
 
 
-def forecast_best(run: Comparison, days: int | DataFrame = c.HORIZON_DAYS) -> DataFrame:
+def forecast_best(run: Comparison, days: int | DataFrame = c.HORIZON_DAYS,
+                  stages: Unkept | None = None) -> DataFrame:
     """The next days of every state from its winner, refitted on all rows.
 
     ``days`` is one number for all states, or a table ``(state, days)`` with a horizon for each;
@@ -238,7 +262,7 @@ def forecast_best(run: Comparison, days: int | DataFrame = c.HORIZON_DAYS) -> Da
     tree_rows = won_by(frozen_future(dense, reach).drop("step"), c.TREES).unionByName(
         won_by(appended_future(dense, reach), c.STACKED)
     ).join(targets, [KEY, "ds"], "left_semi")
-    fits = fit_bases(run.prepared, settings)
+    fits = fit_bases(run.prepared, settings, stages, "whole")
     recursive = settings.tree_ahead == "recursive"
     base = materialize(predict_bases(fits, run.prepared, targets, tree_rows, recursive))
     stacked = stacking.predict_stack(run.weights, won_by(base, c.STACKED))

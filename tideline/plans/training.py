@@ -28,6 +28,7 @@ from tideline.sources.registry import (
     Progress,
     unsettled_sales,
 )
+from tideline.sources.stages import Stages, content_of, fingerprint
 
 KEY = "state"
 FORECAST_SCHEMA = "state string, model_used string, ds date, yhat double, last_ds date"
@@ -67,6 +68,9 @@ def train(spark: SparkSession, sales: DataFrame, folder: str, settings: Settings
     ``skipped`` and tried again when it has grown, one that no model could be scored or forecast
     for as ``failed`` and tried again by the next run; when nothing is left to train, no forecast
     comes back. Intermediate tables are removed at the end.
+
+    Preparation, every fit, weights, predictions, scores and forecasts are committed one by one:
+    the same call after an interruption goes on behind the last of them. A record removes them.
     """
     with scratch(spark):
         return _train(spark, sales, folder, settings or Settings(), days)
@@ -79,12 +83,15 @@ def _train(spark: SparkSession, sales: DataFrame, folder: str, settings: Setting
     batch = f"batch={done.count():06d}"
     todo = materialize(unsettled_sales(sales, done))
     sizes = todo.groupBy(KEY).agg(F.count("*").alias("n_rows"))
-    prepared = materialize(prepare(todo))
+    stages = Stages(spark, folder, fingerprint(content_of(todo), settings, days, batch))
+    prepared = stages.table("prepared", lambda: prepare(todo))
     if prepared.isEmpty():
         progress.record(sizes.select(KEY, F.lit(SKIPPED).alias("status"), "n_rows"))
+        stages.clear()
         return spark.createDataFrame([], FORECAST_SCHEMA)
-    run = compare_prepared(prepared, settings)
-    forecasts = materialize(forecast_best(run, days), outlive=True)
+    run = compare_prepared(prepared, settings, stages)
+    forecasts = stages.table("forecasts", lambda: forecast_best(run, days, stages))
+    forecasts = materialize(forecasts, outlive=True)
     registry = ModelRegistry(spark, f"{folder}/models/{batch}")
     save_fits(registry, run.train_fits)
     registry.save_coefficients(c.STACKED, run.weights)
@@ -95,6 +102,7 @@ def _train(spark: SparkSession, sales: DataFrame, folder: str, settings: Setting
     trained = state_status(run.scores, forecasts)
     status = F.coalesce("status", F.lit(SKIPPED)).alias("status")
     progress.record(sizes.join(trained, KEY, "left").select(KEY, status, "n_rows"))
+    stages.clear()
     return forecasts
 
 
