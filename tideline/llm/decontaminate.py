@@ -9,6 +9,9 @@ automaton, so only runs of benchmark words at least one window long enter it.
 The items are read in blocks of bounded size, one automaton at a time: a benchmark of any size
 costs bounded memory in driver and tasks, and no row is shuffled.
 
+Words are told apart by XXH64: a word of n distinct ones in the texts is mistaken for one of m in
+the items with probability n * m / 2^64, 1e-4 for 10^9 and 10^6.
+
 Defined results: null text has no words; an item without words matches nothing; a short item (fewer
 words than a window) is one window; an item without id hits but is not listed; repeated items and rows count as they are, item ids once;
 ``max_coverage`` 0.05 is inclusive; an empty benchmark hits nothing; texts are streamed whole.

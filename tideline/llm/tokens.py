@@ -12,19 +12,17 @@ from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
 import regex
 
-from tideline.llm.text import mix
-
 CHUNK_CHARS = 1 << 18
-# Pre-tokens a worker remembers; beyond that it starts anew.
-REMEMBERED = 1 << 19
-RECENT = 1 << 15
+# Pre-tokens a worker remembers, and their bytes; beyond that it starts anew.
+REMEMBERED, REMEMBERED_BYTES = 1 << 19, 1 << 25
 
 _BLANK, _SPACE, _LETTER, _NUMBER, _SIGN, _END, _OTHER = range(7)
 _END_CODE = 0xFFFF
 _END_MARK = "\uffff"
-_BASE = np.uint64(0x9E3779B97F4A7C15)
+_END_BYTES = _END_MARK.encode("utf-16-le")
 _CONTRACTION = regex.compile("'(?:s|t|re|ve|m|ll|d)")
 
 
@@ -80,76 +78,41 @@ def _word_encoder(path: str):
 
 
 class _Memory:
-    """Ids of the pre-tokens met so far: sorted hashes, and per hash a range of one pool of ids.
-
-    New ones are gathered in a small second table, which joins the large one when it is full.
-    """
+    """Ids of the pre-tokens met so far, each a range of one pool of ids."""
 
     def __init__(self, path: str):
         self.path = path
         self.clear()
 
     def clear(self) -> None:
-        empty = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.tables = [empty, empty]
+        self.known: dict[bytes, tuple[int, int]] = {}
+        self.bytes = 0
         self.pool = np.zeros(1 << 16, np.uint32)
         self.used = 0
 
-    def ranges(self, hashes: np.ndarray, text: str, starts, ends) -> tuple[np.ndarray, np.ndarray]:
-        """Offset and length in the pool, for sorted distinct hashes of the pre-tokens at ``starts``."""
-        if sum(len(t[0]) for t in self.tables) > REMEMBERED:
+    def ranges(self, pieces: list[bytes]) -> np.ndarray:
+        """Offset and length in the pool for every pre-token (UTF-16), as two rows."""
+        if len(self.known) > REMEMBERED or self.bytes > REMEMBERED_BYTES:
             self.clear()
-        offset = np.full(len(hashes), -1, np.int64)
-        size = np.zeros(len(hashes), np.int64)
-        for keys, offsets, sizes in self.tables:
-            if len(keys):
-                at = np.searchsorted(keys, hashes)
-                at[at == len(keys)] = 0
-                hit = keys[at] == hashes
-                offset[hit], size[hit] = offsets[at[hit]], sizes[at[hit]]
-        new = np.flatnonzero(offset < 0)
-        if len(new):
-            encode_word = _word_encoder(self.path)
-            found: list[int] = []
-            stops = []
-            for a, b in zip(starts[new].tolist(), ends[new].tolist()):
-                piece = text[a:b]
-                if piece != _END_MARK:
-                    found += encode_word(piece)
-                stops.append(len(found))
-            bounds = np.array([0, *stops])
-            offset[new], size[new] = self.used + bounds[:-1], np.diff(bounds)
-            if self.used + len(found) > len(self.pool):
-                grown = np.zeros(2 * (self.used + len(found)), np.uint32)
-                grown[: self.used] = self.pool[: self.used]
-                self.pool = grown
-            self.pool[self.used : self.used + len(found)] = found
-            self.used += len(found)
-            self._remember(1, (hashes[new], offset[new], size[new]))
-            if len(self.tables[1][0]) > RECENT:
-                self._remember(0, self.tables[1])
-                self.tables[1] = tuple(x[:0] for x in self.tables[1])
-        return offset, size
-
-    def _remember(self, number: int, rows) -> None:
-        joined = [np.concatenate(pair) for pair in zip(self.tables[number], rows)]
-        order = np.argsort(joined[0], kind="stable")
-        self.tables[number] = tuple(x[order] for x in joined)
+        known, found = self.known, []
+        for piece in pieces:
+            if piece not in known:
+                ids = [] if piece == _END_BYTES else _word_encoder(self.path)(piece.decode("utf-16-le"))
+                known[piece] = (self.used + len(found), len(ids))
+                found += ids
+                self.bytes += len(piece)
+        if self.used + len(found) > len(self.pool):
+            grown = np.zeros(2 * (self.used + len(found)), np.uint32)
+            grown[: self.used] = self.pool[: self.used]
+            self.pool = grown
+        self.pool[self.used : self.used + len(found)] = found
+        self.used += len(found)
+        return np.array([known[piece] for piece in pieces], np.int64).reshape(-1, 2).T
 
 
 _memory = lru_cache(maxsize=4)(_Memory)
 
 
-@lru_cache(maxsize=1)
-def _powers() -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the hash base up to the length that one sum may span, and of its inverse."""
-    n = 4 * CHUNK_CHARS
-    up = np.full(n, _BASE, dtype=np.uint64)
-    down = np.full(n, pow(int(_BASE), -1, 1 << 64), dtype=np.uint64)
-    up[0] = down[0] = 1
-    return np.cumprod(up, dtype=np.uint64), np.cumprod(down, dtype=np.uint64)
-
-
 def _starts(codes: np.ndarray, text: str) -> np.ndarray:
     """First character of every pre-token, text ends (their own pre-token) included."""
     kind = _classes()[codes]
@@ -179,23 +142,16 @@ def _encode_chunk(texts: list[str], path: str) -> list[np.ndarray]:
     if np.count_nonzero(_classes()[codes] >= _END) != len(texts):
         return _encode_mixed(texts, path)
     starts = _starts(codes, joined)
-    ends = np.append(starts[1:], len(codes))
-    up, down = _powers()
-    sums = np.zeros(len(codes) + 1, dtype=np.uint64)
-    np.cumsum((codes.astype(np.uint64) + np.uint64(1)) * up[: len(codes)], out=sums[1:])
-    hashes = mix((sums[ends] - sums[starts]) * down[starts])
-    order = np.argsort(hashes)
-    ordered = hashes[order]
-    fresh = np.ones(len(order), dtype=bool)
-    fresh[1:] = ordered[1:] != ordered[:-1]
-    first = order[fresh]
-    where = np.empty(len(order), np.int64)
-    where[order] = np.cumsum(fresh) - 1
+    bounds = 2 * np.append(starts, len(codes)).astype(np.int64)
+    # Equal pre-tokens are told by their characters, not by a hash of them.
+    distinct = pa.LargeBinaryArray.from_buffers(
+        pa.large_binary(), len(starts), [None, pa.py_buffer(bounds), pa.py_buffer(codes)]
+    ).dictionary_encode()
     memory = _memory(path)
-    offset, size = memory.ranges(ordered[fresh], joined, starts[first], ends[first])
-    sizes = size[where]
+    ranges = memory.ranges(distinct.dictionary.to_pylist())
+    offset, sizes = ranges[:, distinct.indices.to_numpy()]
     to = np.cumsum(sizes)
-    ids = memory.pool[np.repeat(offset[where] - (to - sizes), sizes) + np.arange(to[-1])]
+    ids = memory.pool[np.repeat(offset - (to - sizes), sizes) + np.arange(to[-1])]
     # A text ends with the pre-token that its end mark is.
     stops = to[codes[starts] == _END_CODE]
     return np.split(ids, stops[:-1])
