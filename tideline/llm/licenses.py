@@ -2,8 +2,9 @@
 
 A notice that may differ in ``k`` characters is split into ``k + 1`` pieces; by the pigeonhole
 principle every occurrence contains one of them unchanged. One Aho-Corasick pass finds the pieces,
-and around each hit the regex library verifies the notice with at most ``k`` errors and reports
-where it stands. Texts are compared as lower-cased words joined by single blanks.
+and around each hit the regex library verifies the notice with at most ``k`` errors, from the
+beginning of a word to the end of one, and reports where it stands. Texts are compared as
+lower-cased words joined by single blanks.
 
 Defined results: a null or empty text has no words, no places and score 0; each text is judged on
 its own; equal labels count once; texts are scanned whole; an empty table gives an empty result.
@@ -11,10 +12,12 @@ its own; equal labels count once; texts are scanned whole; an empty table gives
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from functools import lru_cache
 from typing import NamedTuple
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame
@@ -82,7 +85,8 @@ def _seeds() -> tuple[ahocorasick.Automaton, list[_Notice]]:
     notices, seeds = [], {}
     for i, (text, label) in enumerate(NOTICES):
         errors = allowed_errors(text)
-        pattern = regex.compile(f"(?b)(?:{regex.escape(text, literal_spaces=True)}){{e<={errors}}}")
+        exact = regex.escape(text, literal_spaces=True)
+        pattern = regex.compile(f"(?b)(?<![^ ])(?:{exact}){{e<={errors}}}(?![^ ])")
         notices.append(_Notice(text, label, errors, pattern))
         for offset, piece in pieces(text, errors):
             seeds.setdefault(piece, []).append((i, offset))
@@ -114,42 +118,47 @@ def phrase_places(words: str, phrase: str) -> list[int]:
     return positions
 
 
-def _matches(pattern: regex.Pattern, words: str, start: int, end: int) -> list[regex.Match]:
-    """Best match of a window, then those of what is left on either side of it, until none is found."""
-    found, open_ = [], [(start, end)]
-    while open_:
-        start, end = open_.pop()
-        if m := pattern.search(words, start, end):
-            found.append(m)
-            open_ += [(start, m.start()), (m.end(), end)]
-    return found
+def _best_apart(matches: set[tuple[int, int, int]]) -> list[tuple[int, int, int]]:
+    """Of overlapping (errors, start, end) the one with fewest errors, the leftmost of equal ones."""
+    kept: list[tuple[int, int, int]] = []  # by start
+    for errors, start, end in sorted(matches):
+        at = bisect_left(kept, (start, end, errors))
+        if (at == 0 or kept[at - 1][1] <= start) and (at == len(kept) or end <= kept[at][0]):
+            kept.insert(at, (start, end, errors))
+    return kept
 
 
 def find_notices(words: str) -> list[Found]:
-    """Notices within their error bound, leftmost first; of overlapping finds the best stays."""
+    """Notices within their error bound, leftmost first; of overlapping finds of one the best stays.
+
+    Every seed is verified in a window of its own, as long as its notice and twice its errors, so
+    the work grows with the seeds of a text, however they lie.
+    """
     automaton, notices = _seeds()
-    # Windows to verify, per notice; hits of one place fall into one window.
-    windows: dict[int, list[list[int]]] = {}
+    # Where a notice would begin without errors, as its seeds say.
+    begins: dict[int, set[int]] = {}
     for last, (length, uses) in automaton.iter(words):
         for i, offset in uses:
-            notice = notices[i]
-            start = max(0, last - length + 1 - offset - notice.errors)
-            end = last - length + 1 - offset + len(notice.text) + notice.errors
-            spans = windows.setdefault(i, [])
-            if spans and start <= spans[-1][1]:
-                spans[-1][1] = max(spans[-1][1], end)
-            else:
-                spans.append([start, end])
+            begins.setdefault(i, set()).add(last - length + 1 - offset)
+    if not begins:
+        return []
+    blanks = np.flatnonzero(np.frombuffer(words.encode("latin-1"), np.uint8) == 0x20)
     found = []
-    for i, spans in windows.items():
+    for i, starts in begins.items():
         notice = notices[i]
-        for start, end in spans:
-            for m in _matches(notice.pattern, words, start, min(end, len(words))):
-                errors = sum(m.fuzzy_counts)
-                first = words.count(" ", 0, m.start() + 1 if words[m.start()] == " " else m.start())
-                text = m[0].strip()
-                until = first + text.count(" ") + 1
-                found.append(Found(notice.label, first, until, errors, 1 - errors / len(notice.text)))
+        matches = set()
+        for at in starts:
+            stop = at + len(notice.text) + notice.errors + 1
+            m = notice.pattern.search(words, max(at - notice.errors, 0), min(stop, len(words)))
+            # The window may end inside a word, which the pattern cannot see.
+            if m and (m.end() == len(words) or words[m.end()] == " "):
+                matches.add((sum(m.fuzzy_counts), m.start(), m.end()))
+        for start, end, errors in _best_apart(matches):
+            text = words[start:end]
+            start += len(text) - len(text.lstrip())
+            first = int(np.searchsorted(blanks, start))
+            until = int(np.searchsorted(blanks, start + len(text.strip()))) + 1
+            found.append(Found(notice.label, first, until, errors, 1 - errors / len(notice.text)))
     return sorted(found, key=lambda f: (f.start, f.errors, f.label))
 
 
