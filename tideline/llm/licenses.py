@@ -3,7 +3,7 @@
 A notice that may differ in ``k`` characters is split into ``k + 1`` pieces; by the pigeonhole
 principle every occurrence contains one of them unchanged. One Aho-Corasick pass finds the pieces,
 and around each hit the regex library verifies the notice with at most ``k`` errors, from the
-beginning of a word to the end of one, and reports where it stands. Texts are compared as
+beginning of a word to the end of one (letters in front of its first one are not tried), and reports where it stands. Texts are compared as
 lower-cased words joined by single blanks.
 
 Defined results: a null or empty text has no words, no places and score 0; each text is judged on
