@@ -7,7 +7,8 @@ the items known for that state, and its words are hit. Words foreign to the benc
 automaton, so only runs of benchmark words at least one window long enter it.
 
 The items are read in blocks of bounded size, one automaton at a time: a benchmark of any size
-costs bounded memory in driver and tasks, and no row is shuffled.
+costs bounded memory in driver and tasks. With one block no row is shuffled; with several the texts
+are written once and read by each block, and what the blocks hit is joined to them once.
 
 Words are told apart by XXH64: a word of n distinct ones in the texts is mistaken for one of m in
 the items with probability n * m / 2^64, 1e-4 for 10^9 and 10^6.
@@ -20,6 +21,7 @@ words than a window) is one window; an item without id hits but is not listed; r
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -189,25 +191,17 @@ _LONGS, _STRINGS = pa.list_(pa.int64()), pa.list_(pa.string())
 
 
 def _hits_udf(spark, items: list[tuple[str, str]], window: int):
-    """Function from (text, earlier hits) to hits; earlier hits are those of other blocks."""
+    """Function from a text to its hits."""
     shared = spark.sparkContext.broadcast(Matcher(items, window))
 
     @F.arrow_udf(_HITS)
-    def hits(texts: pa.Array, earlier: pa.Array) -> pa.Array:
+    def hits(texts: pa.Array) -> pa.Array:
         rows = []
-        before = earlier.to_pylist()
         for words in word_chunks(texts, ALNUM_BYTES):
             counts = np.diff(words.bounds)
             for i, (ranges, ids) in enumerate(shared.value.match(words)):
-                old = before[words.first_row + i]
-                if old:
-                    ranges = union(ranges + list(zip(old["starts"], old["ends"])))
-                    ids = ids | set(old["items"])
                 rows.append((int(counts[i]), [s for s, _ in ranges], [e for _, e in ranges], sorted(ids)))
-        types = (pa.int64(), _LONGS, _LONGS, _STRINGS)
-        return pa.StructArray.from_arrays(
-            [pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], _HIT_NAMES
-        )
+        return _hits_array(rows)
 
     return hits
 
@@ -223,14 +217,40 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, text: str = "text", ite
     size = items.agg(F.sum(F.octet_length("body"))).first()[0] or 0
     n_blocks = max(1, -(-2 * size // block_bytes)) if size > block_bytes else 1
     block = F.pmod(F.xxhash64("id", "body"), F.lit(n_blocks))
-    out = docs.withColumn(into, F.lit(None).cast(_HITS))
-    for number in range(n_blocks):
+
+    def found_in(number: int) -> Column:
         part = [(r.id, r.body) for r in items.filter(block == number).collect()]
-        hits = _hits_udf(spark, part, window)
-        out = out.withColumn(into, hits(F.col(text), F.col(into)))
-        if n_blocks > 1:
-            out = materialize(out)
-    return out
+        return _hits_udf(spark, part, window)(F.col(text))
+
+    if n_blocks == 1:
+        return docs.withColumn(into, found_in(0))
+    # The rows are numbered and written once; a block leaves only numbers and what it hit.
+    row = free_name(docs, "row_number")
+    numbered = materialize(docs.withColumn(row, F.monotonically_increasing_id()))
+    scanned = [
+        materialize(numbered.select(row, found_in(number).alias(into)).filter(
+            F.lit(True) if number == 0 else F.size(f"{into}.starts") > 0
+        ))
+        for number in range(n_blocks)
+    ]
+    gathered = reduce(DataFrame.unionByName, scanned).groupBy(row).agg(F.collect_list(into).alias(into))
+    merged = gathered.select(row, F.arrow_udf(_merged, _HITS)(into).alias(into))
+    return numbered.join(merged, row).drop(row)
+
+
+def _merged(rows: pa.Array) -> pa.Array:
+    """Hits of all blocks in a text as one."""
+    out = []
+    for hits in rows.to_pylist():
+        ranges = union([r for h in hits for r in zip(h["starts"], h["ends"])])
+        items = sorted({i for h in hits for i in h["items"]})
+        out.append((hits[0]["n_words"], [s for s, _ in ranges], [e for _, e in ranges], items))
+    return _hits_array(out)
+
+
+def _hits_array(rows: list[tuple]) -> pa.Array:
+    types = (pa.int64(), _LONGS, _LONGS, _STRINGS)
+    return pa.StructArray.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], _HIT_NAMES)
 
 
 def hit_words(hits: str = "hits") -> Column:
