@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 import regex
 
-CHUNK_CHARS = 1 << 18
+CHUNK_CHARS = 1 << 20
 # Pre-tokens a worker remembers, and their bytes; beyond that it starts anew.
 REMEMBERED, REMEMBERED_BYTES = 1 << 19, 1 << 25
 
@@ -85,7 +85,8 @@ class _Memory:
         self.clear()
 
     def clear(self) -> None:
-        self.known: dict[bytes, tuple[int, int]] = {}
+        self.known: dict[bytes, int] = {}
+        self.bounds = np.zeros(1 << 16, np.int64)  # of pre-token i in the pool: from i to i + 1
         self.bytes = 0
         self.pool = np.zeros(1 << 16, np.uint32)
         self.used = 0
@@ -94,20 +95,28 @@ class _Memory:
         """Offset and length in the pool for every pre-token (UTF-16), as two rows."""
         if len(self.known) > REMEMBERED or self.bytes > REMEMBERED_BYTES:
             self.clear()
-        known, found = self.known, []
-        for piece in pieces:
-            if piece not in known:
-                ids = [] if piece == _END_BYTES else _word_encoder(self.path)(piece.decode("utf-16-le"))
-                known[piece] = (self.used + len(found), len(ids))
-                found += ids
-                self.bytes += len(piece)
+        known, found, stops = self.known, [], []
+        numbers = np.fromiter((known.get(piece, -1) for piece in pieces), np.int64, len(pieces))
+        new = np.flatnonzero(numbers < 0)
+        numbers[new] = np.arange(len(known), len(known) + len(new))
+        encode_word = _word_encoder(self.path)
+        for i in new.tolist():
+            piece = pieces[i]
+            if piece != _END_BYTES:
+                found += encode_word(piece.decode("utf-16-le"))
+            stops.append(self.used + len(found))
+            known[piece] = len(known)
+            self.bytes += len(piece)
+        if len(known) >= len(self.bounds):
+            self.bounds = np.concatenate([self.bounds, np.zeros(len(known) + 1, np.int64)])
+        self.bounds[len(known) - len(new) + 1 : len(known) + 1] = stops
         if self.used + len(found) > len(self.pool):
             grown = np.zeros(2 * (self.used + len(found)), np.uint32)
             grown[: self.used] = self.pool[: self.used]
             self.pool = grown
         self.pool[self.used : self.used + len(found)] = found
         self.used += len(found)
-        return np.array([known[piece] for piece in pieces], np.int64).reshape(-1, 2).T
+        return np.stack([self.bounds[numbers], self.bounds[numbers + 1] - self.bounds[numbers]])
 
 
 _memory = lru_cache(maxsize=4)(_Memory)
