@@ -1,11 +1,11 @@
 """Secrets in whole texts: an assignment-aware lexer over source, configuration and prose.
 
-Every ``=`` or ``:`` is read as a possible assignment. The lexer takes the name on its left
-(bare, quoted, dotted, camel-cased) and the expression on its right: quoted literals, references to
-other names, ``+`` chains of both, or bare words. Literals are propagated through such
-references (``key = "..."``, later ``password = key`` or ``${key}``), and a literal is reported
-when one of the names it reaches is a sensitive one and the literal looks like a credential: the
-score adds the weight of the name to the literal's entropy per character.
+``assignments`` reads name-literal pairs and references from name to name; its docstring lists the
+syntax. Literals are propagated through the references (``key = "..."``, later ``password = key`` or
+``f"{key}"``), and a literal is reported when one of the names it reaches is a sensitive one and the
+literal looks like a credential: the score adds the weight of the name to the literal's entropy per
+character, and a quoted literal of words counts as a passphrase if few of them are words that prompts
+and sentences are made of.
 
 Besides these, three base kinds are always reported: ``assign``, ``access`` and ``hex``.
 
@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tideline.llm.assignments import lex_assignments
 from tideline.llm.spans import Span, joined, masked, sha256_hex
 from tideline.llm.text import free_name, text_slices
 
@@ -52,16 +53,6 @@ NAME_PAIRS = {("api", "key"), ("access", "key"), ("private", "key"), ("secret",
 MIN_LITERAL = 8
 MIN_SCORE = 5.0
 
-_ASSIGNMENT = re.compile(
-    rf"""(?<![A-Za-z0-9_])(?P<q>["']?)(?P<name>[A-Za-z_][A-Za-z0-9_.\-]{{0,79}})(?P=q)[\x20\t]*"""
-    r"""(?::=|=>|==?|:)[\x20\t]*(?=[^\s=])"""
-)
-_LITERAL = re.compile(r""""((?:[^"\\\n]|\\.)*)"|'((?:[^'\\\n]|\\.)*)'|`([^`\n]*)`""")
-_JOIN = re.compile(r"[\x20\t]*(?:\+|\.\.?)?[\x20\t]*(?=[\"'`])")
-# An operand of a concatenation that is a name, and the operator between two operands.
-_NAME = re.compile(r"\$\{(?:env[.:])?(\w+)\}|\$(\w+)|([A-Za-z_][A-Za-z0-9_.]*)(?![A-Za-z0-9_/=.\-])")
-_PLUS = re.compile(r"(?:[\x20\t]*(?:\+|\.\.)[\x20\t]*|[\x20\t]+\.[\x20\t]+)(?=[\"'`$A-Za-z_])")
-_BARE = re.compile(r"[A-Za-z0-9+/_.=~!@#%^&*\-]+")
 _SPLIT = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|[0-9]+")
 _SENSITIVE = re.compile(
     "pass|pwd|secret|token|apikey|api[_-]key|credential|key|auth|bearer", re.IGNORECASE
@@ -82,41 +73,40 @@ def entropy(literal: str) -> float:
     return -sum(c / n * math.log2(c / n) for c in Counter(literal).values()) if n else 0.0
 
 
-def _operands(text: str, at: int) -> tuple[list[tuple[int, int]], list[str]]:
-    """Spans of the quoted literals, and the names, of a concatenation that begins at ``at``."""
-    spans, names = [], []
-    while True:
-        if m := _LITERAL.match(text, at):
-            spans.append(next(m.span(g) for g in (1, 2, 3) if m.group(g) is not None))
-            more = _JOIN.match(text, m.end()) or _PLUS.match(text, m.end())
-        elif m := _NAME.match(text, at):
-            names.append(m[1] or m[2] or m[3])
-            more = _PLUS.match(text, m.end())
-        else:
-            break
-        if not more or more.end() == m.end():
-            break
-        at = more.end()
-    return spans, names
-
-
-def lex_assignments(text: str) -> tuple[list[tuple[str, list[tuple[int, int]]]], list[tuple[str, str]]]:
-    """Name-literal pairs and name-name references of a text, in order of appearance."""
-    pairs, references = [], []
-    for m in _ASSIGNMENT.finditer(text):
-        name, at = m["name"], m.end()
-        spans, names = _operands(text, at)
-        references += [(name, used) for used in names]
-        if spans:
-            pairs.append((name, spans))
-        elif bare := _BARE.match(text, at):
-            pairs.append((name, [bare.span()]))
-    return pairs, references
+# Words of prompts, messages and sentences; a passphrase has few of them.
+COMMON_WORDS = frozenset(
+    "a an and any are as at be been but by can do for from has have here if in is it its may more must my new no "
+    "not of on or our please should that the their then there this to too was we when which will with you your "
+    "account change character characters confirm correct default digits does enter error expired failed field "
+    "forgot forgotten hint incorrect invalid key length letters login match missing name number optional "
+    "password required reset secret see set short strong token type used user username valid value weak wrong".split()
+)
+_WORD = re.compile(r"[A-Za-z]+")
+
+
+def like_credential(value: str, quoted: bool) -> bool:
+    """Whether a value reads as something to be kept, not as a word, a number of words or a prompt."""
+    if len(value) < MIN_LITERAL:
+        return False
+    words = _WORD.findall(value)
+    if any(c.isspace() for c in value):
+        # Passphrases are quoted, of four words or more, and hardly any of a prompt's words.
+        if not quoted or len(words) < 4 or len(" ".join(words)) < 0.9 * len(value):
+            return False
+        common = sum(w.lower() in COMMON_WORDS for w in words)
+        return common <= len(words) // 4 and len({w.lower() for w in words}) == len(words)
+    if any(c.isdigit() for c in value):
+        return True
+    # Letters alone: signs between them or cases that change oftener than in a name.
+    turns = sum(a.islower() and b.isupper() for a, b in zip(value, value[1:]))
+    signs = sum(not c.isalnum() and c not in "_-./:" for c in value)
+    known = any(w.lower() in COMMON_WORDS for part in words for w in _SPLIT.findall(part))
+    return quoted and not known and (signs >= 1 or 3 * turns >= len(words) + 3)
 
 
 def _reached(pairs, references) -> dict[str, float]:
     """Weight of every name: its own, or that of the most sensitive name its value is passed to."""
-    names = [name for name, _ in pairs] + [name for both in references for name in both]
+    names = [pair.name for pair in pairs] + [name for both in references for name in both]
     weight = {name: name_weight(name) for name in names}
     used_by: dict[str, set[str]] = {}
     for user, used in references:
@@ -138,15 +128,11 @@ def literal_spans(text: str) -> list[Span]:
     pairs, references = lex_assignments(text)
     weights = _reached(pairs, references)
     spans = set()
-    for name, parts in pairs:
-        weight = weights[name]
-        value = "".join(text[s:e] for s, e in parts)
-        # Prose after a colon is words of letters; a credential mixes in digits.
-        if not weight or len(value) < MIN_LITERAL or not any(c.isdigit() for c in value):
-            continue
-        if any(c.isspace() for c in value) or weight + entropy(value) < MIN_SCORE:
-            continue
-        spans |= {("literal", s, e) for s, e in parts if e > s}
+    for pair in pairs:
+        weight = weights[pair.name]
+        value = "".join(text[s:e] for s, e in pair.spans)
+        if weight and like_credential(value, pair.quoted) and weight + entropy(value) >= MIN_SCORE:
+            spans |= {("literal", s, e) for s, e in pair.spans if e > s}
     return sorted(spans, key=lambda x: (x[1], x[2]))
 
 
