@@ -229,3 +229,23 @@ def test_bits_of_a_long_text(monkeypatch):
     monkeypatch.setattr(simhash, "STEP", 7)
     assert simhash.fingerprint_of(simhash.shingle_hashes(text)) == whole
     assert simhash.fingerprint_of(np.array([3, 1], np.uint64)) == 1
+
+
+def test_many_distinct_words_are_counted(monkeypatch):
+    import pyarrow as pa
+
+    r = random.Random(11)
+    texts = [" ".join(r.choice("abcdef") for _ in range(50)) for _ in range(6)]
+    batch = pa.RecordBatch.from_arrays([pa.array(["x", "y"] * 3), pa.array(texts)], ["lang", "text"])
+    (words,) = collocations._chunks([batch])
+    at = np.flatnonzero(words.joined[:-1] & words.joined[1:])
+    plain = collocations._counted(words, at, 3).to_pylist()
+    expected = Counter(
+        (lang, *ws[i : i + 3]) for lang, t in zip(["x", "y"] * 3, texts) for ws in [t.split()] for i in range(48)
+    )
+    assert Counter({(p["lang"], p["w1"], p["w2"], p["w3"]): p["n"] for p in plain}) == expected
+    # A dictionary too large for one number per phrase.
+    padded = pa.concat_arrays([words.words, pa.array([f"w{i}" for i in range(3_000_000)], pa.large_string())])
+    wide = collocations.Words(words.langs, padded, words.lang, words.word, words.joined)
+    again = collocations._counted(wide, at, 3).to_pylist()
+    assert sorted(map(repr, again)) == sorted(map(repr, plain))

@@ -45,6 +45,7 @@ ABSORBED_PERCENT = 50
 UNIT = 1_000_000
 # Scores down to which everything is counted, one after the other. More levels cost more passes.
 LEVELS = (250_000, 20_000, 0)
+# Both sizes are powers of two.
 CELLS = 1 << 22
 FILTER_BITS = 1 << 25
 # Bytes of text counted at once, and numbers in one row of a table that travels to the tasks.
@@ -135,17 +136,24 @@ def _words(lang: pa.Array, data: np.ndarray, text_start: np.ndarray) -> Words:
 
 
 def _entry_hashes(words: Words) -> np.ndarray:
-    """Hash of (language, word) for every word occurrence."""
-    keys, back = np.unique(words.keys(), return_inverse=True)
-    n = max(len(words.words), 1)
-    return _hashes(words.langs.take(pa.array(keys // n)), words.words.take(pa.array(keys % n)))[back]
+    """Hash of (language, word) for every word occurrence; each distinct word is hashed once."""
+    return _joined_hashes(_text_hashes(words.langs)[words.lang], _text_hashes(words.words)[words.word])
 
 
-def _hashes(lang: pa.Array, word: pa.Array) -> np.ndarray:
+def _text_hashes(texts: pa.Array) -> np.ndarray:
     digest = xxhash.xxh64_intdigest
-    seeds = {x: digest(x.encode()) for x in lang.unique().to_pylist()}
-    pairs = zip(lang.to_pylist(), word.to_pylist())
-    return np.fromiter((digest(w.encode(), seeds[x]) for x, w in pairs), np.uint64, len(word))
+    return np.fromiter(map(digest, texts.cast(pa.large_binary()).to_pylist()), np.uint64, len(texts))
+
+
+def _joined_hashes(lang: np.ndarray, word: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        return mix(word + lang * np.uint64(0xD6E8FEB86659FD93))
+
+
+def _hashes(lang: pa.Array, word: pa.Array) -> np.ndarray:
+    """The same for rows of a table."""
+    langs = lang.dictionary_encode()
+    return _joined_hashes(_text_hashes(langs.dictionary)[langs.indices.to_numpy()], _text_hashes(word))
 
 
 def _pair_hashes(first: np.ndarray, second: np.ndarray) -> np.ndarray:
@@ -154,26 +162,34 @@ def _pair_hashes(first: np.ndarray, second: np.ndarray) -> np.ndarray:
 
 
 def _positions(hashes: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Two of the ``size`` bits of a filter for every hash."""
-    return ((hashes % np.uint64(size)).astype(np.int64),
-            ((hashes >> np.uint64(33)) % np.uint64(size)).astype(np.int64))
+    """Two of the ``size`` bits (a power of two) of a filter for every hash."""
+    last = np.uint64(size - 1)
+    return (hashes & last).astype(np.int64), ((hashes >> np.uint64(33)) & last).astype(np.int64)
 
 
 def _counted(words: Words, at: np.ndarray, size: int) -> pa.RecordBatch:
     """Distinct phrases of ``size`` words that begin at the positions ``at``, with their counts."""
     n = max(len(words.words), 1)
     codes = words.keys()[at]
-    tails = []
+    top = len(words.langs) * n
+    tables: list[np.ndarray | None] = []
     for k in range(1, size):
-        # Number the distinct beginnings anew, so that a number and a word fit in 64 bits.
-        begins, back = np.unique(codes, return_inverse=True)
-        tails.append(begins)
-        codes = back.astype(np.int64) * n + words.word[at + k]
+        # Where a number for the beginning and one for a word no longer fit in 64 bits, the distinct
+        # beginnings are numbered anew.
+        table = None
+        if top > (1 << 62) // n:
+            table, codes = np.unique(codes, return_inverse=True)
+            top = len(table)
+        tables.append(table)
+        codes = codes.astype(np.int64) * n + words.word[at + k]
+        top *= n
     codes, count = np.unique(codes, return_counts=True)
     parts = []
-    for begins in reversed(tails):
+    for table in reversed(tables):
         parts.append(codes % n)
-        codes = begins[codes // n]
+        codes = codes // n
+        if table is not None:
+            codes = table[codes]
     parts.append(codes % n)
     columns = [words.langs.take(pa.array(codes // n)).cast(pa.string())]
     columns += [words.words.take(pa.array(p)).cast(pa.string()) for p in reversed(parts)]
@@ -233,7 +249,7 @@ class _Counts:
 
         @F.arrow_udf("bigint")
         def cell(lang: pa.Array, word: pa.Array) -> pa.Array:
-            return pa.array((_hashes(lang, word) % np.uint64(size)).astype(np.int64))
+            return pa.array((_hashes(lang, word) & np.uint64(size - 1)).astype(np.int64))
 
         step = F.least(F.floor(F.log2("n") * STEPS), F.lit(253)).cast("int") + 1
         cells = words.select(cell("lang", "w1").alias("at"), step.alias("step")).groupBy("at").agg(
@@ -248,7 +264,7 @@ class _Counts:
         self.high[254] = np.inf
 
     def of(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        at = (hashes % np.uint64(len(self.least))).astype(np.int64)
+        at = (hashes & np.uint64(len(self.least) - 1)).astype(np.int64)
         return self.low[self.least[at]], self.high[self.most[at]]
 
 
