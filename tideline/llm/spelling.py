@@ -40,7 +40,7 @@ FORM_RATIO = 10
 SLIP_RATE = 31
 # Words the upper trees are fitted on, words that a leaf should hold, and leaves at most.
 SAMPLE_WORDS = 200_000
-LEAF_WORDS = 100_000
+LEAF_WORDS = 15_000
 MOST_LEAVES = 4_096
 # Words that are compared without further splits, rows that choose a split, pairs compared at once.
 FEW_WORDS = 48
