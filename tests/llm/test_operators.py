@@ -165,9 +165,12 @@ def test_recall_without_clusters(spark):
 
 def test_queries_of_small_parts_get_all_ranks(spark, monkeypatch):
     sides = neighbours.Router(
-        np.zeros(2), np.ones(2), np.array([[1.0, -1.0], [0.0, 0.0]]), np.zeros(2), np.eye(2), np.zeros(2), probes=1
+        np.zeros(2), np.ones(2), np.array([[1.0, -1.0], [0.0, 0.0]]), np.zeros(2), np.eye(2), np.zeros(2)
     )
+    monkeypatch.setattr(neighbours, "TUNING_QUERIES", 2)
+    monkeypatch.setattr(neighbours, "ROWS_PER_PART", 1)
     monkeypatch.setattr(neighbours, "fit_router", lambda sample: sides)
+    monkeypatch.setattr(neighbours, "choose_setting", lambda *_: (1, 0.0))
     rows = [(i, [1.0 + i, 1.0]) for i in range(3, 60)] + [(i, [-1.0 - i, 1.0]) for i in range(3)]
     table = spark.createDataFrame(rows + [(0, [-1.5, 1.0])] * 12, "vec_id bigint, embedding array<double>")
     asks = (F.col("vec_id") == 0) & (F.col("embedding")[0] == -1.0)

@@ -1,14 +1,17 @@
 """Approximate nearest neighbours by learned partitions of a neighbour graph.
 
-Fitting uses a bounded sample: its exact neighbour graph is cut into balanced parts by label
-propagation under a size limit, and a small softmax classifier learns from a vector the share of its
-neighbours in each part. Every row of the table is then routed to its most probable part, every
-query to the several most probable ones; how many is chosen on the sample, against its exact
-neighbours. A query whose parts hold too few rows goes on to its next most probable ones. Candidates
-of the probed parts are reranked by exact distance.
-
-Reranking works on blocks: a part's rows and the queries that probe it are dealt into blocks of
-bounded size, and every pair of blocks of a part is one task that keeps the best of each query.
+1. A bounded sample's exact neighbour graph is cut into balanced parts by label propagation under a
+   size limit, and a small softmax classifier learns from a vector the share of its neighbours in
+   each part.
+2. A part that holds more than ``LEAF_ROWS`` rows is cut again in the same way, from a sample of its
+   own, one task a part; so there are more leaves the more rows there are, up to 64 x 64.
+3. Every row is placed in its most probable leaf, or in its two or three most probable ones. A query
+   probes leaves, most probable first, until they hold a given share of the probability. Copies and
+   share are chosen together: for a few hundred rows the exact neighbours among all rows are found,
+   and of the settings that would find ``TARGET_RECALL`` of them the one that reads least is taken.
+4. A query whose leaves hold too few rows goes on to its next ones. Candidates of the probed leaves
+   are reranked by exact distance, in blocks: a leaf's rows and the queries that probe it are dealt
+   into blocks of bounded size, and every pair of blocks is one task that keeps the best of a query.
 
 Defined results: vectors that are null, empty, zero, of another dimension than the sample's most
 common one, or hold null or non-finite components take no part, as row or query; equal distances go
@@ -18,6 +21,7 @@ neighbour; with fewer candidates than asked for, all are returned; an empty tabl
 
 from __future__ import annotations
 
+import pickle
 from dataclasses import dataclass
 
 import numpy as np
@@ -29,13 +33,17 @@ from pyspark.sql.window import Window
 
 from tideline.session import materialize
 
-# Bounds of the sample the index is fitted on, and of the queries the probes are chosen with.
+# Bounds of the sample that a cut is fitted on, and of the rows whose exact neighbours are found.
 SAMPLE_ROWS = 6_000
-TUNING_QUERIES = 600
+TUNING_QUERIES = 500
 GRAPH_NEIGHBOURS = 10
-ROWS_PER_PART = 250
+# Sampled rows in a part, parts of one cut, and rows in a part from which it is cut again.
+ROWS_PER_PART = 95
 MOST_PARTS = 64
-TARGET_RECALL = 0.985
+LEAF_ROWS = 20_000
+MOST_COPIES = 3
+# Share of the exact neighbours that the tuning rows are to find; the error of 500 rows is below 0.01.
+TARGET_RECALL = 0.93
 BLOCK_ROWS = 20_000
 BLOCK_QUERIES = 2_000
 TRAINING_STEPS = 300
@@ -104,7 +112,7 @@ def balanced_parts(near: np.ndarray, rows: np.ndarray, n_parts: int, rng) -> np.
 
 @dataclass
 class Router:
-    """Softmax classifier over parts, and how many parts a query probes."""
+    """Softmax classifier over parts."""
 
     mean: np.ndarray
     scale: np.ndarray
@@ -112,16 +120,59 @@ class Router:
     hidden_bias: np.ndarray
     weight: np.ndarray
     bias: np.ndarray
-    probes: int = 1
 
-    def logits(self, vectors: np.ndarray) -> np.ndarray:
+    def probabilities(self, vectors: np.ndarray) -> np.ndarray:
         z = (vectors - self.mean) / self.scale
-        return np.maximum(z @ self.hidden + self.hidden_bias, 0) @ self.weight + self.bias
+        logits = np.maximum(z @ self.hidden + self.hidden_bias, 0) @ self.weight + self.bias
+        e = np.exp(logits - logits.max(axis=1, keepdims=True))
+        return e / e.sum(axis=1, keepdims=True)
 
-    def parts(self, vectors: np.ndarray, n: int) -> np.ndarray:
-        """The ``n`` most probable parts of each vector, most probable first."""
-        logits = self.logits(vectors)
-        return np.argsort(-logits, axis=1, kind="stable")[:, :n]
+
+@dataclass
+class Index:
+    """Leaves: the parts of a router, and in place of a large part the parts of its own router."""
+
+    top: Router
+    below: dict[int, Router]
+    copies: int = 1
+    share: float = 1.0  # of the probability that a query probes
+
+    def __post_init__(self):
+        sizes = [len(self.below[i].bias) if i in self.below else 1 for i in range(len(self.top.bias))]
+        self.first = np.concatenate(([0], np.cumsum(sizes)))
+
+    @property
+    def n_leaves(self) -> int:
+        return int(self.first[-1])
+
+    def probabilities(self, vectors: np.ndarray, only: np.ndarray | None = None) -> np.ndarray:
+        """Probability of every leaf; with ``only`` (rows by parts) 0 outside the parts chosen."""
+        top = self.top.probabilities(vectors)
+        out = np.zeros((len(vectors), self.n_leaves))
+        for part, probability in enumerate(top.T):
+            rows = slice(None) if only is None else np.flatnonzero(only[:, part])
+            a, b = self.first[part], self.first[part + 1]
+            inside = self.below[part].probabilities(vectors[rows]) if part in self.below else 1.0
+            out[rows, a:b] = probability[rows, None] * inside
+        return out
+
+    def homes(self, vectors: np.ndarray, n: int) -> np.ndarray:
+        """The ``n`` most probable leaves of each row within its ``n`` most probable parts; -1 for none."""
+        top = self.top.probabilities(vectors)
+        chosen = np.zeros(top.shape, dtype=bool)
+        np.put_along_axis(chosen, np.argsort(-top, axis=1, kind="stable")[:, :n], True, axis=1)
+        leaves = self.probabilities(vectors, chosen)
+        order = np.argsort(-leaves, axis=1, kind="stable")[:, :n]
+        found = np.where(np.take_along_axis(leaves, order, axis=1) > 0, order, -1)
+        found[:, 0] = order[:, 0]
+        return np.pad(found, ((0, 0), (0, n - found.shape[1])), constant_values=-1)
+
+    def order(self, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Leaves of each query, most probable first, and the probability of those before each."""
+        leaves = self.probabilities(vectors)
+        order = np.argsort(-leaves, axis=1, kind="stable")
+        sums = np.cumsum(np.take_along_axis(leaves, order, axis=1), axis=1)
+        return order, np.hstack([np.zeros((len(order), 1)), sums[:, :-1]])
 
 
 def _train_router(rows: np.ndarray, shares: np.ndarray, rng, width: int = 128) -> Router:
@@ -148,30 +199,52 @@ def _train_router(rows: np.ndarray, shares: np.ndarray, rng, width: int = 128) -
     return Router(mean, scale, *p)
 
 
-def fit_router(rows: np.ndarray, target: float = TARGET_RECALL, seed: int = 7) -> Router:
-    """Fit partition and classifier on a sample, and choose the probes that reach ``target``."""
+def single_part(dimension: int) -> Router:
+    d = dimension
+    return Router(np.zeros(d), np.ones(d), np.zeros((d, 1)), np.zeros(1), np.zeros((1, 1)), np.zeros(1))
+
+
+def fit_router(rows: np.ndarray, n_parts: int | None = None, seed: int = 7) -> Router:
+    """Cut the neighbour graph of a sample, and fit a classifier to it."""
     rng = np.random.default_rng(seed)
-    n_parts = int(np.clip(len(rows) // ROWS_PER_PART, 1, MOST_PARTS))
+    most = int(np.clip(len(rows) // ROWS_PER_PART, 1, MOST_PARTS))
+    n_parts = min(n_parts or most, most)
     if n_parts == 1:
-        d = rows.shape[1]
-        return Router(np.zeros(d), np.ones(d), np.zeros((d, 1)), np.zeros(1), np.zeros((1, 1)), np.zeros(1))
+        return single_part(rows.shape[1])
     near = _nearest(rows, min(GRAPH_NEIGHBOURS, len(rows) - 1))
     part = balanced_parts(near, rows, n_parts, rng)
     shares = np.zeros((len(rows), n_parts))
     np.add.at(shares, (np.repeat(np.arange(len(rows)), near.shape[1]), part[near].ravel()), 1)
     np.add.at(shares, (np.arange(len(rows)), part), 1)
-    router = _train_router(rows, shares / shares.sum(axis=1, keepdims=True), rng)
-    # Recall on the sample itself, with rows placed as the whole table will be.
-    home = router.parts(rows, 1)[:, 0]
-    tried = rng.permutation(len(rows))[:TUNING_QUERIES]
-    order = router.parts(rows[tried], n_parts)
-    rank = np.argsort(order, axis=1)
-    found_at = np.take_along_axis(rank, home[near[tried]], axis=1)
-    recall = [(found_at < n).mean() for n in range(1, n_parts + 1)]
-    # One more than the sample needs: its neighbours are farther apart than the table's, but the
-    # classifier has seen the sample.
-    router.probes = min(n_parts, 2 + int(np.searchsorted(recall, target)))
-    return router
+    return _train_router(rows, shares / shares.sum(axis=1, keepdims=True), rng)
+
+
+def choose_setting(index: Index, queries: np.ndarray, neighbours: list[np.ndarray],
+                   held: np.ndarray, target: float = TARGET_RECALL) -> tuple[int, float]:
+    """Copies and share that find ``target`` of the neighbours and make queries read least.
+
+    ``neighbours`` are the most probable leaves of each query's exact neighbours; ``held[c, leaf]``
+    the rows that have the leaf as their copy number ``c``.
+    """
+    order, before = index.order(queries)
+    place = np.argsort(order, axis=1)
+    best = None
+    for copies in range(1, MOST_COPIES + 1):
+        # Probability passed before the first leaf that holds the neighbour; it is found if that much is probed.
+        passed = [
+            np.take_along_axis(np.append(before[q], np.inf),
+                               np.where(homes >= 0, place[q][homes], len(before[q])).min(axis=1), axis=0)
+            for q, homes in enumerate(x[:, :copies] for x in neighbours)
+        ]
+        needed = np.sort(np.concatenate(passed))
+        if not len(needed):
+            return 1, 0.0
+        share = float(needed[int(np.ceil(target * len(needed))) - 1])
+        rows = held[:copies].sum(axis=0)
+        read = float((rows[order] * (before <= share)).sum(axis=1).mean())
+        if best is None or read < 0.98 * best[0]:
+            best = (read, copies, share)
+    return best[1], best[2]
 
 
 def _matrix(vectors: pa.Array) -> np.ndarray:
@@ -179,42 +252,39 @@ def _matrix(vectors: pa.Array) -> np.ndarray:
     return values.reshape(len(vectors), -1) if len(vectors) else np.zeros((0, 1))
 
 
-def route(router, n: int):
-    """Function from a vector column to its ``n`` most probable parts."""
+def route(index, n: int):
+    """Function from a vector column to its ``n`` most probable leaves, -1 where there are fewer."""
 
     @F.arrow_udf("array<int>")
     def routed(vectors: pa.Array) -> pa.Array:
-        model = router.value
         if not len(vectors):
             return pa.array([], pa.list_(pa.int32()))
-        found = model.parts(_matrix(vectors), n)
-        return pa.array(found.tolist(), pa.list_(pa.int32()))
+        return pa.array(index.value.homes(_matrix(vectors), n).tolist(), pa.list_(pa.int32()))
 
     return routed
 
 
-def probe(router, held: dict[int, int]):
-    """Function from a query vector and the rows it needs to the parts it probes.
+def probe(index, held: np.ndarray):
+    """Function from a query vector and the rows it needs to the leaves it probes.
 
-    These are the probes and, until they hold that many rows together, the next most probable parts.
+    These are the leaves up to the share of probability and, until they are home to that many rows,
+    the next most probable ones.
     """
 
     @F.arrow_udf("array<int>")
     def probed(vectors: pa.Array, needed: pa.Array) -> pa.Array:
-        model = router.value
         if not len(vectors):
             return pa.array([], pa.list_(pa.int32()))
-        order = model.parts(_matrix(vectors), len(model.bias))
-        counts = np.array([held.get(i, 0) for i in range(len(model.bias))])
-        within = counts[order].cumsum(axis=1)
+        order, before = index.value.order(_matrix(vectors))
+        within = held[order].cumsum(axis=1)
         few = (within < needed.to_numpy(zero_copy_only=False)[:, None]).sum(axis=1)
-        n = np.maximum(model.probes, few + 1)
+        n = np.maximum((before <= index.value.share).sum(axis=1), few + 1)
         return pa.array([row[:i].tolist() for row, i in zip(order, n)], pa.list_(pa.int32()))
 
     return probed
 
 
-def sample_vectors(rows: DataFrame, n: int = SAMPLE_ROWS) -> tuple[np.ndarray, int]:
+def sample_vectors(rows: DataFrame, n: int) -> tuple[np.ndarray, int]:
     """The ``n`` usable vectors with the smallest hashed ids, of their most common dimension."""
     picked = rows.orderBy(F.xxhash64("id"), "id").limit(n).select("vector").toArrow()["vector"].to_pylist()
     if not picked:
@@ -224,16 +294,73 @@ def sample_vectors(rows: DataFrame, n: int = SAMPLE_ROWS) -> tuple[np.ndarray, i
     return np.array([v for v in picked if len(v) == dimension], dtype=np.float64), dimension
 
 
-_FOUND = "query_id bigint, vec_id bigint, score double"
+def fit_below(rows: DataFrame, top: Router, leaf_rows: int) -> dict[int, Router]:
+    """Routers of the parts with more than ``leaf_rows`` rows, each fitted by one task on a sample."""
+    index = rows.sparkSession.sparkContext.broadcast(Index(top, {}))
+    parted = rows.select("id", "vector", F.element_at(route(index, 1)(F.col("vector")), 1).alias("part"))
+    sizes = parted.groupBy("part").agg(F.count("*").alias("n")).filter(F.col("n") > leaf_rows)
+    large = parted.join(sizes, "part")
+    order = Window.partitionBy("part").orderBy(F.xxhash64("id", F.lit(2)), "id")
+    sample = large.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= SAMPLE_ROWS)
+
+    def fit(group: pd.DataFrame) -> pd.DataFrame:
+        vectors = np.stack(group["vector"].to_numpy()).astype(np.float64)
+        wanted = -(-int(group["n"].iloc[0]) // leaf_rows)
+        return pd.DataFrame({"part": [group["part"].iloc[0]], "router": [pickle.dumps(fit_router(vectors, wanted))]})
+
+    # At most MOST_PARTS small networks.
+    fitted = sample.select("part", "vector", "n").groupBy("part").applyInPandas(fit, "part int, router binary")
+    return {r.part: pickle.loads(r.router) for r in fitted.collect()}
+
+
+def exact_neighbours(placed: DataFrame, queries: np.ndarray, k: int) -> list[np.ndarray]:
+    """Leaves of the ``k`` nearest rows of a few queries among all rows, as a matrix per query.
+
+    A row at distance zero is the query itself, or as good as it for this purpose.
+    """
+    asked = placed.sparkSession.sparkContext.broadcast(queries)
+
+    def best(batches):
+        q = asked.value
+        squares = (q**2).sum(axis=1)[:, None]
+        distance = np.full((len(q), k), np.inf)
+        homes = np.full((len(q), k, MOST_COPIES), -1, dtype=np.int64)
+        for batch in batches:
+            rows, own = _matrix(batch.column(0)), _matrix(batch.column(1)).astype(np.int64)
+            for i in range(0, len(rows), 1024):
+                r, h = rows[i : i + 1024], own[i : i + 1024]
+                d = np.maximum(squares - 2 * q @ r.T + (r**2).sum(axis=1)[None, :], 0)
+                d[d <= 1e-12 * squares] = np.inf
+                both = np.hstack([distance, d])
+                at = np.argpartition(both, k - 1, axis=1)[:, :k]
+                all_homes = np.concatenate([homes, np.broadcast_to(h, (len(q), *h.shape))], axis=1)
+                homes = np.take_along_axis(all_homes, at[:, :, None], axis=1)
+                distance = np.take_along_axis(both, at, axis=1)
+        number, column = np.nonzero(np.isfinite(distance))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(number, pa.int32()), pa.array(distance[number, column]),
+             pa.array(homes[number, column].tolist(), pa.list_(pa.int32()))], ["query", "distance", "homes"],
+        )
+
+    found = placed.select("vector", "homes").mapInArrow(best, "query int, distance double, homes array<int>")
+    order = Window.partitionBy("query").orderBy("distance")
+    nearest_ = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).toPandas()
+    empty = np.zeros((0, MOST_COPIES), dtype=np.int64)
+    groups = {q: np.stack(g["homes"].to_numpy()).astype(np.int64) for q, g in nearest_.groupby("query")}
+    return [groups.get(q, empty) for q in range(len(queries))]
+
+
+_FOUND = "query_id bigint, vec_id bigint, row bigint, score double"
 
 
 def _block_search(k: int):
     def search(queries: pd.DataFrame, rows: pd.DataFrame) -> pd.DataFrame:
         if queries.empty or rows.empty:
-            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
+            return pd.DataFrame({"query_id": [], "vec_id": [], "row": [], "score": []})
         q = np.stack(queries["vector"].to_numpy()).astype(np.float64)
         r = np.stack(rows["vector"].to_numpy()).astype(np.float64)
         ids, own = rows["id"].to_numpy(), queries["id"].to_numpy()
+        numbers = rows["row"].to_numpy()
         squares = (r**2).sum(axis=1)
         # Rounding of the product form, generously: only a filter for the exact distances below.
         slack = 1e-9 * (squares.max() + (q**2).sum(axis=1).max() + 1e-300)
@@ -247,54 +374,102 @@ def _block_search(k: int):
                 near = np.flatnonzero((row <= limit + slack) & np.isfinite(row))
                 exact = np.sqrt(((r[near] - q[i + j]) ** 2).sum(axis=1))
                 best = np.lexsort((ids[near], exact))[:k]
-                parts.append((own[i + j], ids[near[best]], exact[best]))
+                parts.append((own[i + j], near[best], exact[best]))
         return pd.DataFrame({
             "query_id": np.concatenate([np.full(len(x), a) for a, x, _ in parts]),
-            "vec_id": np.concatenate([x for _, x, _ in parts]),
+            "vec_id": np.concatenate([ids[x] for _, x, _ in parts]),
+            "row": np.concatenate([numbers[x] for _, x, _ in parts]),
             "score": np.concatenate([s for _, _, s in parts]),
         })
 
     return search
 
 
+def build_index(rows: DataFrame, k: int, leaf_rows: int = LEAF_ROWS) -> tuple[Index, DataFrame, np.ndarray, int]:
+    """Index of ``rows(id, vector, asks)``, its placed rows, and the rows at home in every leaf."""
+    spark = rows.sparkSession
+    sample, dimension = sample_vectors(rows, SAMPLE_ROWS + TUNING_QUERIES)
+    # Rows that choose the setting are not among those the cut is fitted on, but for small tables.
+    tuning, rest = sample[:TUNING_QUERIES], sample[TUNING_QUERIES:]
+    rows = rows.filter(F.size("vector") == dimension)
+    if len(rest) < 2 * ROWS_PER_PART:
+        index = Index(single_part(max(dimension, 1)), {})
+    else:
+        top = fit_router(rest)
+        index = Index(top, fit_below(rows, top, leaf_rows))
+    shared = spark.sparkContext.broadcast(index)
+    homes = route(shared, MOST_COPIES)(F.col("vector"))
+    placed = materialize(
+        rows.withColumns({"homes": homes, "row": F.monotonically_increasing_id()})
+    )
+    # Rows per leaf and copy: a few thousand numbers at most.
+    held = np.zeros((MOST_COPIES, index.n_leaves), dtype=np.int64)
+    counts = placed.select(F.posexplode("homes").alias("copy", "leaf")).filter("leaf >= 0")
+    for r in counts.groupBy("copy", "leaf").count().collect():
+        held[r.copy, r.leaf] = r["count"]
+    if index.n_leaves > 1:
+        index.copies, index.share = choose_setting(index, tuning, exact_neighbours(placed, tuning, k), held)
+    return index, placed, held, dimension
+
+
 def nearest(table: DataFrame, is_query: Column, k: int = 10, key: str = "vec_id",
-            vector: str = "embedding") -> DataFrame:
+            vector: str = "embedding", leaf_rows: int = LEAF_ROWS) -> DataFrame:
     """The ``k`` nearest rows found for every query row: query_id, rank, vec_id, score."""
     spark = table.sparkSession
     rows = table.select(
         F.col(key).alias("id"), F.col(vector).alias("vector"), F.coalesce(is_query, F.lit(False)).alias("asks")
     ).filter(F.col("id").isNotNull() & usable(F.col("vector")))
-    sample, dimension = sample_vectors(rows)
-    router = spark.sparkContext.broadcast(fit_router(sample) if len(sample) else None)
-    rows = rows.filter(F.size("vector") == dimension)
-    home = route(router, 1)(F.col("vector"))
-    placed = materialize(rows.withColumn("part", F.element_at(home, 1)))
-    # Rows per part, at most MOST_PARTS numbers; rows with a query's own id are no candidates.
-    held = {r.part: r["count"] for r in placed.groupBy("part").count().collect()}
-    queries = placed.filter("asks").drop("part")
-    own = placed.join(queries.select("id").distinct(), "id", "left_semi").groupBy("id").agg(F.count("*").alias("own"))
-    asked = materialize(
-        queries.join(own, "id")
-        .withColumn("part", F.explode(probe(router, held)(F.col("vector"), F.col("own") + k)))
-        .drop("own")
-    )
-    # Blocks per part, from its counts; ids are dealt by hash.
-    sizes = placed.groupBy("part").agg(F.ceil(F.count("*") / BLOCK_ROWS).alias("row_blocks")).join(
-        asked.groupBy("part").agg(F.ceil(F.count("*") / BLOCK_QUERIES).alias("query_blocks")), "part"
+    index, placed, held, _ = build_index(rows, k, leaf_rows)
+    asked = materialize(probing(placed, index, held, k))
+    stored = placed.select("id", "vector", "row", F.explode(F.slice("homes", 1, index.copies)).alias("leaf"))
+    stored = stored.filter("leaf >= 0")
+    # Blocks per leaf, from its counts; ids are dealt by hash.
+    sizes = stored.groupBy("leaf").agg(F.ceil(F.count("*") / BLOCK_ROWS).alias("row_blocks")).join(
+        asked.groupBy("leaf").agg(F.ceil(F.count("*") / BLOCK_QUERIES).alias("query_blocks")), "leaf"
     )
     row_block = F.pmod(F.xxhash64("id"), F.col("row_blocks"))
     query_block = F.pmod(F.xxhash64("id", F.lit(1)), F.col("query_blocks"))
     every = lambda n: F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(n) - 1))
-    right = placed.join(sizes, "part").select(
-        "id", "vector", "part", row_block.alias("rb"), every("query_blocks").alias("qb")
+    right = stored.join(sizes, "leaf").select(
+        "id", "vector", "row", "leaf", row_block.alias("rb"), every("query_blocks").alias("qb")
     )
-    left = asked.join(sizes, "part").select(
-        "id", "vector", "part", query_block.alias("qb"), every("row_blocks").alias("rb")
+    left = asked.join(sizes, "leaf").select(
+        "id", "vector", "leaf", query_block.alias("qb"), every("row_blocks").alias("rb")
     )
-    block = ["part", "rb", "qb"]
+    block = ["leaf", "rb", "qb"]
     found = left.groupBy(*block).cogroup(right.groupBy(*block)).applyInPandas(_block_search(k), _FOUND)
+    if index.copies > 1:
+        # A row met in several of its leaves counts once; repeated ids are different rows.
+        found = found.dropDuplicates(["query_id", "row"])
     order = Window.partitionBy("query_id").orderBy("score", "vec_id")
     return (
         found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
         .select("query_id", "rank", "vec_id", "score")
     )
+
+
+def probing(placed: DataFrame, index: Index, held: np.ndarray, k: int) -> DataFrame:
+    """``id``, ``vector`` and ``leaf`` for every leaf a query probes."""
+    shared = placed.sparkSession.sparkContext.broadcast(index)
+    queries = placed.filter("asks").select("id", "vector")
+    # Rows with a query's own id are no candidates.
+    own = placed.join(queries.select("id").distinct(), "id", "left_semi").groupBy("id").agg(F.count("*").alias("own"))
+    leaves = probe(shared, held[0])(F.col("vector"), F.col("own") + k)
+    return queries.join(own, "id").withColumn("leaf", F.explode(leaves)).drop("own")
+
+
+def reading(table: DataFrame, is_query: Column, k: int = 10, key: str = "vec_id", vector: str = "embedding",
+            leaf_rows: int = LEAF_ROWS) -> dict[str, float]:
+    """How much a query reads: leaves there are, leaves probed, and the share of rows compared."""
+    rows = table.select(
+        F.col(key).alias("id"), F.col(vector).alias("vector"), F.coalesce(is_query, F.lit(False)).alias("asks")
+    ).filter(F.col("id").isNotNull() & usable(F.col("vector")))
+    index, placed, held, _ = build_index(rows, k, leaf_rows)
+    probed = probing(placed, index, held, k).groupBy("leaf").count().collect()
+    n_queries, n_rows = placed.filter("asks").count(), placed.count()
+    stored = held[: index.copies].sum(axis=0)
+    compared = sum(int(stored[r.leaf]) * r["count"] for r in probed)
+    return {
+        "leaves": index.n_leaves, "copies": index.copies, "probes": sum(r["count"] for r in probed) / n_queries,
+        "compared": compared / n_queries / n_rows,
+    }
