@@ -685,6 +685,10 @@ def oracle() -> dict[str, str]:
         + max(wa) * max(CASE WHEN model = 'ARIMA' THEN yhat END), 0.0)), 6) AS log_yhat
         FROM on_test t JOIN stack s ON t.state = s.state GROUP BY t.state, t.ds""",
     )
+    q["ar1_refit"] = query(
+        *DENSE, ar1_fit("dense", "fit"),
+        f"""SELECT state, last_ds, round(phi, 6) AS phi, {snap('intercept', COARSE)} AS intercept FROM fit""",
+    )
     labelled = """labelled AS (
   SELECT state, ds, total, CASE WHEN b = 0 OR rn <= n - 3 * b THEN 0
     ELSE CAST(ceil((rn - (n - 3 * b)) / b) AS INTEGER) END AS segment

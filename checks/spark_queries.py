@@ -18,7 +18,7 @@ from tideline import config as c
 from tideline.functions.calendar import calendar_columns, iso_timestamp, spaced_timestamp
 from tideline.functions.scalars import clip_negative, fit_length, model_key, pad_left
 from tideline.models import closed_form as cf
-from tideline.models import fold_fits, fourier, pooled, seasonal_ar, stacking, tree_arrays
+from tideline.models import fold_fits, fourier, pooled, refits, seasonal_ar, stacking, tree_arrays
 from tideline.operators import densify as d
 from tideline.operators import features as ft
 from tideline.operators import folds as fo
@@ -1001,6 +1001,14 @@ def ar1_fold_scores(spark, sf):
     return snapped(scores, ["rmse"], COARSE)
 
 
+def ar1_refit(spark, sf):
+    """First-order lines from sums up to the turn of 2000 and the days after it."""
+    rows = materialize(dense(spark, sf))
+    stored = materialize(refits.statistics(rows.filter("ds < date'2000-01-01'")))
+    fits = refits.line_fit(refits.grown(stored, rows))
+    return fits.select(KEY, "last_ds", F.round("phi", 6).alias("phi"), snap("intercept", COARSE).alias("intercept"))
+
+
 def arima_folds(spark, sf):
     return tuning.tune_seasonal_ar_folds(prepared(spark, sf)[0])
 

@@ -22,6 +22,8 @@ from tideline.functions.scalars import clip_negative
 from tideline.models import fourier as fr
 from tideline.models import seasonal_ar as sa
 from tideline.models.closed_form import line_yhat, with_previous
+# By name: what a task runs must not bring the module along, whose own functions may be in use.
+from tideline.models.seasonal_ar import LONG_LAGS, N_REGRESSORS, SHORT_LAGS, long_weights
 from tideline.operators.features import series_window
 from tideline.operators.folds import (
     FOLD,
@@ -96,12 +98,12 @@ def from_past(long: np.ndarray) -> np.ndarray:
     A residual is a difference without what the long autoregression explains of it, so the cross
     products of residuals follow from those of differences.
     """
-    n_short = len(sa.SHORT_LAGS)
-    out = np.zeros((len(long), sa.N_REGRESSORS + 1, N_PAST))
-    for i, lag in enumerate(sa.SHORT_LAGS):
+    n_short = len(SHORT_LAGS)
+    out = np.zeros((len(long), N_REGRESSORS + 1, N_PAST))
+    for i, lag in enumerate(SHORT_LAGS):
         out[:, i, lag] = 1
         out[:, n_short + i, lag] = 1
-        out[:, n_short + i, lag + 1 : lag + 1 + sa.LONG_LAGS] -= long
+        out[:, n_short + i, lag + 1 : lag + 1 + LONG_LAGS] -= long
     out[:, -1, 0] = 1
     return out
 
@@ -113,15 +115,15 @@ def fold_regression(gram: pd.Series, unit: pd.Series, tail: pd.Series) -> pd.Dat
     own = np.maximum(full[:, _ABS, _ROW] / full[:, _ROW, _ROW], 1e-9)
     ratio = unit.to_numpy(dtype=float) / own
     squared = (ratio * ratio)[:, None]
-    long = sa.long_weights(full[:, N_PAST, N_PAST : N_PAST + N_LONG] * squared)
+    long = long_weights(full[:, N_PAST, N_PAST : N_PAST + N_LONG] * squared)
     turn = from_past(long)
     short = turn @ (full[:, :N_PAST, :N_PAST] * squared[:, :, None]) @ turn.transpose(0, 2, 1)
-    upper = np.triu_indices(sa.N_REGRESSORS + 1)
+    upper = np.triu_indices(N_REGRESSORS + 1)
     # A tail too short to hold all differences belongs to a fold without complete rows.
     past = np.stack([np.array([np.nan if x is None else x for x in t], dtype=float) for t in tail])
     past = past * ratio[:, None]
     explained = np.stack([
-        np.einsum("nk,nk->n", long, past[:, i - sa.LONG_LAGS : i][:, ::-1])
+        np.einsum("nk,nk->n", long, past[:, i - LONG_LAGS : i][:, ::-1])
         for i in range(N_PAST - 1 - REACH, N_PAST - 1)
     ], axis=1)
     recent = past[:, -REACH:]
