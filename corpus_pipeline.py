@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tideline.llm import decontaminate, language_id, near_duplicates, packing, secret_scan
 from tideline.llm.queries import vocabulary
 from tideline.llm.text import bound_batches
-from tideline.session import checkpoint_dir
+from tideline.session import checkpoint_dir, scratch
 
 # SQL cannot express the learnt language model.
 ORACLE_SQL = None
@@ -62,11 +62,15 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each result written to shared storage and read again."""
+    """All stages over ``documents``, each result written to shared storage and read again.
+
+    The tables a stage keeps for itself are removed when its result is written.
+    """
     folder = f"{checkpoint_dir(spark)}/pipeline/{uuid.uuid4().hex}"
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for number, (name, stage) in enumerate(STAGES):
         path = f"{folder}/{number}_{name}"
-        stage(spark, docs, sf_dir).write.parquet(path)
+        with scratch(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
     return docs
