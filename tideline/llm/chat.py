@@ -12,7 +12,7 @@ over many tasks.
 
 Defined results: null texts and roles are empty; turns are ordered by number, then role, then text
 (null numbers first), repeated rows are turns of their own; a turn longer than the budget has a
-window of its own, whole; the system turn is the conversation's first one if its role is ``system``;
+window of its own, whole; ids are whole numbers, or text that reads as one; the system turn is the conversation's first one if its role is ``system``;
 an empty table gives an empty result.
 """
 

@@ -6,7 +6,8 @@ validates it (domain labels, parts up to 255, Luhn, IBAN check digits, digit cou
 never starts inside what it has already consumed, so the result equals a left-to-right scan.
 
 Base kinds: ``email ip card phone``. Added kinds: ``login`` (user part of a URL), ``iban`` (with
-valid check digits), ``ssn`` and ``account`` (only behind a cue that names them).
+valid check digits), ``ssn`` and ``account`` (only behind a cue that names them; an ``ssn`` at most 24
+characters behind it, on the same line and with no digit between, since a cue names what it stands by).
 
 Defined results: a null or empty text has no spans; each text is judged on its own; spans are
 ordered by kind, then start; texts are scanned whole; an empty table gives an empty result.
