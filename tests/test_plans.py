@@ -10,6 +10,7 @@ from tests.conftest import TABLES
 from tideline.operators import densify as d
 from tideline.operators import features as ft
 from tideline.operators import horizon as hz
+from tideline.plans import requests
 from tideline.plans.prepare import prepare
 from tideline.sources.sales import star_sales
 
@@ -48,6 +49,35 @@ def test_raw_rows_meet_a_hash_aggregate_first(raw):
     assert "Sort " not in below_first_shuffle and "SortAggregate" not in below_first_shuffle
 
 
+def test_published_forecasts_are_not_shuffled(spark, tmp_path, sales_of):
+    asked = spark.createDataFrame([("A", 1), ("A", 2), ("B", None), ("X", 1), (None, 1), ("A", -1)], "state string, weeks int")
+    states = sales_of([("A", 0, 1.0), ("B", 0, 1.0), ("C", 0, 1.0)])
+    rows = [(s, i) for s in "AB" for i in range(56 if s == "A" else 7)]
+    ahead = spark.createDataFrame(rows, "state string, i int").select(
+        "state", F.lit("m").alias("model_used"), F.date_add(F.lit("2024-01-01"), F.col("i")).alias("ds"),
+        F.col("i").cast("double").alias("yhat"),
+    )
+    expected = {(r.state, r.forecast_horizon_weeks): (r.status, r.forecasts, r.model_used)
+                for r in requests.answer_requests(asked, ahead, states).collect()}
+    assert {k: v[0] for k, v in expected.items()} == {
+        ("A", 1): "ok", ("A", 2): "ok", ("B", 8): "beyond_horizon", ("X", 1): "no_data", (None, 1): "no_data", ("A", -1): "bad_request"}
+    try:
+        for _ in range(2):  # publishing again replaces
+            requests.publish(ahead, states, "published", str(tmp_path), buckets=4)
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        answers = requests.answer_published(asked, "published")
+        found = {(r.state, r.forecast_horizon_weeks): (r.status, r.forecasts, r.model_used) for r in answers.collect()}
+        plan = plan_of(answers)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.sql("DROP TABLE IF EXISTS published")
+    assert found == expected
+    scan = plan[: plan.index("FileScan parquet")]
+    assert "SortMergeJoin" in plan and "Bucketed: true" in plan
+    # The one shuffle is that of the requests.
+    assert plan.split("== Initial Plan ==")[0].count("Exchange") == 1 and scan
+
+
 def test_filters_and_columns_reach_the_scan(raw):
     plan = plan_of(raw.filter(F.col("state").isin("A", "B")).groupBy("ds").agg(F.sum("total")))
     assert "In(state, [A,B])" in plan

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,6 +11,8 @@ from tideline.config import DAYS_PER_WEEK, HORIZON_WEEKS
 from tideline.functions.calendar import iso_timestamp
 
 KEY = "state"
+# Buckets of a published table: as many tasks answer a batch.
+BUCKETS = 64
 
 
 def forecast_paths(forecasts: DataFrame) -> DataFrame:
@@ -30,13 +34,39 @@ def answer_requests(requests: DataFrame, forecasts: DataFrame, states: DataFrame
     forecasts at hand end before the request does (``compare.forecast_requests`` makes them as
     long as the requests).
     """
-    weeks = F.coalesce("weeks", F.lit(HORIZON_WEEKS))
+    return answer_from(requests, served(forecasts, states))
+
+
+def served(forecasts: DataFrame, states: DataFrame) -> DataFrame:
+    """What answers are made of, one row per state: has_data, path, model_used."""
     known = states.select(KEY).distinct().withColumn("has_data", F.lit(True))
-    joined = (
-        requests.withColumn("weeks", weeks)
-        .join(known, KEY, "left")
-        .join(forecast_paths(forecasts), KEY, "left")
-    )
+    return known.join(forecast_paths(forecasts), KEY, "full")
+
+
+def publish(forecasts: DataFrame, states: DataFrame, table: str, path: str,
+            buckets: int = BUCKETS) -> None:
+    """Write what answers are made of as ``table`` at ``path``, bucketed and sorted by state.
+
+    Batches of requests then meet it bucket by bucket: only the requests are shuffled, however many
+    states there are. Publishing again replaces the table.
+    """
+    spark = forecasts.sparkSession
+    rows = served(forecasts, states).repartition(buckets, KEY).sortWithinPartitions(KEY)
+    # Data of a table that was published before stay until the new ones are written.
+    home = f"{path}/{uuid.uuid4().hex}"
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    rows.write.bucketBy(buckets, KEY).sortBy(KEY).option("path", home).saveAsTable(table)
+
+
+def answer_published(requests: DataFrame, table: str) -> DataFrame:
+    """Answers to ``requests(state, weeks)`` from a published table."""
+    return answer_from(requests, requests.sparkSession.table(table))
+
+
+def answer_from(requests: DataFrame, rows: DataFrame) -> DataFrame:
+    """Answers to ``requests(state, weeks)`` from rows as ``served`` makes them."""
+    weeks = F.coalesce("weeks", F.lit(HORIZON_WEEKS))
+    joined = requests.withColumn("weeks", weeks).join(rows, KEY, "left")
     n_days = F.col("weeks") * DAYS_PER_WEEK
     status = (
         F.when(F.col("weeks") < 0, "bad_request")
