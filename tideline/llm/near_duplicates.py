@@ -183,31 +183,35 @@ def _plausible(least: float):
 def components(links: DataFrame) -> DataFrame:
     """Smallest node reachable, for every node of ``links(a, b)``: columns ``node``, ``component``.
 
-    Minimum labels travel along the links and jump to the label of their label; the number of
-    rounds grows with the logarithm of the longest chain. Only a count reaches the driver.
+    In each round a node points to its smallest neighbour, or itself, and to where that one points;
+    then the links are drawn between what their ends point to, and those that have become loops or
+    repeats fall away. A family of many links is a few after one round, so later rounds cost little;
+    their number grows with the logarithm of the longest chain. Only a count reaches the driver.
     """
-    both = materialize(
-        links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        .filter("a <> b").distinct()
-    )
-    labels = materialize(
-        both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("component"))
-    )
-    while True:
-        near = (
-            both.join(labels, both.b == labels.node).groupBy(F.col("a").alias("node"))
-            .agg(F.min("component").alias("near"))
+    a, b = F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
+    edges = materialize(links.select(a, b).filter("a <> b").distinct())
+    labels = None
+    while labels is None or not edges.isEmpty():
+        ends = edges.select(F.col("a").alias("node"), F.col("b").alias("near")).unionByName(
+            edges.select(F.col("b").alias("node"), F.col("a").alias("near"))
         )
-        pulled = labels.join(near, "node").withColumn("low", F.least("component", "near"))
-        jump = labels.select(F.col("node").alias("low"), F.col("component").alias("lower"))
-        stepped = materialize(
-            pulled.join(jump, "low", "left")
-            .select("node", F.coalesce("lower", "low").alias("next"), F.col("component").alias("old"))
+        points = ends.groupBy("node").agg(F.min("near").alias("near"))
+        points = materialize(points.select("node", F.least("node", "near").alias("to")))
+        for _ in range(2):
+            beyond = points.select(F.col("node").alias("to"), F.col("to").alias("beyond"))
+            points = materialize(points.join(beyond, "to").select("node", F.col("beyond").alias("to")))
+        if labels is None:
+            labels = points.withColumnRenamed("to", "component")
+        else:
+            onward = points.select(F.col("node").alias("component"), "to")
+            labels = materialize(
+                labels.join(onward, "component", "left").select("node", F.coalesce("to", "component").alias("component"))
+            )
+        drawn = edges.join(points.toDF("a", "to_a"), "a").join(points.toDF("b", "to_b"), "b").select(
+            F.least("to_a", "to_b").alias("a"), F.greatest("to_a", "to_b").alias("b")
         )
-        changed = not stepped.filter("next < old").isEmpty()
-        labels = stepped.select("node", F.col("next").alias("component"))
-        if not changed:
-            return labels
+        edges = materialize(drawn.filter("a <> b").distinct())
+    return labels
 
 
 class _Index:
