@@ -207,8 +207,8 @@ def single_part(dimension: int) -> Router:
 def fit_router(rows: np.ndarray, n_parts: int | None = None, seed: int = 7) -> Router:
     """Cut the neighbour graph of a sample, and fit a classifier to it."""
     rng = np.random.default_rng(seed)
-    most = int(np.clip(len(rows) // ROWS_PER_PART, 1, MOST_PARTS))
-    n_parts = min(n_parts or most, most)
+    wanted = n_parts or len(rows) // ROWS_PER_PART
+    n_parts = int(np.clip(min(wanted, len(rows) // 8), 1, MOST_PARTS))
     if n_parts == 1:
         return single_part(rows.shape[1])
     near = _nearest(rows, min(GRAPH_NEIGHBOURS, len(rows) - 1))
