@@ -18,7 +18,7 @@ from tideline import config as c
 from tideline.functions.calendar import calendar_columns, iso_timestamp, spaced_timestamp
 from tideline.functions.scalars import clip_negative, fit_length, model_key, pad_left
 from tideline.models import closed_form as cf
-from tideline.models import fold_fits, fourier, pooled, refits, seasonal_ar, stacking, tree_arrays
+from tideline.models import fold_fits, fourier, pooled, refits, seasonal_ar, seasonal_arma, stacking, tree_arrays
 from tideline.operators import densify as d
 from tideline.operators import features as ft
 from tideline.operators import folds as fo
@@ -1009,6 +1009,13 @@ def ar1_refit(spark, sf):
     return fits.select(KEY, "last_ds", F.round("phi", 6).alias("phi"), snap("intercept", COARSE).alias("intercept"))
 
 
+def arima_multiplicative(spark, sf):
+    """The product form of the default order, from the end of training."""
+    train, test = prepared(spark, sf)
+    fit = seasonal_ar.with_fallback(seasonal_arma.fit_grid(train), train)
+    return seasonal_ar.predict_seasonal_ar(fit, test.select(KEY, "ds"))
+
+
 def arima_folds(spark, sf):
     return tuning.tune_seasonal_ar_folds(prepared(spark, sf)[0])
 

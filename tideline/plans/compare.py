@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tideline import config as c
-from tideline.models import fourier, pooled, seasonal_ar, stacking
+from tideline.models import fourier, pooled, seasonal_ar, seasonal_arma, stacking
 from tideline.models.closed_form import predict_constant
 from tideline.models.tree_arrays import recursive_forecast, tree_arrays
 from tideline.operators.horizon import (
@@ -44,6 +44,7 @@ class Settings:
     arima_order: tuple[int, int, int] = c.ARIMA_ORDER
     arima_largest_root: float | None = None
     arima_damping: float = 1.0
+    arima_multiplicative: bool = False
     mode: str = "multiplicative"
     yearly: bool = True
     lookback: int = c.LOOKBACK
@@ -98,6 +99,9 @@ def tuned(settings: Settings, train: DataFrame, stages: Unkept) -> Settings:
 
 
 def seasonal_fit(history: DataFrame, settings: Settings) -> DataFrame:
+    if settings.arima_multiplicative:
+        orders = seasonal_ar.order_grid() if settings.tune else [settings.arima_order]
+        return seasonal_ar.with_fallback(seasonal_arma.tune(history, orders), history, settings.arima_damping)
     if settings.tune:
         chosen = tuning.tune_seasonal_ar(history, settings.arima_largest_root)
         return seasonal_ar.with_fallback(chosen, history, settings.arima_damping)
