@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tideline.llm.text import free_name, mix, text_slices
+from tideline.llm.text import free_name, give_back, mix, text_slices
 from tideline.session import materialize
 
 UNKNOWN = "und"
@@ -169,6 +169,7 @@ def _count_batches(batches):
         if sum(map(len, held.values())) > HELD_GRAMS:
             yield from rows()
     yield from rows()
+    give_back()
 
 
 def count_grams(texts: DataFrame, lang: str = "lang", text: str = "text") -> DataFrame:
@@ -407,6 +408,7 @@ def _likelihoods(model):
         sums, sizes, n_letters = model.value.score(texts)
         n = np.where(n_letters > 0, sizes, 0)
         lists = pa.array([row.tolist() for row in sums], pa.list_(pa.float64()))
+        give_back()
         return pa.StructArray.from_arrays([pa.array(n), lists], ("n", "ll"))
 
     return likelihoods
@@ -525,6 +527,7 @@ def predict(spark, model: Model):
         if not model.languages or not n:
             return _judged(model, np.zeros((n, 0)), np.zeros(n), np.zeros(n, bool))
         sums, sizes, n_letters = model.score(texts)
+        give_back()
         return _judged(model, sums, sizes, n_letters > 0)
 
     return predicted

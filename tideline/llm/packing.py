@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tideline.llm.text import text_slices
+from tideline.llm.text import give_back, text_slices
 from tideline.llm.tokens import encode
 from tideline.session import materialize
 
@@ -69,6 +69,7 @@ def _cutter(path: str, capacity: int, keep_ids: bool, key_type: pa.DataType):
                     start += length
             columns = [pa.array([r[i] for r in rows], f.type) for i, f in enumerate(schema)]
             yield pa.RecordBatch.from_arrays(columns, schema=schema)
+        give_back()
 
     return pieces
 

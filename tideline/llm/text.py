@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -62,6 +63,21 @@ def bound_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", f"{BATCH_BYTES}b")
 
 
+# Of the C library of Linux; others keep what is free or hand it back by themselves.
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+
+def give_back() -> None:
+    """Hand the memory that is free in this process back to the system.
+
+    Allocators keep the most that a task ever held, and Spark keeps its Python workers for the tasks
+    to come: without this an executor holds that much once for every worker, busy or idle.
+    """
+    pa.default_memory_pool().release_unused()
+    if _trim is not None:
+        _trim(0)
+
+
 def text_slices(column: pa.Array, size: int = 1 << 20) -> Iterator[list[str | None]]:
     """Consecutive texts of an Arrow array as Python strings, about ``size`` bytes at a time."""
     ends = np.cumsum(pc.binary_length(column).fill_null(0).to_numpy(zero_copy_only=False) + 1)
