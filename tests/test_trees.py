@@ -74,6 +74,23 @@ def test_staged_scores_equal_separate_fits(seasonal):
     assert len(groups) == 18 and all(stages == [100, 200] for _, stages in groups)
 
 
+def test_small_fits_all_overlap_and_the_deepest_start_first(seasonal, monkeypatch):
+    train = compare.rows_of(materialize(prepare(seasonal())), "train")
+    seen = []
+
+    def recorded(score, groups, at_once=tuning.PARALLEL_FITS):
+        seen.append(([fixed["depth"] for fixed, _ in groups], at_once))
+        return score(groups[-1])
+
+    monkeypatch.setattr(tuning, "_in_parallel", recorded)
+    points = [{"depth": d, "step": s, "trees": 1, "row_share": 0.8} for d in (1, 2, 3) for s in (0.1, 0.2, 0.3)]
+    tuning.score_trees(train, points)
+    monkeypatch.setattr(pooled, "TREE_TASK_ROWS", 1)
+    tuning.score_trees(train, points)
+    deepest_first = [3] * 3 + [2] * 3 + [1] * 3
+    assert seen == [(deepest_first, 9), (deepest_first, tuning.PARALLEL_FITS)]
+
+
 def test_recursion_equals_a_loop_over_library_predictions(spark, fitted):
     dense, scale, _, model = fitted
     days = 9

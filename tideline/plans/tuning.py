@@ -140,7 +140,11 @@ def score_trees(train: DataFrame, points: Sequence[dict] | None = None) -> DataF
         rows = materialize(per_state).select(KEY, F.explode(scores).alias("score")).select(KEY, "score.*")
         return rows.withColumns({name: F.lit(value) for name, value in fixed.items()})
 
-    return _numbered(_in_parallel(score, by_stages(points)), points)
+    # The deepest take longest. A fit of one task is a chain of small jobs that leaves the cluster idle
+    # in between, so all of them overlap; larger ones keep their rows in memory, a few at a time.
+    groups = sorted(by_stages(points), key=lambda group: -group[0].get("depth", c.TREE_DEPTH))
+    at_once = len(groups) if inputs.count() < 2 * pooled.TREE_TASK_ROWS else PARALLEL_FITS
+    return _numbered(_in_parallel(score, groups, at_once), points)
 
 
 def by_stages(points: Sequence[dict]) -> list[tuple[dict, list[int]]]:
@@ -178,10 +182,10 @@ def score_lookback(train: DataFrame, points: Sequence[dict] | None = None) -> Da
     return _numbered(_in_parallel(score, points), points)
 
 
-def _in_parallel(score: Callable[..., DataFrame], points: Sequence) -> DataFrame:
+def _in_parallel(score: Callable[..., DataFrame], points: Sequence, at_once: int = PARALLEL_FITS) -> DataFrame:
     """Scores of all points; the fits overlap so that small stages do not idle the cluster."""
-    with ThreadPool(min(PARALLEL_FITS, len(points))) as pool:
-        scored = pool.map(score, points)
+    with ThreadPool(min(at_once, len(points))) as pool:
+        scored = pool.map(score, points, chunksize=1)
     return reduce(DataFrame.unionByName, scored)
 
 
