@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from tideline import config as c
 from tideline.functions.scalars import clip_negative, finite, pad_left
 from tideline.models.closed_form import as_predictions
+from tideline.models.tree_growth import DEEPEST, grown_model
 from tideline.operators.features import complete_rows, ensure_features, fill_features
 from tideline.operators.scale import min_max_scale, scaler_stats, unscaled
 from tideline.operators.sequences import held_sequence, last_sequence, lookback_sequences
@@ -31,6 +32,8 @@ KEY = "state"
 AMOUNT_FEATURES = c.LAG_FEATURES + c.ROLLING_FEATURES
 # Rows that make a task of tree building worth its start.
 TREE_TASK_ROWS = 25_000
+# Rows up to which one task grows all trees of a fit: a job for every level would cost more.
+TREE_FIT_ROWS = 200_000
 # Ridge term of the look-back regression: neighbouring lags are almost collinear.
 LOOKBACK_RIDGE = 0.01
 
@@ -78,25 +81,38 @@ def tree_inputs(train: DataFrame, scale: DataFrame) -> DataFrame:
     return assembled(rows).select(KEY, "ds", "inputs", "target")
 
 
-def fit_trees(inputs: DataFrame, trees: int = c.TREE_COUNT, depth: int = c.TREE_DEPTH,
-              step: float = c.TREE_STEP, row_share: float = c.TREE_ROW_SHARE,
-              spread: bool = True) -> GBTRegressionModel:
-    """Boosted trees over the rows of all series.
+def kept_inputs(inputs: DataFrame, spread: bool = True) -> DataFrame:
+    """Inputs of the trees, kept once in partitions of some size.
 
-    Spark draws the column subset anew for every node. Tree building repeats passes over the
-    rows, several small jobs a tree, so they are kept once, on at least as many partitions as there
-    are cores, but on fewer where a task would have too little to do; their lineage is cut in the
-    checkpoint folder every ten trees.
+    They are on at least as many partitions as there are cores, unless several fits overlap, but on
+    fewer where a task would have too little to do.
     """
-    checkpoint_dir(inputs.sparkSession)
     cores = inputs.sparkSession.sparkContext.defaultParallelism
     inputs = materialize(inputs)
     now = inputs.rdd.getNumPartitions()
     enough = max(inputs.count() // TREE_TASK_ROWS, 1)
     if enough < now:
-        inputs = inputs.coalesce(enough)
-    elif spread and now < min(cores, enough):
-        inputs = inputs.repartition(min(cores, enough))
+        return inputs.coalesce(enough)
+    if spread and now < min(cores, enough):
+        return inputs.repartition(min(cores, enough))
+    return inputs
+
+
+def fit_trees(inputs: DataFrame, trees: int = c.TREE_COUNT, depth: int = c.TREE_DEPTH,
+              step: float = c.TREE_STEP, row_share: float = c.TREE_ROW_SHARE,
+              spread: bool = True, kept: bool = False) -> GBTRegressionModel:
+    """Boosted trees over the rows of all series.
+
+    Fits that overlap share inputs that are ``kept``; the library's model is read from the nodes of
+    such a fit only if something asks for it.
+
+    Spark draws the column subset anew for every node. Up to ``TREE_FIT_ROWS`` rows, one task grows
+    the trees of the library from them. Beyond, tree building repeats passes over the rows, several
+    small jobs a tree; their lineage is cut in the checkpoint folder every ten trees.
+    """
+    checkpoint_dir(inputs.sparkSession)
+    if not kept:
+        inputs = kept_inputs(inputs, spread)
     regressor = GBTRegressor(
         featuresCol="inputs",
         labelCol="target",
@@ -108,6 +124,9 @@ def fit_trees(inputs: DataFrame, trees: int = c.TREE_COUNT, depth: int = c.TREE_
         seed=c.TREE_SEED,
         checkpointInterval=10,
     )
+    if 0 < inputs.count() <= TREE_FIT_ROWS and depth <= DEEPEST:
+        model = grown_model(regressor, inputs, len(c.FEATURES))
+        return model if kept else model.library()
     return regressor.fit(inputs)
 
 

@@ -26,7 +26,7 @@ from tideline.functions.scalars import finite
 from tideline.models.closed_form import as_predictions
 from tideline.operators.features import LONGEST_LOOK_BACK
 from tideline.operators.horizon import last_rows
-from tideline.session import new_path
+from tideline.session import exists, new_path
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -91,9 +91,11 @@ def grown_from(nodes: pd.DataFrame, weights: Sequence[float]) -> TreeArrays:
 
 
 def tree_arrays(model: GBTRegressionModel, spark) -> TreeArrays:
-    """The nodes of a fitted ensemble, read back from its saved form."""
-    path = new_path(spark)
-    model.write().save(path)
+    """The nodes of a fitted ensemble, read back from its saved form, which grown ones already have."""
+    path = getattr(model, "saved_at", None)
+    if path is None or not exists(path, spark):
+        path = new_path(spark)
+        model.write().save(path)
     node, split = F.col("nodeData"), F.col("nodeData.split")
     nodes = spark.read.parquet(f"{path}/data").select(
         F.col("treeID").alias("tree"),
@@ -104,7 +106,7 @@ def tree_arrays(model: GBTRegressionModel, spark) -> TreeArrays:
         split["featureIndex"].alias("feature"),
         F.get(split["leftCategoriesOrThreshold"], 0).alias("threshold"),
         split["numCategories"].alias("categories"),
-    ).toPandas()
+    ).toArrow().to_pandas()
     if (nodes["categories"] >= 0).any():
         raise ValueError("only splits on numbers are supported")
     return grown_from(nodes, list(model.treeWeights))
@@ -116,13 +118,14 @@ def numbers(columns: Sequence[str]) -> Column:
 
 def staged_predictions(arrays: TreeArrays, inputs: Column, stages: Sequence[int], spark) -> Column:
     """Array column: the prediction of the first n trees for each n of ``stages``."""
-    held, stages = spark.sparkContext.broadcast(arrays), list(stages)
+    # Only the arrays are broadcast: their class travels with the function, the workers need no module.
+    held, stages = spark.sparkContext.broadcast(vars(arrays)), list(stages)
 
     @F.pandas_udf(DOUBLES)
     def staged(rows: pd.Series) -> pd.Series:
         if not len(rows):
             return rows
-        return pd.Series(list(held.value.staged(np.stack(rows.to_numpy()), stages)))
+        return pd.Series(list(TreeArrays(**held.value).staged(np.stack(rows.to_numpy()), stages)))
 
     return staged(inputs)
 

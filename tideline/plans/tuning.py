@@ -120,14 +120,14 @@ def score_trees(train: DataFrame, points: Sequence[dict] | None = None) -> DataF
     held = materialize(split_series(usable, column="holdout"))
     history = held.filter(F.col("holdout") == TRAIN)
     scale = materialize(pooled.amount_scale(history))
-    inputs = materialize(pooled.tree_inputs(history, scale))
+    # The fits overlap, so none of them is spread over all cores.
+    inputs = pooled.kept_inputs(materialize(pooled.tree_inputs(history, scale)), spread=False)
     # Prepared once for the whole grid, with the amounts: scoring a point needs no join.
     targets = materialize(pooled.tree_targets(held.filter(F.col("holdout") == TEST), scale))
 
     def score(group: tuple[dict, list[int]]) -> DataFrame:
         fixed, stages = group
-        # The fits overlap, so none of them is spread over all cores.
-        model = pooled.fit_trees(inputs, **fixed, trees=stages[-1], spread=False)
+        model = pooled.fit_trees(inputs, **fixed, trees=stages[-1], kept=True)
         staged = staged_predictions(tree_arrays(model, spark), numbers(c.FEATURES), stages, spark)
         errors = targets.withColumn("staged", staged)
         found = [

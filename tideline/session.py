@@ -51,6 +51,11 @@ def new_path(spark: SparkSession, outlive: bool = False) -> str:
     return f"{home}/{uuid.uuid4().hex}"
 
 
+def exists(path: str, spark: SparkSession) -> bool:
+    found = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return found.getFileSystem(spark._jsc.hadoopConfiguration()).exists(found)
+
+
 def materialize(df: DataFrame, outlive: bool = False) -> DataFrame:
     """Write ``df`` under the checkpoint folder and return a DataFrame that reads it back.
 
